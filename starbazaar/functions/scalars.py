@@ -50,8 +50,8 @@ def counted_sale() -> Column:
 
 
 def exact_avg(value: Column, scale: int) -> Column:
-    """Average rounded once, half up. The wide cast keeps enough digits that no earlier rounding shows."""
-    return F.round(F.avg(value.cast("decimal(28,12)")), scale)
+    """Average rounded half up. The cast makes Spark keep 12 digits, so its own rounding does not show."""
+    return F.round(F.avg(value.cast("decimal(28,8)")), scale)
 
 
 def percent(part: Column, whole: Column, scale: int) -> Column:

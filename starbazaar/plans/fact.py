@@ -71,7 +71,8 @@ def classified_items(
         .when(F.col("order_reason").isNotNull(), F.col("order_reason"))
         .otherwise(KEPT)
     )
-    return joined.withColumn("reject_reason", reason)
+    return joined.withColumn("reject_reason", reason).withColumn(
+        "purchase_month", F.when(F.col("reject_reason") == KEPT, F.col("purchase_month")))
 
 
 def fact_rows(classified: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from starbazaar.operators.numbering import with_surrogate_key
 from starbazaar.plans import dimensions as dims
 from starbazaar.plans.fact import classified_items, incomplete_rows, order_headers
 from starbazaar.session import app_dir, work_table
@@ -20,14 +22,17 @@ def transform(spark: SparkSession, raw: dict[str, DataFrame], writer: StarWriter
     writer = writer or StarWriter(spark, f"{app_dir(spark)}/work")
     orders, items = raw["orders"], raw["order_items"]
 
-    built = {
-        "dim_date": dims.date_dimension(orders),
-        "dim_customer": dims.customer_dimension(raw["customers"]),
-        "dim_product": dims.product_dimension(raw["products"], raw["category_xlat"]),
-        "dim_seller": dims.seller_dimension(raw["sellers"]),
-        "dim_location": dims.location_dimension(raw["geolocation"]),
+    builders = {
+        "dim_date": lambda: dims.date_dimension(orders),
+        "dim_customer": lambda: dims.customer_dimension(raw["customers"]),
+        "dim_product": lambda: dims.product_dimension(raw["products"], raw["category_xlat"]),
+        "dim_seller": lambda: dims.seller_dimension(raw["sellers"]),
+        "dim_location": lambda: dims.location_dimension(raw["geolocation"]),
     }
-    star = {name: writer.write(name, df) for name, df in built.items()}
+    # The dimensions do not depend on each other: submitted together, one's last tasks overlap another's first.
+    with ThreadPoolExecutor(len(builders)) as pool:
+        build = inheritable_thread_target(spark)(lambda name: writer.write(name, builders[name]()))
+        star = dict(zip(builders, pool.map(build, builders)))
 
     headers = work_table(
         order_headers(orders, star["dim_customer"], raw["payments"], raw["reviews"]), "order-headers")
@@ -36,7 +41,3 @@ def transform(spark: SparkSession, raw: dict[str, DataFrame], writer: StarWriter
     writer.write_rejects(incomplete_rows(orders, items))
     return star
 
-
-def keyed(df: DataFrame, natural_key: str, name: str) -> DataFrame:
-    """A dimension with its dense surrogate key."""
-    return with_surrogate_key(df, natural_key, name)

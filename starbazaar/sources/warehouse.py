@@ -102,6 +102,18 @@ class StarWriter:
             found.append((row["table"], row["constraint"], row["column"], row["violations"]))
         return found
 
+    def report(self) -> DataFrame:
+        """Every rule of this version with its count, as ``constraints.validate`` gives it for stored tables.
+
+        The row rules were counted before values were cast to their column types, so they also show values
+        that did not fit.
+        """
+        rows = [(name, *rule.split(":"), n)
+                for name, counts in self.metrics.items() for rule, n in counts.items() if ":" in rule]
+        schema = "table string, constraint string, column string, violations bigint"
+        star = {name: read_table(self.spark, self.path, name) for name in self.metrics}
+        return self.spark.createDataFrame(rows, schema).unionByName(key_report(star))
+
     def publish(self) -> dict[str, DataFrame]:
         """Check the version and make it the current one, or raise and leave the old one in place."""
         found = self.violations()
