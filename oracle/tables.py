@@ -123,6 +123,12 @@ def _whole_days(later: str, earlier: str) -> str:
     return f"CASE WHEN {later} >= {earlier} THEN (epoch_us({later}) - epoch_us({earlier})) // 86400000000 END"
 
 
+def _median(value: str) -> str:
+    """Mean of the two middle values, rounded from its shortest decimal text (half away from zero)."""
+    ordered, n = f"list_sort(list({value}))", f"count({value})"
+    return f"(({ordered}[({n} + 1) // 2] + {ordered}[{n} // 2 + 1]) / 2)::VARCHAR::DECIMAL(9,6)"
+
+
 STAR = f"""
 dim_date AS (
   SELECT (year(d) * 10000 + month(d) * 100 + day(d))::INTEGER AS date_key, d AS full_date, year(d) AS year,
@@ -157,7 +163,7 @@ dim_product AS (
 dim_location AS (
   SELECT row_number() OVER (ORDER BY zip) AS location_key, zip AS zip_code_prefix,
          arg_min(city, (city, lat, lng, state)) AS city, arg_min(state, (city, lat, lng, state)) AS state,
-         median(lat)::DECIMAL(9,6) AS lat, median(lng)::DECIMAL(9,6) AS lng
+         {_median('lat')} AS lat, {_median('lng')} AS lng
   FROM (SELECT {_pad('geolocation_zip_code_prefix')} AS zip, geolocation_city AS city, geolocation_state AS state,
                geolocation_lat AS lat, geolocation_lng AS lng FROM raw_geolocation)
   GROUP BY zip),

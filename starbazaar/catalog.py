@@ -36,7 +36,7 @@ def _load(spark: SparkSession, sf_dir: str, damaged: bool = False) -> tuple[Star
     """
     key = (spark.sparkContext.applicationId, sf_dir, damaged)
     if key not in _loads:
-        writer = StarWriter(spark, f"{app_dir(spark)}/star")
+        writer = StarWriter(spark, f"{app_dir(spark)}/star", own_keys=True)
         star = transform(spark, marketplace(spark, sf_dir, damaged), writer)
         if not damaged:
             writer.publish()

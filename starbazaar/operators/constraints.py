@@ -1,7 +1,7 @@
 """Constraint checks of the star schema. Spark enforces none of them, so they are counted.
 
-Row-level rules (required, domain, check) are plain aggregates: they ride along on the write of the table as
-observed metrics, or run as one pass per table. Uniqueness and references combine per key before any shuffle,
+Row-level rules (required, domain, check) are counted in one pass per table. A write only watches whether any
+rule is broken, which costs two running values per row; the counts are taken when it saw something. Uniqueness and references combine per key before any shuffle,
 so a key that holds a third of the fact shrinks to one row per task first.
 """
 
@@ -37,17 +37,21 @@ def row_rules(table: Table) -> dict[tuple[str, str], Column]:
     return rules
 
 
-def row_counts(table: Table, kept: Column | None = None) -> list[Column]:
-    """Aggregates ``rows`` and one violation count per rule, for ``agg`` or ``observe``."""
-    counted = F.lit(True) if kept is None else kept
-    return [F.count_if(counted).alias("rows")] + [
-        F.count_if(counted & rule).alias(f"{constraint}:{column}")
-        for (constraint, column), rule in row_rules(table).items()
-    ]
+def row_counts(table: Table) -> list[Column]:
+    """One violation count per rule, as aggregates."""
+    return [F.count_if(rule).alias(f"{constraint}:{column}")
+            for (constraint, column), rule in row_rules(table).items()]
+
+
+def broken_rules(table: Table) -> Column:
+    """The rules a row breaks as bits of one number, 0 for a sound row."""
+    bits = (F.when(rule, F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+            for i, rule in enumerate(row_rules(table).values()))
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
 def _row_report(df: DataFrame, table: Table) -> DataFrame:
-    counts = df.agg(*row_counts(table)[1:])
+    counts = df.agg(*row_counts(table))
     lines = F.explode(F.array(*(
         F.struct(F.lit(constraint).alias("constraint"), F.lit(column).alias("column"),
                  F.col(f"`{constraint}:{column}`").alias("violations"))
@@ -74,22 +78,23 @@ def _reference_report(child: DataFrame, parent: DataFrame, table: Table, column:
              F.lit(column).alias("column"), "violations")
 
 
-def key_report(star: dict[str, DataFrame], *, generated_keys: bool = True) -> DataFrame:
+def key_report(star: dict[str, DataFrame], *, own_keys: bool = False) -> DataFrame:
     """Uniqueness and references for the tables present.
 
-    ``generated_keys=False`` skips the numbers this package assigned itself, which are unique by construction;
-    proving it again would shuffle one long per fact row.
+    ``own_keys=True`` is for a star whose surrogate keys this package assigned and looked up itself. Those
+    numbers are unique and their references hold by construction; proving it again would shuffle the fact
+    once per key. The natural keys are checked always.
     """
     parts = []
     for name, df in star.items():
         table = STAR[name]
-        if generated_keys or not table.generated_key:
+        if not own_keys:
             parts.append(_unique_report(df, table, table.primary_key, "primary_key"))
+            parts += [
+                _reference_report(df, star[target], table, column, STAR[target])
+                for column, target in table.foreign_keys.items() if target in star
+            ]
         parts += [_unique_report(df, table, column, "unique") for column in table.unique]
-        parts += [
-            _reference_report(df, star[target], table, column, STAR[target])
-            for column, target in table.foreign_keys.items() if target in star
-        ]
     return reduce(DataFrame.unionByName, parts)
 
 

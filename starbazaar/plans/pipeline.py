@@ -34,7 +34,7 @@ def run_pipeline(
     Any failure leaves the version published before in place.
     """
     seconds: dict[str, float] = {}
-    writer = StarWriter(spark, base)
+    writer = StarWriter(spark, base, own_keys=True)
     with _stage("extract", seconds):
         raw = extract()
     with _stage("transform", seconds):

@@ -19,9 +19,8 @@ def transform(spark: SparkSession, raw: dict[str, DataFrame], writer: StarWriter
     Every table is written as soon as it is ready (to the writer's version folder, or to a working folder) and
     read back, so keys are assigned once and the planner knows the sizes of the tables it joins.
     """
-    writer = writer or StarWriter(spark, f"{app_dir(spark)}/work")
+    writer = writer or StarWriter(spark, f"{app_dir(spark)}/work", own_keys=True)
     orders, items = raw["orders"], raw["order_items"]
-
     builders = {
         "dim_date": lambda: dims.date_dimension(orders),
         "dim_customer": lambda: dims.customer_dimension(raw["customers"]),
@@ -30,14 +29,16 @@ def transform(spark: SparkSession, raw: dict[str, DataFrame], writer: StarWriter
         "dim_location": lambda: dims.location_dimension(raw["geolocation"]),
     }
     # The dimensions do not depend on each other: submitted together, one's last tasks overlap another's first.
-    with ThreadPoolExecutor(len(builders)) as pool:
+    with ThreadPoolExecutor(len(builders) + 1) as pool:
         build = inheritable_thread_target(spark)(lambda name: writer.write(name, builders[name]()))
-        star = dict(zip(builders, pool.map(build, builders)))
+        pending = {name: pool.submit(build, name) for name in builders}
+        early = pool.submit(
+            inheritable_thread_target(spark)(writer.write_rejects), incomplete_rows(orders, items))
+        headers = work_table(
+            order_headers(orders, pending["dim_customer"].result(), raw["payments"], raw["reviews"]), "order-headers")
+        star = {name: result.result() for name, result in pending.items()}
+        early.result()
 
-    headers = work_table(
-        order_headers(orders, star["dim_customer"], raw["payments"], raw["reviews"]), "order-headers")
     classified = classified_items(items, headers, star["dim_product"], star["dim_seller"])
     star["fact_orders"] = writer.write("fact_orders", classified)
-    writer.write_rejects(incomplete_rows(orders, items))
     return star
-

@@ -10,10 +10,10 @@ import logging
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from starbazaar.operators.constraints import key_report, row_counts
+from starbazaar.operators.constraints import broken_rules, key_report, row_counts, row_rules
 from starbazaar.operators.numbering import with_surrogate_key
 from starbazaar.sources.schemas import LOAD_ORDER, STAR, conform
 
@@ -34,85 +34,79 @@ class ConstraintViolation(RuntimeError):
 
 
 class StarWriter:
-    """Writes one version of the star. Each table is written once; its row rules are counted by that write."""
+    """Writes one version of the star. Each table is written once, and that write watches its row rules.
 
-    def __init__(self, spark: SparkSession, base: str, max_records_per_file: int = 0):
+    ``own_keys`` says that the surrogate keys come from this package (see ``constraints.key_report``).
+    """
+
+    def __init__(self, spark: SparkSession, base: str, max_records_per_file: int = 0, own_keys: bool = False):
         self.spark, self.base = spark, base.rstrip("/")
         self.version = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
         self.path = f"{self.base}/{self.version}"
         self.max_records = max_records_per_file
-        self.metrics: dict[str, dict[str, int]] = {}
+        self.own_keys = own_keys
+        self.rows: dict[str, int] = {}
+        self.broken: dict[str, dict[str, int]] = {}
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         """Write a star table and return it as stored. A table without its generated key gets one."""
         table, seen = STAR[name], Observation(name)
         if name == FACT:
-            self._write_fact(df, seen)
+            df = _with_layout(df)
+            kept = F.col("reject_reason") == KEPT
+            placed = df.hint("rebalance", *(F.col(c) for c in FACT_LAYOUT))
         else:
+            kept = F.lit(True)
             if table.generated_key and table.primary_key not in df.columns:
                 df = with_surrogate_key(df, table.unique[0], table.primary_key)
-            self._save(conform(df.observe(seen, *row_counts(table)), table), name)
-        self.metrics[name] = dict(seen.get)
-        log.info("%-14s rows=%d", name, self.metrics[name]["rows"])
+            placed = df
+        if name == FACT and table.primary_key not in df.columns:
+            # Unique without a second pass over the fact; nothing needs these numbers to be dense.
+            df, placed = (d.withColumn(table.primary_key, F.monotonically_increasing_id() + 1) for d in (df, placed))
+        watched = placed.withColumn("_broken", F.when(kept, broken_rules(table))).observe(
+            seen, F.count("_broken").alias("rows"), F.bit_or("_broken").alias("broken"))
+        if name == FACT:
+            self._save(_stored_columns(watched, kept), name, FACT_LAYOUT)
+        else:
+            self._save(conform(watched, table), name)
+        self.rows[name] = seen.get["rows"]
+        self.broken[name] = df.where(kept).agg(*row_counts(table)).first().asDict() if seen.get["broken"] else {}
+        log.info("%-14s rows=%d", name, self.rows[name])
         return read_table(self.spark, self.path, name)
 
     def write_rejects(self, df: DataFrame) -> None:
         """Raw rows turned away before they reached the fact: source_table, reason and item keys."""
         self._save(df, "incomplete_rows")
 
-    def _write_fact(self, df: DataFrame, seen: Observation) -> None:
-        """Fact rows and rejected items in one pass, told apart by the first partition column.
-
-        The rebalance gathers each month into files of the advisory size and splits a month that is too big.
-        """
-        table = STAR[FACT]
-        if "reject_reason" not in df.columns:
-            df = df.withColumns({
-                "reject_reason": F.lit(KEPT), "purchase_month": F.expr("date_key div 100").cast("int"),
-                **{k: F.lit(None).cast("string") for k in ("product_id", "seller_id") if k not in df.columns},
-            })
-        kept = F.col("reject_reason") == KEPT
-        placed = df.hint("rebalance", *(F.col(c) for c in FACT_LAYOUT))
-        if table.primary_key not in df.columns:
-            placed = placed.withColumn(table.primary_key, F.monotonically_increasing_id() + 1)
-        watched = placed.observe(seen, *row_counts(table, kept), F.count_if(~kept).alias("rejected"))
-        stored = watched.select(
-            *(F.col(c.name).try_cast(c.type).alias(c.name) for c in table.columns),
-            # Item keys are kept for rejected rows only; fact rows carry surrogate keys instead.
-            *(F.when(~kept, F.col(c)).alias(c) for c in REJECT_KEYS if c not in table.names),
-            *FACT_LAYOUT,
-        )
-        self._save(stored, FACT, FACT_LAYOUT)
-
     def _save(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
         writer = df.write.option("maxRecordsPerFile", self.max_records)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.path}/{name}")
 
+    def _stored(self) -> dict[str, DataFrame]:
+        return {name: read_table(self.spark, self.path, name) for name in self.rows}
+
     def violations(self) -> list[tuple[str, str, str, int]]:
-        """Row rules from the write's metrics, uniqueness and references from the stored keys."""
-        found = [
-            (name, *rule.split(":"), n)
-            for name, counts in self.metrics.items() for rule, n in counts.items() if ":" in rule and n
-        ]
-        star = {name: read_table(self.spark, self.path, name) for name in self.metrics}
+        """Row rules as the writes saw them, uniqueness and references from the stored keys."""
+        found = [(name, *rule.split(":"), n) for name, counts in self.broken.items() for rule, n in counts.items() if n]
         # One line per constraint: a fixed, small number.
-        for row in key_report(star, generated_keys=False).where("violations > 0").collect():
+        for row in key_report(self._stored(), own_keys=self.own_keys).where("violations > 0").collect():
             found.append((row["table"], row["constraint"], row["column"], row["violations"]))
         return found
 
     def report(self) -> DataFrame:
         """Every rule of this version with its count, as ``constraints.validate`` gives it for stored tables.
 
-        The row rules were counted before values were cast to their column types, so they also show values
-        that did not fit.
+        The row rules were judged before values were cast to their column types, so the report also shows
+        values that did not fit.
         """
-        rows = [(name, *rule.split(":"), n)
-                for name, counts in self.metrics.items() for rule, n in counts.items() if ":" in rule]
+        rows = [
+            (name, *rule, self.broken[name].get(":".join(rule), 0))
+            for name in self.rows for rule in row_rules(STAR[name])
+        ]
         schema = "table string, constraint string, column string, violations bigint"
-        star = {name: read_table(self.spark, self.path, name) for name in self.metrics}
-        return self.spark.createDataFrame(rows, schema).unionByName(key_report(star))
+        return self.spark.createDataFrame(rows, schema).unionByName(key_report(self._stored()))
 
     def publish(self) -> dict[str, DataFrame]:
         """Check the version and make it the current one, or raise and leave the old one in place."""
@@ -120,11 +114,35 @@ class StarWriter:
         if found:
             raise ConstraintViolation(found)
         entry = self.spark.range(1).select(
-            F.lit(self.version).alias("version"), F.lit(",".join(self.metrics)).alias("tables"))
+            F.lit(self.version).alias("version"), F.lit(",".join(self.rows)).alias("tables"))
         entry.coalesce(1).write.mode("append").json(f"{self.base}/_manifest")
         return open_star(self.spark, self.base)
 
 
+def _with_layout(df: DataFrame) -> DataFrame:
+    """Add the layout columns to a ready-made fact. Its month follows from the day key."""
+    if "reject_reason" in df.columns:
+        return df
+    return df.withColumns({
+        "reject_reason": F.lit(KEPT), "purchase_month": F.expr("date_key div 100").cast("int"),
+        "product_id": F.lit(None).cast("string"), "seller_id": F.lit(None).cast("string"),
+    })
+
+
+def _stored_columns(df: DataFrame, kept: Column) -> DataFrame:
+    """Fact rows and rejected items go into one table in one pass, told apart by the first layout column.
+
+    The rebalance before it gathers each month into files of the advisory size and splits a month that is too
+    big. Item keys are kept for rejected rows only; fact rows carry surrogate keys instead.
+    """
+    table = STAR[FACT]
+    return df.select(
+        *(F.col(c.name).try_cast(c.type).alias(c.name) for c in table.columns),
+        *(F.when(~kept, F.col(c)).alias(c) for c in REJECT_KEYS if c not in table.names),
+        *FACT_LAYOUT,
+    )
+
+
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     table = STAR[name]
     if name != FACT:
