@@ -23,10 +23,10 @@ def _sorted_layout(df: DataFrame, order: list[str], label: str) -> DataFrame:
     return work_table(placed, label)
 
 
-def _partition_starts(layout: DataFrame) -> DataFrame:
-    """One row per partition of the layout; its first global position. As small as the partition count."""
+def _partition_starts(layout: DataFrame, rows: Column) -> DataFrame:
+    """One row per partition of the layout: its first global position. As small as the partition count."""
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = layout.groupBy("_part").agg(F.count("*").alias("_rows"))
+    sizes = layout.groupBy("_part").agg(rows.alias("_rows"))
     return sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
 
 
@@ -37,7 +37,7 @@ def with_position(df: DataFrame, order: list[str], name: str = "position", label
     spread over several partitions.
     """
     layout = _sorted_layout(df, order, label)
-    starts = F.broadcast(_partition_starts(layout))
+    starts = F.broadcast(_partition_starts(layout, F.count("*")))
     return layout.join(starts, "_part").select(*df.columns, (F.col("_start") + F.col("_offset")).alias(name))
 
 
@@ -70,17 +70,29 @@ def tile(df: DataFrame, tiles: int, order: dict[str, Column], label: str = "tile
 def group_median(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     """Exact median per key, the mean of the two middle values for an even count; NULL values are skipped.
 
-    The built-in median keeps all of a group's distinct values in one task. Here the rows get global positions
-    in (key, value) order and only the one or two middle positions of each group are looked up.
+    The built-in median keeps all of a group's distinct values in one task. Here equal pairs combine into one
+    weighted row first, the distinct pairs are laid out in (key, value) order over all tasks, and each pair
+    covers a range of global positions. A group's middle positions then pick its one or two middle pairs.
     """
-    placed = with_position(df.where(F.col(value).isNotNull()).select(key, value), [key, value], "_position",
-                           label=f"median-{value}")
-    spans = placed.groupBy(key).agg(F.min("_position").alias("_first"), F.count("*").alias("_rows"))
-    middle = spans.select(
-        F.col(key).alias("_key"),
-        F.explode(F.array_distinct(F.array(
-            F.expr("_first + (_rows - 1) div 2"), F.expr("_first + _rows div 2"),
-        ))).alias("_position"),
+    pairs = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_weight"))
+    layout = _sorted_layout(pairs, [key, value], f"median-{value}")
+    starts = F.broadcast(_partition_starts(layout, F.sum("_weight")))
+    so_far = Window.partitionBy("_part").orderBy("_offset").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (
+        layout.withColumn("_end", F.sum("_weight").over(so_far))
+        .join(starts, "_part")
+        .select(key, value, "_weight", (F.col("_start") + F.col("_end")).alias("_end"))
+        .withColumn("_begin", F.col("_end") - F.col("_weight"))
     )
-    picked = placed.select("_position", value).join(middle, "_position")
-    return picked.groupBy(F.col("_key").alias(key)).agg(F.avg(value).alias(name))
+    # Written, so that the join below shuffles both sides itself and a hot key's pairs can be split.
+    spans = work_table(
+        placed.groupBy(key).agg(F.min("_begin").alias("_first"), F.sum("_weight").alias("_rows")), f"spans-{value}")
+    middles = spans.select(
+        key, F.expr("_first + (_rows - 1) div 2").alias("_low"), F.expr("_first + _rows div 2").alias("_high"))
+
+    def at(position: str) -> Column:
+        inside = (F.col("_begin") <= F.col(position)) & (F.col(position) < F.col("_end"))
+        return F.max(F.when(inside, F.col(value)))
+
+    touched = (F.col("_begin") <= F.col("_high")) & (F.col("_low") < F.col("_end"))
+    return placed.join(middles, key).where(touched).groupBy(key).agg(((at("_low") + at("_high")) / 2).alias(name))

@@ -1,0 +1,131 @@
+import logging
+
+import pytest
+
+from conftest import star_table
+from starbazaar.plans.pipeline import main, run_pipeline
+from starbazaar.plans.star import transform
+from starbazaar.session import app_dir, shared_dir
+from starbazaar.sources import warehouse
+from starbazaar.sources.csv_files import write_csv_tables
+
+
+@pytest.fixture(scope="module")
+def sound(spark, raw):
+    """Raw tables whose star obeys every rule."""
+    customers = raw["customers"].where("customer_id <> 'c2'").unionByName(
+        raw["customers"].where("customer_id = 'c2'").replace("123456", "12345", "customer_zip_code_prefix"))
+    return raw | {"customers": customers}
+
+
+@pytest.fixture(scope="module")
+def published(spark, sound, tmp_path_factory):
+    base = str(tmp_path_factory.mktemp("published"))
+    star, seconds = run_pipeline(spark, lambda: sound, base)
+    assert set(seconds) == {"extract", "transform", "publish"}
+    return base
+
+
+def test_publish_and_open(spark, published):
+    star = warehouse.open_star(spark, published)
+    assert star["fact_orders"].count() == 4 and star["dim_customer"].count() == 3
+    assert warehouse.open_rejects(spark, published).count() == 8
+
+
+def test_a_refused_load_leaves_the_old_version(spark, sound, published):
+    bad = sound | {"order_items": sound["order_items"].withColumn("price", -sound["order_items"]["price"])}
+    with pytest.raises(warehouse.ConstraintViolation) as refused:
+        run_pipeline(spark, lambda: bad, published)
+    assert ("fact_orders", "price_not_negative", "price", 4) in refused.value.violations
+    assert warehouse.open_star(spark, published)["fact_orders"].where("price < 0").count() == 0
+
+
+def test_values_that_do_not_fit_are_reported(spark, sound, tmp_path):
+    payments = sound["payments"].withColumn("payment_value", sound["payments"]["payment_value"] + 10**8)
+    writer = warehouse.StarWriter(spark, str(tmp_path), own_keys=True)
+    transform(spark, sound | {"payments": payments}, writer)
+    assert ("fact_orders", "range", "payment_value", 2) in writer.violations()
+
+
+def test_a_second_translation_breaks_the_unique_product(spark, sound, tmp_path):
+    xlat = sound["category_xlat"]
+    twice = xlat.unionByName(xlat.replace("bed", "bedding"))
+    with pytest.raises(warehouse.ConstraintViolation) as refused:
+        run_pipeline(spark, lambda: sound | {"category_xlat": twice}, str(tmp_path))
+    assert ("dim_product", "unique", "product_id", 1) in refused.value.violations
+
+
+def test_load_ready_made_tables_and_skip_the_missing(spark, published, tmp_path, caplog):
+    star = warehouse.open_star(spark, published)
+    without = {name: df for name, df in star.items() if name != "dim_location"}
+    without["fact_orders"] = without["fact_orders"].drop("order_key", "purchase_month")
+    target = str(tmp_path / "copy")
+    with caplog.at_level(logging.WARNING, "starbazaar"):
+        copy = warehouse.load_star(spark, without, target, max_records_per_file=2)
+    assert "dim_location" in caplog.text and "dim_location" not in copy
+    assert copy["fact_orders"].select("order_key").distinct().count() == 4
+    assert copy["fact_orders"].select("purchase_month").distinct().count() == 1
+
+
+def test_a_foreign_fact_with_a_dangling_key_is_refused(spark, published, tmp_path):
+    star = warehouse.open_star(spark, published)
+    star["dim_seller"] = star["dim_seller"].limit(0)
+    with pytest.raises(warehouse.ConstraintViolation) as refused:
+        warehouse.load_star(spark, star, str(tmp_path / "copy"))
+    assert ("fact_orders", "foreign_key", "seller_key", 4) in refused.value.violations
+
+
+def test_views_with_comments(spark, published):
+    for _ in range(2):
+        warehouse.register_views(spark, published, "test_dw")
+    assert spark.table("test_dw.fact_orders").count() == 4
+    comments = {r["col_name"]: r["comment"] for r in spark.sql("DESCRIBE test_dw.dim_date").collect()}
+    assert comments["date_key"] == "Day as YYYYMMDD."
+    spark.sql("DROP DATABASE test_dw CASCADE")
+
+
+def test_parameterised_query(spark, published):
+    star = warehouse.open_star(spark, published)
+    found = warehouse.run_query(
+        spark, star, "SELECT count(*) AS n FROM fact_orders WHERE date_key BETWEEN :a AND :b",
+        {"a": 20170120, "b": 20170131})
+    assert found.first()["n"] == 2
+
+
+def test_old_versions_are_dropped(spark, published, tmp_path):
+    base, sellers = str(tmp_path), {"dim_seller": warehouse.open_star(spark, published)["dim_seller"]}
+    for _ in range(2):
+        warehouse.load_star(spark, sellers, base)
+    assert warehouse.drop_superseded(spark, base, keep=2) == []
+    assert len(warehouse.drop_superseded(spark, base, keep=1)) == 1
+    assert warehouse.open_star(spark, base)["dim_seller"].count() == 1
+
+
+def test_months_are_pruned(spark, published):
+    from datetime import date
+
+    from starbazaar.plans.range_reports import in_period
+    rows = in_period(warehouse.open_star(spark, published)["fact_orders"], date(2017, 1, 11), date(2017, 1, 31))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "purchase_month" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert rows.count() == 2
+
+
+def test_job_from_csv_files(spark, sound, tmp_path):
+    raw_folder, star_folder = str(tmp_path / "raw"), str(tmp_path / "star")
+    write_csv_tables(sound, raw_folder)
+    assert main(["--raw", raw_folder, "--star", star_folder]) == 0
+    assert warehouse.open_star(spark, star_folder)["fact_orders"].count() == 4
+    assert main(["--raw", str(tmp_path / "nowhere"), "--star", star_folder]) == 1
+
+
+def test_shared_folder(spark):
+    assert app_dir(spark).startswith(shared_dir(spark))
+
+
+def test_star_table_without_its_key_gets_one(spark, tmp_path):
+    rows = [{"seller_id": s, "state": "SP"} for s in ("b", "a")]
+    sellers = star_table(spark, "dim_seller", rows).drop("seller_key")
+    star = warehouse.load_star(spark, {"dim_seller": sellers}, str(tmp_path))
+    assert [tuple(r) for r in star["dim_seller"].select("seller_key", "seller_id").orderBy("seller_key").collect()] == [
+        (1, "a"), (2, "b")]
