@@ -57,10 +57,12 @@ def test_register(raw):
     assert ("duplicado_pk", "products", "product_id", 1, "alta") in rows
     assert ("fecha_nula", "orders", "order_purchase_timestamp", 1, "media") in rows
     counts = {r["severity"]: r["findings"] for r in quality.severity_counts(register).collect()}
-    assert list(counts) == ["alta", "media", "baja"] and counts["baja"] == 0
+    assert list(counts) == ["alta", "media", "baja"] and counts["baja"] == 1  # no purchase in February
+    graver = quality.severity_counts(register.where("severity <> 'baja'")).collect()
+    assert [r["findings"] for r in graver] == [counts["alta"], counts["media"], 0]
     with pytest.raises(RuntimeError, match="duplicado_pk products.product_id"):
         quality.gate(register)
-    quality.gate(register, "baja")
+    quality.gate(register.where("severity <> 'alta'"))
 
 
 def test_profile(raw):
