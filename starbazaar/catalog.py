@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ CHOSEN_PERIOD = (date(1996, 3, 15), date(1998, 10, 20))
 
 _loads: dict[tuple[str, str, bool], tuple[StarWriter, dict[str, DataFrame]]] = {}
 _texts: dict[tuple[str, str], str] = {}
+_loading = Lock()
 
 
 def _load(spark: SparkSession, sf_dir: str, damaged: bool = False) -> tuple[StarWriter, dict[str, DataFrame]]:
@@ -35,13 +37,14 @@ def _load(spark: SparkSession, sf_dir: str, damaged: bool = False) -> tuple[Star
     The damaged variant breaks the star's rules, so it is built but not published.
     """
     key = (spark.sparkContext.applicationId, sf_dir, damaged)
-    if key not in _loads:
-        writer = StarWriter(spark, f"{app_dir(spark)}/star", own_keys=True)
-        star = transform(spark, marketplace(spark, sf_dir, damaged), writer)
-        if not damaged:
-            writer.publish()
-        _loads[key] = (writer, star)
-    return _loads[key]
+    with _loading:
+        if key not in _loads:
+            writer = StarWriter(spark, f"{app_dir(spark)}/star", own_keys=True)
+            star = transform(spark, marketplace(spark, sf_dir, damaged), writer)
+            if not damaged:
+                writer.publish()
+            _loads[key] = (writer, star)
+        return _loads[key]
 
 
 def star_of(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -50,11 +53,12 @@ def star_of(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def _csv_folder(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _texts:
-        path = f"{app_dir(spark)}/csv-{len(_texts)}"
-        write_csv_tables(marketplace(spark, sf_dir), path)
-        _texts[key] = path
-    return _texts[key]
+    with _loading:
+        if key not in _texts:
+            path = f"{app_dir(spark)}/csv-{len(_texts)}"
+            write_csv_tables(marketplace(spark, sf_dir), path)
+            _texts[key] = path
+        return _texts[key]
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -156,7 +160,7 @@ def _audits(suffix: str, damaged: bool) -> dict[str, Query]:
 
 def queries() -> dict[str, Query]:
     fact_names = STAR["fact_orders"].names[1:]
-    table = {
+    return {
         "date_dimension": _on_star(lambda star: star["dim_date"]),
         "customer_dim": _on_star(lambda star: star["dim_customer"]),
         "product_dim": _on_star(lambda star: star["dim_product"]),
@@ -192,4 +196,3 @@ def queries() -> dict[str, Query]:
         **_audits("", damaged=False),
         **_audits("_damaged", damaged=True),
     }
-    return table

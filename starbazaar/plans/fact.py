@@ -33,17 +33,19 @@ def order_headers(
         whole_days(promised, purchase).alias("estimated_delivery_days"),
         is_late(whole_days(delivered, purchase), delivered, promised).alias("is_late_delivery"),
     )
-    keyed = headers.join(customer_keys.select("customer_id", "customer_key"), "customer_id", "left")
+    # The two joins on order_id share one partitioning; the customers come after them.
+    joined = (
+        headers
+        .join(dominant_payment(payments.where("order_id IS NOT NULL")), "order_id", "left")
+        .join(latest_review(reviews.where("order_id IS NOT NULL")), "order_id", "left")
+        .join(customer_keys.select("customer_id", "customer_key"), "customer_id", "left")
+    )
     reason = (
         F.when(F.col("date_key") == UNKNOWN_DATE_KEY, "no_purchase_time")
         .when(F.col("customer_key").isNull(), "unknown_customer")
         .when(F.col("estimated_delivery_days").isNull(), "no_valid_estimate")
     )
-    return (
-        keyed.withColumn("order_reason", reason)
-        .join(dominant_payment(payments.where("order_id IS NOT NULL")), "order_id", "left")
-        .join(latest_review(reviews.where("order_id IS NOT NULL")), "order_id", "left")
-    )
+    return joined.withColumn("order_reason", reason)
 
 
 def classified_items(

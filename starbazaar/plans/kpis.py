@@ -171,22 +171,20 @@ def last_purchase_day(star: Star) -> DataFrame:
 
 
 def person_orders(star: Star, *more: Column) -> DataFrame:
-    """Distinct orders per person, other aggregates of ``order_total`` and ``date_key`` on request.
+    """Distinct orders per person, other aggregates of the person's sales on request.
 
-    The fact is reduced to order level before the join; the distinct count is spread over (person, order), so
-    a person with very many orders does not land in one task.
+    The distinct count combines (person, order) pairs first and spreads them by both, so a person with very
+    many orders does not land in one task.
     """
-    per_order = sales(star).groupBy("customer_key", "order_id").agg(
-        F.sum(revenue()).alias("order_total"), F.max("date_key").alias("date_key"))
     people = star["dim_customer"].select("customer_key", "customer_unique_id")
-    return per_order.join(people, "customer_key").groupBy("customer_unique_id").agg(
+    return sales(star).join(people, "customer_key").groupBy("customer_unique_id").agg(
         F.count_distinct("order_id").alias("num_orders"), *more)
 
 
 def customer_metrics(star: Star) -> DataFrame:
     """Recency, frequency and money per person. Day keys sort like days, so the latest day is the largest key."""
     metrics = person_orders(
-        star, F.max("date_key").alias("date_key"), money(F.sum("order_total")).alias("monetary"))
+        star, F.max("date_key").alias("date_key"), money(F.sum(revenue())).alias("monetary"))
     days = star["dim_date"].select("date_key", "full_date")
     latest = last_purchase_day(star).scalar()
     return metrics.join(days, "date_key").select(
@@ -248,22 +246,13 @@ def repurchase_rate(star: Star) -> DataFrame:
 
 def state_share(star: Star) -> DataFrame:
     """Share of orders per customer state and per seller state."""
-    customer_side = (
-        star["fact_orders"].select("order_id", "customer_key").distinct()
-        .join(star["dim_customer"].select("customer_key", "state"), "customer_key")
-    )
-    seller_side = (
-        star["fact_orders"].select("order_id", "seller_key").distinct()
-        .join(star["dim_seller"].select("seller_key", "state"), "seller_key")
-    )
-    counts = [
-        df.groupBy("state").agg(F.count_distinct("order_id").alias("num_orders"))
-        .select(F.lit(side).alias("side"), "state", "num_orders")
-        for side, df in (("customer", customer_side), ("seller", seller_side))
-    ]
+    def per_state(side: str) -> DataFrame:
+        states = star[f"dim_{side}"].select(f"{side}_key", "state")
+        rows = star["fact_orders"].select("order_id", f"{side}_key").join(states, f"{side}_key")
+        return rows.groupBy(F.lit(side).alias("side"), "state").agg(F.count_distinct("order_id").alias("num_orders"))
+
     of_side = Window.partitionBy("side")  # over the states
-    both = counts[0].unionByName(counts[1])
-    return both.withColumn(
+    return per_state("customer").unionByName(per_state("seller")).withColumn(
         "share_pct", percent_rows(F.col("num_orders"), F.sum("num_orders").over(of_side), 1)
     ).orderBy("side", F.desc("num_orders"), "state")
 

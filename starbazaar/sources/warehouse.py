@@ -120,9 +120,12 @@ class StarWriter:
 
 
 def _with_layout(df: DataFrame) -> DataFrame:
-    """Add the layout columns to a ready-made fact. Its month follows from the day key."""
+    """Add what a ready-made fact may lack: the layout columns (the month follows from the day key) and freight,
+    which is 0 unless given."""
     if "reject_reason" in df.columns:
         return df
+    if "freight_value" not in df.columns:
+        df = df.withColumn("freight_value", F.lit(0))
     return df.withColumns({
         "reject_reason": F.lit(KEPT), "purchase_month": F.expr("date_key div 100").cast("int"),
         "product_id": F.lit(None).cast("string"), "seller_id": F.lit(None).cast("string"),

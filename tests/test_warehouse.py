@@ -58,13 +58,14 @@ def test_a_second_translation_breaks_the_unique_product(spark, sound, tmp_path):
 def test_load_ready_made_tables_and_skip_the_missing(spark, published, tmp_path, caplog):
     star = warehouse.open_star(spark, published)
     without = {name: df for name, df in star.items() if name != "dim_location"}
-    without["fact_orders"] = without["fact_orders"].drop("order_key", "purchase_month")
+    without["fact_orders"] = without["fact_orders"].drop("order_key", "purchase_month", "freight_value")
     target = str(tmp_path / "copy")
     with caplog.at_level(logging.WARNING, "starbazaar"):
         copy = warehouse.load_star(spark, without, target, max_records_per_file=2)
     assert "dim_location" in caplog.text and "dim_location" not in copy
     assert copy["fact_orders"].select("order_key").distinct().count() == 4
     assert copy["fact_orders"].select("purchase_month").distinct().count() == 1
+    assert copy["fact_orders"].where("freight_value = 0").count() == 4
 
 
 def test_a_foreign_fact_with_a_dangling_key_is_refused(spark, published, tmp_path):
