@@ -67,32 +67,40 @@ def tile(df: DataFrame, tiles: int, order: dict[str, Column], label: str = "tile
     return sum(passed, F.lit(1))
 
 
-def group_median(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """Exact median per key, the mean of the two middle values for an even count; NULL values are skipped.
-
-    The built-in median keeps all of a group's distinct values in one task. Here equal pairs combine into one
-    weighted row first, the distinct pairs are laid out in (key, value) order over all tasks, and each pair
-    covers a range of global positions. A group's middle positions then pick its one or two middle pairs.
+def group_medians(df: DataFrame, key: str, values: list[str]) -> DataFrame:
+    """Exact medians per key of several numeric columns, the mean of the two middle values for an even count.
+    NULL values are skipped; a key with none gets no row or a NULL.
+
+    The built-in median keeps all of a group's distinct values in one task. Here equal values of a key combine
+    into one weighted row first, the distinct ones are laid out in order over all tasks, and each covers a range
+    of global positions. A group's middle positions then pick its one or two middle values. All columns share
+    one layout, told apart by their name.
     """
-    pairs = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_weight"))
-    layout = _sorted_layout(pairs, [key, value], f"median-{value}")
+    group = [key, "_column"]
+    named = F.explode(F.array(*(F.struct(F.lit(v).alias("_column"), F.col(v).alias("_value")) for v in values)))
+    pairs = (
+        df.select(key, named.alias("_named")).select(key, "_named.*").where("_value IS NOT NULL")
+        .groupBy(*group, "_value").agg(F.count("*").alias("_weight"))
+    )
+    layout = _sorted_layout(pairs, [*group, "_value"], "medians")
     starts = F.broadcast(_partition_starts(layout, F.sum("_weight")))
     so_far = Window.partitionBy("_part").orderBy("_offset").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
         layout.withColumn("_end", F.sum("_weight").over(so_far))
         .join(starts, "_part")
-        .select(key, value, "_weight", (F.col("_start") + F.col("_end")).alias("_end"))
+        .select(*group, "_value", "_weight", (F.col("_start") + F.col("_end")).alias("_end"))
         .withColumn("_begin", F.col("_end") - F.col("_weight"))
     )
-    # Written, so that the join below shuffles both sides itself and a hot key's pairs can be split.
+    # Written, so that the join below shuffles both sides itself and a hot key's values can be split.
     spans = work_table(
-        placed.groupBy(key).agg(F.min("_begin").alias("_first"), F.sum("_weight").alias("_rows")), f"spans-{value}")
+        placed.groupBy(*group).agg(F.min("_begin").alias("_first"), F.sum("_weight").alias("_rows")), "spans")
     middles = spans.select(
-        key, F.expr("_first + (_rows - 1) div 2").alias("_low"), F.expr("_first + _rows div 2").alias("_high"))
+        *group, F.expr("_first + (_rows - 1) div 2").alias("_low"), F.expr("_first + _rows div 2").alias("_high"))
 
-    def at(position: str) -> Column:
+    def at(column: str, position: str) -> Column:
         inside = (F.col("_begin") <= F.col(position)) & (F.col(position) < F.col("_end"))
-        return F.max(F.when(inside, F.col(value)))
+        return F.max(F.when(inside & (F.col("_column") == column), F.col("_value")))
 
     touched = (F.col("_begin") <= F.col("_high")) & (F.col("_low") < F.col("_end"))
-    return placed.join(middles, key).where(touched).groupBy(key).agg(((at("_low") + at("_high")) / 2).alias(name))
+    return placed.join(middles, group).where(touched).groupBy(key).agg(*(
+        ((at(v, "_low") + at(v, "_high")) / 2).alias(v) for v in values))

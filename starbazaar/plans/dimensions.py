@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starbazaar.functions.scalars import date_key, iso_weekday, zero_pad
 from starbazaar.operators.dedupe import first_per_key
-from starbazaar.operators.numbering import group_median
+from starbazaar.operators.numbering import group_medians
 
 # The carrier date is not among them.
 CALENDAR_COLUMNS = (
@@ -91,6 +91,4 @@ def location_dimension(geolocation: DataFrame) -> DataFrame:
         return F.min_by(column, F.when(F.col(column).isNotNull(), order)).alias(column)
 
     names = points.groupBy("zip_code_prefix").agg(first_known("city"), first_known("state"))
-    lat = group_median(points, "zip_code_prefix", "lat", "lat")
-    lng = group_median(points, "zip_code_prefix", "lng", "lng")
-    return names.join(lat, "zip_code_prefix", "left").join(lng, "zip_code_prefix", "left")
+    return names.join(group_medians(points, "zip_code_prefix", ["lat", "lng"]), "zip_code_prefix", "left")

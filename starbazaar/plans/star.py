@@ -36,9 +36,8 @@ def transform(spark: SparkSession, raw: dict[str, DataFrame], writer: StarWriter
             inheritable_thread_target(spark)(writer.write_rejects), incomplete_rows(orders, items))
         headers = work_table(
             order_headers(orders, pending["dim_customer"].result(), raw["payments"], raw["reviews"]), "order-headers")
-        star = {name: result.result() for name, result in pending.items()}
+        classified = classified_items(items, headers, pending["dim_product"].result(), pending["dim_seller"].result())
+        fact = writer.write("fact_orders", classified)
         early.result()
-
-    classified = classified_items(items, headers, star["dim_product"], star["dim_seller"])
-    star["fact_orders"] = writer.write("fact_orders", classified)
-    return star
+        star = {name: result.result() for name, result in pending.items()}
+    return star | {"fact_orders": fact}

@@ -3,7 +3,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from starbazaar.operators.dedupe import dominant_payment, duplicated_rows, first_per_key, latest_review
-from starbazaar.operators.numbering import group_median, tile, with_position, with_surrogate_key
+from starbazaar.operators.numbering import group_medians, tile, with_position, with_surrogate_key
 
 
 @pytest.mark.parametrize("rows", [0, 1, 2, 5, 7, 59])
@@ -43,18 +43,19 @@ def test_surrogate_keys_follow_the_natural_key(spark):
     assert [(r["key"], r["natural"]) for r in keyed] == [(1, "a"), (2, "b"), (3, "c")]
 
 
-def test_group_median(spark):
-    rows = [("even", v) for v in (1.0, 2.0, 3.0, 10.0)] + [("odd", v) for v in (5.0, None, 1.0, 9.0)] + [("none", None)]
-    medians = group_median(spark.createDataFrame(rows, "k string, v double"), "k", "v", "m").collect()
-    assert {r["k"]: r["m"] for r in medians} == {"even": 2.5, "odd": 5.0}
+def test_group_medians(spark):
+    rows = [("even", v, 1.0) for v in (1.0, 2.0, 3.0, 10.0)] + [("odd", v, v) for v in (5.0, None, 1.0, 9.0)]
+    rows += [("none", None, 4.0), ("nothing", None, None)]
+    medians = group_medians(spark.createDataFrame(rows, "k string, v double, w double"), "k", ["v", "w"]).collect()
+    assert {r["k"]: (r["v"], r["w"]) for r in medians} == {"even": (2.5, 1.0), "odd": (5.0, 5.0), "none": (None, 4.0)}
 
 
-def test_group_median_with_a_hot_group(spark):
+def test_group_medians_with_a_hot_group(spark):
     df = spark.range(6000).select(
         F.when(F.col("id") % 2 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("k"),
         F.when(F.col("id") % 4 == 0, 3.0).otherwise((F.hash("id") % 1000).cast("double")).alias("v"))
-    expected = df.groupBy("k").agg(F.median("v").alias("m"))
-    assert group_median(df, "k", "v", "m").exceptAll(expected).count() == 0
+    expected = df.groupBy("k").agg(F.median("v").alias("v"))
+    assert group_medians(df, "k", ["v"]).exceptAll(expected).count() == 0
 
 
 def test_first_per_key_ignores_row_order(spark):
