@@ -1,4 +1,4 @@
-"""Extract, transform, publish as one job: ``spark-submit -m``-style entry with per-stage timing."""
+"""Extract, transform and publish as one job, timed per stage: ``python -m starbazaar.plans.pipeline``."""
 
 from __future__ import annotations
 

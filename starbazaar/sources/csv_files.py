@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,8 @@ from pyspark.sql import types as T
 
 from starbazaar.sources.schemas import RAW
 
+log = logging.getLogger(__name__)
+
 # File names of the published dataset, whatever prefix they carry.
 FILES = {
     "orders": "*_orders_dataset.csv",
@@ -61,7 +64,10 @@ def read_csv_table(spark: SparkSession, path: str, name: str, multi_line: bool |
 def load_raw_data(spark: SparkSession, data_path: str | None = None) -> dict[str, DataFrame]:
     """All nine tables, lazily. The folder is the argument, else ``RAW_DATA_PATH``, else ``data/raw``."""
     base = data_path or os.getenv("RAW_DATA_PATH", "data/raw")
-    return {name: read_csv_table(spark, f"{base}/{pattern}", name) for name, pattern in FILES.items()}
+    tables = {name: read_csv_table(spark, f"{base}/{pattern}", name) for name, pattern in FILES.items()}
+    for name, df in tables.items():
+        log.info("%-14s columns=%d", name, len(df.columns))
+    return tables
 
 
 def write_csv_tables(tables: dict[str, DataFrame], base: str, prefix: str = "market") -> None:

@@ -1,6 +1,6 @@
 """Run queries in Spark and DuckDB and compare columns, row counts and values.
 
-    python tests/compare.py 0.01 [name ...]
+    python tests/compare.py 0.01 [name ...]     (or a folder instead of the scale factor)
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ def main() -> int:
     import __spark_entry__ as entry
     from starbazaar.session import local_session
 
-    sf_dir = f"/root/testdata/sf{sys.argv[1]}"
+    sf_dir = sys.argv[1] if os.path.isdir(sys.argv[1]) else f"/root/testdata/sf{sys.argv[1]}"
     spark = local_session(8, **{"spark.sql.shuffle.partitions": "8"})
     connection, sql, failed = duck(sf_dir), entry.oracle_sql(), []
     for name, query in entry.queries().items():

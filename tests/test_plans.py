@@ -24,9 +24,9 @@ def star(spark):
 def test_no_python_and_no_single_task_over_rows(star, name):
     text = plan(kpis.KPIS[name](star))
     assert "Python" not in text and "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    # A single partition may only follow a partial aggregate or the few payment types.
+    # A single partition may only follow a partial aggregate.
     for match in re.finditer(r"Exchange SinglePartition.*\n(.*)", text):
-        assert "HashAggregate" in match.group(1) or name == "payment_method_distribution", text
+        assert "HashAggregate" in match.group(1), text
 
 
 @pytest.mark.parametrize("name", ["top10_categories_by_revenue", "top10_sellers_by_revenue"])
