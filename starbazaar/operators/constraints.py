@@ -69,13 +69,26 @@ def _unique_report(df: DataFrame, table: Table, column: str, constraint: str) ->
     )
 
 
+def reference_count(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """One row: ``rows`` of the child and how many of them are ``orphans``, without a parent of that key.
+
+    NULL equals NULL here. Both sides go through one grouping by key instead of a join: each is combined per
+    task and shuffled once, a key with very many rows arrives as one row per task, and nothing is sorted.
+    """
+    keys = child.select(F.col(column).alias("_key"), F.lit(False).alias("_parent")).unionByName(
+        parent.select(F.col(parent_column).alias("_key"), F.lit(True).alias("_parent")))
+    per_key = keys.groupBy("_key").agg(
+        F.count_if(~F.col("_parent")).alias("n"), F.bool_or("_parent").alias("_known"))
+    return per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(~F.col("_known"), F.col("n"))), F.lit(0)).alias("orphans"))
+
+
 def _reference_report(child: DataFrame, parent: DataFrame, table: Table, column: str, target: Table) -> DataFrame:
-    per_key = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    known = parent.select(F.col(target.primary_key).alias(column))
-    return per_key.join(known, column, "left_anti").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("violations")
-    ).select(F.lit(table.name).alias("table"), F.lit("foreign_key").alias("constraint"),
-             F.lit(column).alias("column"), "violations")
+    present = child.where(F.col(column).isNotNull())
+    return reference_count(present, column, parent, target.primary_key).select(
+        F.lit(table.name).alias("table"), F.lit("foreign_key").alias("constraint"),
+        F.lit(column).alias("column"), F.col("orphans").alias("violations"))
 
 
 def key_report(star: dict[str, DataFrame], *, own_keys: bool = False) -> DataFrame:

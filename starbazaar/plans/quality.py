@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starbazaar.functions.scalars import percent_rows, severity_rank, status_label
+from starbazaar.operators.constraints import reference_count
 from starbazaar.operators.dedupe import duplicated_rows
 
 Raw = dict[str, DataFrame]
@@ -81,23 +82,11 @@ def duplicate_order_rows(orders: DataFrame, rows: int = 10) -> DataFrame:
         F.asc_nulls_last("order_id"), F.asc_nulls_last("customer_id"), F.asc_nulls_last(PURCHASE)).limit(rows)
 
 
-def orphan_count(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows and those without a parent. NULL equals NULL, so a NULL child is an orphan unless the parent
-    has a NULL key too. Children combine per key first: a key with very many rows becomes one before the join.
-    """
-    per_key = child.groupBy(F.col(column).alias("_key")).agg(F.count("*").alias("n"))
-    known = parent.select(F.col(parent_column).alias("_parent")).distinct().withColumn("_hit", F.lit(True))
-    matched = per_key.join(known, F.col("_key").eqNullSafe(F.col("_parent")), "left")
-    return matched.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("n"))), F.lit(0)).alias("orphans"),
-    )
-
-
 def orphans(raw: Raw) -> DataFrame:
-    """The six relations: orphans, their share, and whether the share calls for an alert."""
+    """The six relations: orphans, their share, and whether the share calls for an alert. A NULL child is an
+    orphan unless the parent has a NULL key too."""
     parts = [
-        orphan_count(raw[child], column, raw[parent], column).select(
+        reference_count(raw[child], column, raw[parent], column).select(
             F.lit(child).alias("table"), F.lit(column).alias("column"), F.lit(parent).alias("parent"),
             F.lit(severity).alias("severity"), "*")
         for child, column, parent, severity in RELATIONS

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL_DIR
 from starbazaar import catalog
-from starbazaar.plans import kpis, profile, quality
+from starbazaar.operators.constraints import reference_count
+from starbazaar.plans import kpis, profile
 from starbazaar.sources.given_tables import marketplace
 
 
@@ -50,5 +51,5 @@ def test_unused_order_facts_are_not_computed(spark):
 
 def test_keys_combine_before_the_shuffle(spark):
     raw = marketplace(spark, SMALL_DIR)
-    text = plan(quality.orphan_count(raw["order_items"], "product_id", raw["products"], "product_id"))
-    assert "partial_count" in text
+    text = plan(reference_count(raw["order_items"], "product_id", raw["products"], "product_id"))
+    assert "partial_count" in text and "Join" not in text and "Sort" not in text

@@ -3,6 +3,7 @@ from decimal import Decimal
 import pytest
 
 from conftest import raw_table
+from starbazaar.operators.constraints import reference_count
 from starbazaar.plans import profile, quality
 
 
@@ -14,7 +15,7 @@ def table(spark, *keys):
     (["a", "b", None], ["a"], 2), (["a", None, None], ["a", None], 0), ([], ["a"], 0), (["a"], [], 1)])
 def test_a_null_child_is_an_orphan_unless_a_parent_is_null(spark, child, parent, orphans):
     c, p = table(spark, *child), table(spark, *parent)
-    row = quality.orphan_count(c, "k", p, "k").first()
+    row = reference_count(c, "k", p, "k").first()
     assert (row["rows"], row["orphans"]) == (len(child), orphans)
     assert quality.orphan_rows(c, "k", p).count() == orphans
 
