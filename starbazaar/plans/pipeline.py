@@ -11,9 +11,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starbazaar.plans.quality import SEVERITIES, gate, issues
 from starbazaar.plans.star import transform
 from starbazaar.sources.csv_files import load_raw_data
-from starbazaar.sources.warehouse import StarWriter
+from starbazaar.sources.warehouse import StarWriter, drop_superseded
 
 log = logging.getLogger(__name__)
 
@@ -27,20 +28,27 @@ def _stage(name: str, seconds: dict[str, float]):
 
 
 def run_pipeline(
-    spark: SparkSession, extract: Callable[[], dict[str, DataFrame]], base: str,
+    spark: SparkSession, extract: Callable[[], dict[str, DataFrame]], base: str, *,
+    blocking: str | None = None, keep: int | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, float]]:
     """Publish a new version of the star under ``base``. Returns its tables and the seconds per stage.
 
-    Any failure leaves the version published before in place.
+    Any failure leaves the version published before in place. ``blocking`` names a severity: audit findings of it
+    in the raw tables stop the load. ``keep`` is the number of published versions to keep, all if not given.
     """
     seconds: dict[str, float] = {}
     writer = StarWriter(spark, base, own_keys=True)
     with _stage("extract", seconds):
         raw = extract()
+    if blocking:
+        with _stage("audit", seconds):
+            gate(issues(raw), blocking)
     with _stage("transform", seconds):
         transform(spark, raw, writer)
     with _stage("publish", seconds):
         star = writer.publish()
+    if keep:
+        drop_superseded(spark, base, keep)
     return star, seconds
 
 
@@ -48,11 +56,14 @@ def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description="Load the raw CSV files into the star schema.")
     parser.add_argument("--raw", help="folder with the CSV files (default: RAW_DATA_PATH or data/raw)")
     parser.add_argument("--star", required=True, help="folder of the published star")
+    parser.add_argument("--blocking", choices=SEVERITIES, help="stop on audit findings of this severity")
+    parser.add_argument("--keep", type=int, help="number of published versions to keep (default: all)")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     spark = SparkSession.builder.appName("starbazaar-pipeline").getOrCreate()
     try:
-        run_pipeline(spark, lambda: load_raw_data(spark, args.raw), args.star)
+        run_pipeline(spark, lambda: load_raw_data(spark, args.raw), args.star,
+                     blocking=args.blocking, keep=args.keep)
     except Exception:
         log.exception("load failed, the published star is unchanged")
         return 1

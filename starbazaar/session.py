@@ -36,12 +36,14 @@ _local_roots: dict[str, str] = {}
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, or a temporary one in local mode only."""
-    configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    context = spark.sparkContext
+    configured = (
+        spark.conf.get(CHECKPOINT_CONF, None) or context.getConf().get(CHECKPOINT_CONF) or context.getCheckpointDir())
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-    app = spark.sparkContext.applicationId
+    app = context.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="starbazaar-")
     return _local_roots[app]

@@ -7,6 +7,7 @@ manifest, so a failed load changes nothing for them.
 from __future__ import annotations
 
 import logging
+import re
 import uuid
 from datetime import datetime, timezone
 
@@ -22,6 +23,7 @@ log = logging.getLogger(__name__)
 FACT = "fact_orders"
 KEPT = "none"
 FACT_LAYOUT = ["reject_reason", "purchase_month"]
+VERSION_NAME = re.compile(r"\d{8}T\d{12}-[0-9a-f]{8}")
 REJECT_KEYS = ["order_id", "product_id", "seller_id"]
 
 
@@ -199,7 +201,10 @@ def load_star(spark: SparkSession, tables: dict[str, DataFrame], base: str,
 
 
 def drop_superseded(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
-    """Delete all but the newest ``keep`` published versions; return their names."""
+    """Delete what is older than the newest ``keep`` published versions, refused loads included; return the names.
+
+    Touches only folders named like a version. A load still running is newer than any published version.
+    """
     base = base.rstrip("/")
     manifest = spark.read.schema("version string, tables string").json(f"{base}/_manifest")
     newest = {r["version"] for r in manifest.orderBy(F.desc("version")).take(keep)}
@@ -208,8 +213,7 @@ def drop_superseded(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
     dropped = []
     for status in fs.listStatus(root):
         name = status.getPath().getName()
-        # Only published versions older than the kept ones: a running load's folder sorts after them.
-        if not name.startswith("_") and name not in newest and name < min(newest):
+        if VERSION_NAME.fullmatch(name) and name < min(newest):
             fs.delete(status.getPath(), True)
             dropped.append(name)
     return sorted(dropped)
