@@ -11,6 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _MODULES = {
     "op1_sentencepiece": "sentencepiece_bpe",
+    "op2_toxicity": "toxicity_grammar",
     "op7_simhash": "simhash_covering",
     "op10_mixing": "mixing",
 }
