@@ -12,6 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _MODULES = {
     "op1_sentencepiece": "sentencepiece_bpe",
     "op2_toxicity": "toxicity_grammar",
+    "op3_lines": "line_templates",
     "op7_simhash": "simhash_covering",
     "op10_mixing": "mixing",
 }
