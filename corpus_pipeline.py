@@ -6,10 +6,21 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starbazaar.llm import mixing, sentencepiece_bpe, simhash_covering
+from starbazaar.llm import line_templates, mixing, sentencepiece_bpe, simhash_covering, toxicity_grammar
 from starbazaar.session import app_dir
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the threshold stay; the lexicon is learned from the labels of these documents."""
+    lexicon = toxicity_grammar.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity_grammar.without_toxic(docs, lexicon)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines whose template recurs stay in one document only; all documents stay."""
+    return line_templates.without_recurring(docs).select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays."""
     return simhash_covering.one_of_each(docs)
@@ -28,6 +39,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxicity),
+    ("line dedup", line_dedup),
     ("near duplicates", near_duplicates),
     ("mixing", source_mix),
     ("sentencepiece", tokens),
