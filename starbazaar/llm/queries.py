@@ -14,6 +14,7 @@ _MODULES = {
     "op2_toxicity": "toxicity_grammar",
     "op3_lines": "line_templates",
     "op7_simhash": "simhash_covering",
+    "op8_quality": "quality_likelihood",
     "op10_mixing": "mixing",
 }
 
