@@ -13,6 +13,8 @@ _MODULES = {
     "op1_sentencepiece": "sentencepiece_bpe",
     "op2_toxicity": "toxicity_grammar",
     "op3_lines": "line_templates",
+    "op4_links": "link_trust",
+    "op6_warc": "warc_index",
     "op7_simhash": "simhash_covering",
     "op8_quality": "quality_likelihood",
     "op10_mixing": "mixing",
