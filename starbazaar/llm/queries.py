@@ -14,6 +14,7 @@ _MODULES = {
     "op2_toxicity": "toxicity_grammar",
     "op3_lines": "line_templates",
     "op4_links": "link_trust",
+    "op5_pii": "pii_boosting",
     "op6_warc": "warc_index",
     "op7_simhash": "simhash_covering",
     "op8_quality": "quality_likelihood",
