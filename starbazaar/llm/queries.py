@@ -18,6 +18,7 @@ _MODULES = {
     "op6_warc": "warc_index",
     "op7_simhash": "simhash_covering",
     "op8_quality": "quality_likelihood",
+    "op9_sketch": "paragraph_sketch",
     "op10_mixing": "mixing",
 }
 
