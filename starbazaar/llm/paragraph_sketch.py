@@ -1,7 +1,7 @@
 """Document fingerprints as invertible Bloom lookup sketches of paragraph digests; DataFrame functions only.
 
 A paragraph (a line) is cut into pieces of ``WORDS`` words, a piece's digest is its XXH64, and a text is the set of its digests. Every
-digest is added to three cells, one in each third of the sketch: a count, the XOR of the digests and the XOR of their checks. Two texts'
+digest is added to three cells, one in each third of the sketch: the XOR of the digests, and the sum of their tags, which count and check. Two texts'
 sketches subtract cell by cell, equal digests vanish, and peeling recovers what differs: a cell that holds a single digest gives it away, and
 taking it out of its other cells lays open the next one.
 
@@ -26,7 +26,10 @@ from starbazaar.llm.common import table
 
 WORDS, LONG = 16, 40
 #: Cells in a third of the fingerprint; of a block's sketch, one attempt after another; digests dealt into a block.
-THIRD, ATTEMPTS, LOAD = 8, (6, 12, 24, 48), 8
+THIRD, ATTEMPTS, LOAD = 8, (5, 10, 20), 6
+#: A tag counts in the bits from here on. A sketch has 63 cells at most, so that a digest's cells fit a mask.
+_COUNT = 32
+_ONE = 1 << _COUNT
 _PIECE = rf"(?:[^\x20\x09-\x0D]{{1,{LONG}}}+[\x20\x09]*+){{1,{WORDS}}}+"
 _LAST = -(1 << 63)
 #: Ranges of documents that are brought together for pairing, at most; as with any range partitioning their bounds are on the driver.
@@ -43,71 +46,79 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0)), lambda p: F.xxhash64(p)))
 
 
-def _check(digest: Column) -> Column:
-    return F.hash(digest)
+def _tag(digest: Column) -> Column:
+    """What a digest adds to a cell's tag: one in the upper bits for the count, its check in the lower ones."""
+    return F.lit(_ONE) + F.hash(digest, F.lit(-1)).bitwiseAND(F.lit(0x7FFFFFFF))
 
 
-def _place(digest: Column, third: Column, size: int) -> Column:
-    """The digest's cell within a third (0 to 2): bits that dealing into blocks does not use up."""
-    return F.pmod(F.hash(digest, third), F.lit(size))
+def _cells(digest: Column, size: int) -> Column:
+    """The digest's cells as a bit mask, one in each third."""
+    def bit(j: int) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.hash(digest, F.lit(j)), F.lit(size)) + j * size)
+    return bit(0).bitwiseOR(bit(1)).bitwiseOR(bit(2))
 
 
-def sketch(own: Column, size: int) -> Column:
-    """The ``3 * size`` cells of an array of digests."""
-    none = F.struct(F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("key"), F.lit(0).alias("check"))
-    # The three cells of each digest, once.
-    placed = F.transform(own, lambda d: F.struct(d.alias("d"), _check(d).alias("c"), *(
-        (_place(d, F.lit(j), size) + j * size).alias(f"p{j}") for j in range(3))))
+def _added(signed: Column, size: int) -> Column:
+    """The cells of digests with a sign, (d, tag, cells): the XOR of the digests and the sum of the tags in each."""
+    def cell(all_: Column, none: Column, more: Callable[[Column, Column], Column]) -> Column:
+        return F.transform(F.lit(list(range(3 * size))), lambda i: F.aggregate(
+            all_, none, lambda s, x: F.when(F.getbit(x.cells, i) == 1, more(s, x)).otherwise(s)))
+
+    zero = F.lit(0).cast("bigint")
+    return _let(signed, lambda all_: F.struct(
+        cell(all_, zero, lambda s, x: s.bitwiseXOR(x.d)).alias("keys"), cell(all_, zero, lambda s, x: s + x.tag).alias("tags")))
+
 
-    def cell(all_: Column, i: Column) -> Column:
-        def add(s: Column, d: Column) -> Column:
-            return F.when((d.p0 == i) | (d.p1 == i) | (d.p2 == i), F.struct(
-                (s.n + 1).alias("n"), s.key.bitwiseXOR(d.d).alias("key"), s.check.bitwiseXOR(d.c).alias("check"))).otherwise(s)
-        return F.aggregate(all_, none, add)
+def _signed(own: Column, sign: int, size: int) -> Column:
+    return F.transform(own, lambda d: F.struct(d.alias("d"), (sign * _tag(d)).alias("tag"), _cells(d, size).alias("cells")))
 
-    return _let(placed, lambda all_: F.transform(F.sequence(F.lit(0), F.lit(3 * size - 1)), lambda i: cell(all_, i)))
+
+def sketch(own: Column, size: int) -> Column:
+    """The ``3 * size`` cells of an array of digests, as two arrays."""
+    return _added(_signed(own, 1, size), size)
 
 
 def subtracted(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: F.struct(
-        (x.n - y.n).alias("n"), x.key.bitwiseXOR(y.key).alias("key"), x.check.bitwiseXOR(y.check).alias("check")))
+    return F.struct(F.zip_with(a.keys, b.keys, lambda x, y: x.bitwiseXOR(y)).alias("keys"),
+                    F.zip_with(a.tags, b.tags, lambda x, y: x - y).alias("tags"))
 
 
 def peeled(cells: Column, size: int) -> Column:
     """ok, and the digests of the left and the right side, of a subtracted sketch."""
-    def pure(x: Column, i: Column) -> Column:
-        return (F.abs(x.n) == 1) & (x.check == _check(x.key)) & (_place(x.key, F.floor(i / size).cast("int"), size) == i % size)
-
-    def state(cells: Column, left: Column, right: Column, more: Column) -> Column:
-        return F.struct(cells.alias("cells"), left.alias("left"), right.alias("right"), more.alias("more"))
-
-    def taken(s: Column, found: Column) -> Column:
-        def rest(at: Column) -> Column:
-            return F.transform(s.cells, lambda x, i: F.when(
-                (i == at.p0) | (i == at.p1) | (i == at.p2),
-                F.struct((x.n - found.n).alias("n"), x.key.bitwiseXOR(found.key).alias("key"), x.check.bitwiseXOR(found.check).alias("check")))
-                .otherwise(x))
-        places = F.struct(*((_place(found.key, F.lit(j), size) + j * size).alias(f"p{j}") for j in range(3)))
-        one, none = F.array(found.key), F.array().cast("array<bigint>")
-        return state(_let(places, rest), F.concat(s.left, F.when(found.n > 0, one).otherwise(none)),
-                     F.concat(s.right, F.when(found.n < 0, one).otherwise(none)), F.lit(True))
+    places = F.lit(list(range(3 * size)))
+    nothing = F.array().cast("array<bigint>")
+
+    def state(keys: Column, tags: Column, left: Column, right: Column, more: Column) -> Column:
+        return F.struct(keys.alias("keys"), tags.alias("tags"), left.alias("left"), right.alias("right"), more.alias("more"))
+
+    def pure(s: Column, i: Column) -> Column:
+        tag, key = F.abs(F.get(s.tags, i)), F.get(s.keys, i)
+        return (F.shiftright(tag, _COUNT) == 1) & (tag == _tag(key)) & (F.getbit(_cells(key, size), i) == 1)
+
+    def taken(s: Column, at: Column) -> Column:
+        found = F.struct(F.get(s.keys, at).alias("key"), F.get(s.tags, at).alias("tag"), _cells(F.get(s.keys, at), size).alias("cells"))
+        return _let(found, lambda x: state(
+            F.transform(s.keys, lambda k, i: F.when(F.getbit(x.cells, i) == 1, k.bitwiseXOR(x.key)).otherwise(k)),
+            F.transform(s.tags, lambda t, i: F.when(F.getbit(x.cells, i) == 1, t - x.tag).otherwise(t)),
+            F.when(x.tag > 0, F.concat(s.left, F.array(x.key))).otherwise(s.left),
+            F.when(x.tag < 0, F.concat(s.right, F.array(x.key))).otherwise(s.right), F.lit(True)))
 
     def step(s: Column, _: Column) -> Column:
-        return F.when(~s.more, s).otherwise(_let(F.get(F.filter(s.cells, pure), F.lit(0)), lambda found: F.when(
-            found.isNull(), state(s.cells, s.left, s.right, F.lit(False))).otherwise(taken(s, found))))
+        return F.when(~s.more, s).otherwise(_let(F.get(F.filter(places, lambda i: pure(s, i)), F.lit(0)), lambda at: F.when(
+            at.isNull(), state(s.keys, s.tags, s.left, s.right, F.lit(False))).otherwise(taken(s, at))))
 
-    nothing = F.array().cast("array<bigint>")
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(3 * size)), state(cells, nothing, nothing, F.lit(True)), step)
+    end = F.aggregate(places, state(cells.keys, cells.tags, nothing, nothing, F.lit(True)), step)
     return _let(end, lambda s: F.struct(
-        F.forall(s.cells, lambda x: (x.n == 0) & (x.key == 0) & (x.check == 0)).alias("ok"), s.left.alias("left"), s.right.alias("right")))
+        (F.forall(s.keys, lambda k: k == 0) & F.forall(s.tags, lambda t: t == 0)).alias("ok"), s.left.alias("left"), s.right.alias("right")))
 
 
 def _block(a: Column, b: Column, attempts: tuple[int, ...]) -> Column:
-    """The difference of two small arrays of digests by sketches of growing size."""
-    if not attempts:  # only digests that share all three cells in every attempt come here
+    """The difference of two small arrays of digests by sketches of growing size; one side is added, the other taken away."""
+    if not attempts:  # more digests in one block than chance brings there
         return F.struct(F.array_except(a, b).alias("left"), F.array_except(b, a).alias("right"))
     size = attempts[0]
-    return _let(peeled(subtracted(sketch(a, size), sketch(b, size)), size), lambda r: F.when(
+    cells = _added(F.concat(_signed(a, 1, size), _signed(b, -1, size)), size)
+    return _let(_let(cells, lambda c: peeled(c, size)), lambda r: F.when(
         r.ok, F.struct(r.left.alias("left"), r.right.alias("right"))).otherwise(_block(a, b, attempts[1:])))
 
 
@@ -135,7 +146,7 @@ def _larger(a: Column, b: Column) -> Column:
 
 def difference(a: Column, a_cells: Column, b: Column, b_cells: Column) -> Column:
     """left and right: the digests that only one of two texts has, from their fingerprints' cells or else from larger sketches."""
-    return _let(peeled(subtracted(a_cells, b_cells), THIRD), lambda r: F.when(
+    return _let(_let(subtracted(a_cells, b_cells), lambda c: peeled(c, THIRD)), lambda r: F.when(
         r.ok, F.struct(r.left.alias("left"), r.right.alias("right"))).otherwise(_larger(a, b)))
 
 
@@ -146,7 +157,7 @@ def likeness(a: Column, b: Column, found: Column) -> Column:
 
 
 def fingerprint(text: Column, own: Column, cells: Column) -> Column:
-    parts = F.transform(cells, lambda x: F.concat_ws(":", F.hex(x.n), F.hex(x.key), F.hex(x.check)))
+    parts = F.zip_with(cells.keys, cells.tags, lambda k, t: F.concat_ws(":", F.hex(k), F.hex(t)))
     return F.lower(F.concat_ws(";", F.hex(F.size(own)), F.hex(F.xxhash64(text)), F.array_join(parts, ",")))
 
 
