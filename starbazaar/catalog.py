@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 from threading import Lock
@@ -18,7 +19,7 @@ from starbazaar.plans import profile, quality, range_reports
 from starbazaar.plans.kpis import KPIS, score_by_lateness, state_share
 from starbazaar.plans.star import transform
 from starbazaar.session import app_dir, work_table
-from starbazaar.sources.csv_files import load_raw_data, write_csv_tables
+from starbazaar.sources.csv_files import load_raw_data, problems, read_with_problems, write_csv_tables
 from starbazaar.sources.given_tables import marketplace
 from starbazaar.sources.schemas import STAR
 from starbazaar.sources.warehouse import StarWriter, read_rejects, run_query
@@ -56,7 +57,9 @@ def _csv_folder(spark: SparkSession, sf_dir: str) -> str:
     with _loading:
         if key not in _texts:
             path = f"{app_dir(spark)}/csv-{len(_texts)}"
-            write_csv_tables(marketplace(spark, sf_dir), path)
+            tables = marketplace(spark, sf_dir)
+            # A column that no schema names is kept as well.
+            write_csv_tables(tables | {"orders": tables["orders"].withColumn("note", F.col("order_status"))}, path)
             _texts[key] = path
         return _texts[key]
 
@@ -92,8 +95,10 @@ def _surrogate_keys(star: dict[str, DataFrame]) -> DataFrame:
 
 
 def _order_quarters(star: dict[str, DataFrame]) -> DataFrame:
-    totals = work_table(
-        star["fact_orders"].groupBy("order_id").agg(F.sum(revenue()).alias("order_total")), "order-totals")
+    if "totals_by_order" not in star:
+        star["totals_by_order"] = work_table(
+            star["fact_orders"].groupBy("order_id").agg(F.sum(revenue()).alias("order_total")), "order-totals")
+    totals = star["totals_by_order"]
     order = {"total": -F.col("order_total"), "order": F.col("order_id")}
     return totals.withColumn("quarter_by_total", tile(totals, 4, order))
 
@@ -119,6 +124,25 @@ def _csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts
 
 
+def _csv_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews written as spoiled CSV text: scores that are no whole numbers, surplus and missing fields, quoted line breaks."""
+    reviews = marketplace(spark, sf_dir)["reviews"]
+    score, fields = F.col("review_score"), ["review_id", "order_id", "review_score", "review_creation_date", "review_answer_timestamp"]
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fields]
+    texts[2] = F.when(score == 5, "abc").when(score == 4, "4.9").otherwise(texts[2])
+    line = F.concat_ws(",", *texts, F.lit('"two ""quoted""\nlines"'))
+    line = F.when(score == 3, F.concat(line, F.lit(",surplus"))).when(score == 2, F.concat_ws(",", *texts[:2])).otherwise(line)
+    path = f"{app_dir(spark)}/spoiled-{uuid.uuid4().hex}"
+    # A text file is written with one column, whose name stands in no file; the header is the first line of every part.
+    header = ",".join([*fields, "comment"])
+    lines = reviews.select(line.alias("value")).sortWithinPartitions("value")
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    lines.select(F.when(first, F.concat(F.lit(header + "\n"), "value")).otherwise(F.col("value")).alias("value")).write.text(
+        f"{path}/x_order_reviews_dataset.csv")
+    found = problems({"reviews": read_with_problems(spark, f"{path}/x_order_reviews_dataset.csv", "reviews")})
+    return plain(found.select("table", F.coalesce("column", F.lit("*")).alias("column"), "problem", "n"))
+
+
 def _in_period(report: Callable, period: tuple[date, date] | None = None) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         star = star_of(spark, sf_dir)
@@ -187,6 +211,7 @@ def queries() -> dict[str, Query]:
            for name, report in range_reports.RANGE_REPORTS.items()},
         **_shown(),
         "csv_scan": _csv_scan,
+        "csv_problems": _csv_problems,
         "table_shapes": _on_raw(profile.table_shapes),
         "table_preview": _on_raw(lambda raw: profile.table_preview(raw["orders"], ["order_id"])),
         "orders_per_month": _on_raw(lambda raw: profile.orders_per_month(raw["orders"])),

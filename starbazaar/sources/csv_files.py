@@ -1,14 +1,26 @@
-"""The nine raw tables as CSV files."""
+"""The nine raw tables as CSV files, landed once as typed Parquet.
+
+Nothing is lost in silence: every column of a file is kept, columns go by each file's own header, a quoted line break is part of its
+field in all tables, and whatever can't be used is counted: rows of the wrong width, and filled values that their column's type can't hold. The
+load refuses such files, or reports what it found, as asked. A file is read by one task, since only its begin tells whether a line break is
+quoted; give a large table as several files.
+"""
 
 from __future__ import annotations
 
+import csv
 import logging
 import os
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starbazaar.session import app_dir
 from starbazaar.sources.schemas import RAW
 
 log = logging.getLogger(__name__)
@@ -32,42 +44,168 @@ MISSING = (
     "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Free text with line breaks inside quotes. Such a file is read by one task per file, the others are split.
-MULTI_LINE = frozenset({"reviews"})
+CORRUPT, PROBLEMS = "_corrupt_record", "_problems"
+WRONG_WIDTH, UNREADABLE = "wrong_width", "unreadable"
+_PROBLEM = "array<struct<column:string,problem:string,value:string>>"
+
+
+class CsvProblems(RuntimeError):
+    """Files hold rows or values that can't be used. ``found`` has (table, column, problem, count, sample)."""
+
+    def __init__(self, found: list[tuple]):
+        super().__init__("; ".join(f"{t}.{c or '*'}: {p} x{n}, such as {s!r}" for t, c, p, n, s in found))
+        self.found = found
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _matches(spark: SparkSession, pattern: str) -> list:
+    fs, place = _file_system(spark, pattern)
+    return sorted(fs.globStatus(place) or [], key=lambda s: s.getPath().toString())
+
+
+def _part_files(spark: SparkSession, status) -> list[str]:
+    if status.isFile():
+        return [status.getPath().toString()]
+    fs, place = _file_system(spark, status.getPath().toString())
+    parts = [s.getPath() for s in fs.listStatus(place) if s.isFile()]
+    return sorted(p.toString() for p in parts if not p.getName().startswith(("_", ".")))
+
+
+def _header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
+    """A file's column names, None for an empty file."""
+    fs, place = _file_system(spark, path)
+    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(fs.open(place), "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    if not line:
+        return None
+    names = tuple(c.strip() for c in next(csv.reader([line.lstrip("﻿")])))
+    if len({n.lower() for n in names}) < len(names):
+        raise ValueError(f"{path} names a column twice: {', '.join(names)}")
+    return names
+
+
+def _texts(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """All files under ``path`` as text columns by name, and the record where its width is wrong.
+
+    Files of one header are read together, so there are as many scans as there are different headers.
+    """
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for status in _matches(spark, path):
+        for part in _part_files(spark, status):
+            header = _header(spark, part)
+            if header:
+                by_header.setdefault(header, []).append(part)
+    if not by_header:
+        raise FileNotFoundError(f"{name}: nothing to read at {path}")
+    parts = []
+    for header, files in by_header.items():
+        absent = [f.name for f in RAW[name] if f.name not in header]
+        if absent:
+            raise ValueError(f"{name}: {files[0]} has no column {', '.join(absent)}")
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, CORRUPT)])
+        parts.append(spark.read.schema(schema).csv(
+            files, header=True, quote='"', escape='"', encoding="UTF-8", multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _filled(column: str) -> Column:
+    text = F.col(f"`{column}`")
+    return F.when(~F.trim(text).isin(*MISSING), text)
 
 
 def _typed(column: str, kind: T.DataType) -> Column:
-    text = F.col(f"`{column}`")
-    value = F.when(~F.trim(text).isin(*MISSING), text)
-    if isinstance(kind, T.TimestampNTZType):
-        return value.try_cast("timestamp_ntz").alias(column)
+    value = _filled(column)
     if isinstance(kind, T.IntegerType):
-        # A column with gaps may spell its integers with a fraction.
-        return value.try_cast("double").try_cast("int").alias(column)
-    return value.try_cast(kind).alias(column)
-
-
-def read_csv_table(spark: SparkSession, path: str, name: str, multi_line: bool | None = None) -> DataFrame:
-    """One raw table. Columns are matched by header name, so their order and extra columns do not matter."""
-    text = spark.read.csv(
-        path, header=True, quote='"', escape='"', encoding="UTF-8",
-        multiLine=name in MULTI_LINE if multi_line is None else multi_line)
-    schema = RAW[name]
-    present = {c.strip().lstrip("﻿"): c for c in text.columns}
-    renamed = text.withColumnsRenamed({old: new for new, old in present.items() if new != old})
-    absent = [f.name for f in schema if f.name not in present]
-    if absent:
-        raise ValueError(f"{name}: {path} has no column {', '.join(absent)}")
-    return renamed.select(*(_typed(f.name, f.dataType) for f in schema))
-
-
-def load_raw_data(spark: SparkSession, data_path: str | None = None) -> dict[str, DataFrame]:
-    """All nine tables, lazily. The folder is the argument, else ``RAW_DATA_PATH``, else ``data/raw``."""
-    base = data_path or os.getenv("RAW_DATA_PATH", "data/raw")
-    tables = {name: read_csv_table(spark, f"{base}/{pattern}", name) for name, pattern in FILES.items()}
-    for name, df in tables.items():
-        log.info("%-14s columns=%d", name, len(df.columns))
-    return tables
+        # A column with gaps may spell its integers with a fraction of zero.
+        number = value.try_cast("double")
+        return F.when(number == F.floor(number), number.try_cast("int"))
+    return value.try_cast("timestamp_ntz" if isinstance(kind, T.TimestampNTZType) else kind)
+
+
+def read_with_problems(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Every row of a raw table: its own columns typed, any others as text, and the problems it has."""
+    texts = _texts(spark, path, name)
+    own = RAW[name]
+    others = [c for c in texts.columns if c not in own.names and c != CORRUPT]
+    wide = F.col(CORRUPT).isNotNull()
+
+    def problem(column: Column, kind: str, value: Column) -> Column:
+        return F.struct(column.cast("string").alias("column"), F.lit(kind).alias("problem"), value.alias("value"))
+
+    unread = [F.when(_filled(f.name).isNotNull() & _typed(f.name, f.dataType).isNull(), problem(F.lit(f.name), UNREADABLE, F.col(f"`{f.name}`")))
+              for f in own if not isinstance(f.dataType, T.StringType)]
+    found = F.when(wide, F.array(problem(F.lit(None), WRONG_WIDTH, F.col(CORRUPT)))).otherwise(
+        F.filter(F.array(*unread), lambda p: p.isNotNull()) if unread else F.array().cast(_PROBLEM))
+    return texts.select(
+        *(_typed(f.name, f.dataType).alias(f.name) for f in own), *(_filled(c).alias(c) for c in others), found.cast(_PROBLEM).alias(PROBLEMS))
+
+
+def usable(rows: DataFrame) -> DataFrame:
+    """The rows of the right width; a value that can't be read is NULL."""
+    return rows.where(~F.exists(PROBLEMS, lambda p: p.problem == WRONG_WIDTH)).drop(PROBLEMS)
+
+
+def read_csv_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One raw table, what can be used of it, without landing it."""
+    return usable(read_with_problems(spark, path, name))
+
+
+def problems(landed: dict[str, DataFrame]) -> DataFrame:
+    """table, column, problem, n and the smallest value of it as a sample, over tables with their problems."""
+    parts = [df.select(F.lit(name).alias("table"), F.explode(PROBLEMS).alias("p")).select("table", "p.*") for name, df in landed.items()]
+    return reduce(DataFrame.unionByName, parts).groupBy("table", "column", "problem").agg(
+        F.count("*").alias("n"), F.min(F.left("value", F.lit(80))).alias("sample"))
+
+
+def data_set_prefix(spark: SparkSession, base: str, prefix: str | None = None) -> str:
+    """The one prefix of the files in a folder; files of several data sets need a choice."""
+    suffix = FILES["orders"][1:]
+    found = sorted({s.getPath().getName().removesuffix(suffix) for s in _matches(spark, f"{base}/*{suffix}")})
+    if prefix is not None:
+        return prefix
+    if len(found) != 1:
+        raise ValueError(f"{base} holds {'no data set' if not found else 'several data sets, choose a prefix: ' + ', '.join(found)}")
+    return found[0]
+
+
+def land_raw_data(spark: SparkSession, base: str, folder: str, prefix: str | None = None) -> dict[str, DataFrame]:
+    """Read each file once and write its table as Parquet under ``folder``; the tables with their problems."""
+    chosen = data_set_prefix(spark, base, prefix)
+
+    def land(name: str) -> DataFrame:
+        rows, seen = read_with_problems(spark, f"{base}/{FILES[name].replace('*', chosen)}", name), Observation(f"{name}-{uuid.uuid4().hex}")
+        rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(F.size(PROBLEMS)).alias("problems")).write.parquet(f"{folder}/{name}")
+        log.info("%-14s rows=%d columns=%d problems=%d", name, seen.get["rows"], len(rows.columns) - 1, seen.get["problems"] or 0)
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
+    with ThreadPoolExecutor(len(FILES)) as pool:
+        return dict(zip(FILES, pool.map(inheritable_thread_target(spark)(land), FILES)))
+
+
+def load_raw_data(spark: SparkSession, data_path: str | None = None, *, prefix: str | None = None,
+                  on_problem: str = "refuse") -> dict[str, DataFrame]:
+    """All nine tables, landed in the shared folder. The folder is the argument, else ``RAW_DATA_PATH``, else ``data/raw``.
+
+    ``on_problem`` is ``refuse`` (raise ``CsvProblems``) or ``report`` (log them and go on with what can be used).
+    """
+    if on_problem not in ("refuse", "report"):
+        raise ValueError(f"on_problem: {on_problem}")
+    base = (data_path or os.getenv("RAW_DATA_PATH", "data/raw")).rstrip("/")
+    landed = land_raw_data(spark, base, f"{app_dir(spark)}/raw-{uuid.uuid4().hex}", prefix)
+    # A line for each column and kind of problem.
+    found = [tuple(r) for r in problems(landed).orderBy("table", "column", "problem").collect()]
+    if found and on_problem == "refuse":
+        raise CsvProblems(found)
+    for line in found:
+        log.warning("%s.%s: %s x%d, such as %r", *line)
+    return {name: usable(df) for name, df in landed.items()}
 
 
 def write_csv_tables(tables: dict[str, DataFrame], base: str, prefix: str = "market") -> None:

@@ -1,6 +1,7 @@
 import pytest
 
-from starbazaar.sources.csv_files import FILES, load_raw_data, read_csv_table, write_csv_tables
+from starbazaar.sources.csv_files import (
+    CsvProblems, FILES, load_raw_data, problems, read_csv_table, read_with_problems, write_csv_tables)
 
 
 def write(path, text):
@@ -49,3 +50,50 @@ def test_all_tables_round_trip(spark, raw, tmp_path, monkeypatch):
     for name, df in read.items():
         assert df.schema == raw[name].schema
         assert df.exceptAll(raw[name]).count() == 0 and raw[name].exceptAll(df).count() == 0, name
+
+
+def test_a_quoted_line_break_is_kept_in_any_table(spark, tmp_path):
+    path = write(tmp_path / "x_sellers_dataset.csv",
+                 'seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01037,"sao\npaulo",SP\n')
+    assert [tuple(r) for r in read_csv_table(spark, path, "sellers").collect()] == [("s1", "01037", "sao\npaulo", "SP")]
+
+
+def test_what_cannot_be_read_is_counted(spark, tmp_path):
+    path = write(tmp_path / "x_order_reviews_dataset.csv", (
+        "review_id,order_id,review_score,review_creation_date,review_answer_timestamp\n"
+        "r1,o1,abc,2018-01-18 00:00:00,soon\nr2,o2,4.9,,\nr3,o3,4.0,,\nr4,o4\nr5,o5,1,,,surplus\n"))
+    rows = read_with_problems(spark, path, "reviews")
+    found = {(r["column"], r["problem"]): (r["n"], r["sample"]) for r in problems({"reviews": rows}).collect()}
+    assert found == {("review_score", "unreadable"): (2, "4.9"), ("review_answer_timestamp", "unreadable"): (1, "soon"),
+                     (None, "wrong_width"): (2, "r4,o4")}
+    assert {r["review_id"]: r["review_score"] for r in read_csv_table(spark, path, "reviews").collect()} == {"r1": None, "r2": None, "r3": 4}
+
+
+def test_columns_go_by_each_files_own_header(spark, tmp_path):
+    folder = tmp_path / "x_sellers_dataset.csv"
+    folder.mkdir()
+    write(folder / "part-0.csv", "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,10000,a,SP\n")
+    write(folder / "part-1.csv", "seller_state,seller_id,note,seller_zip_code_prefix,seller_city\nRJ,s2,new,20000,b\n")
+    write(folder / "part-2.csv", "")
+    rows = read_csv_table(spark, str(folder), "sellers").orderBy("seller_id")
+    assert rows.columns == ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state", "note"]
+    assert [tuple(r) for r in rows.collect()] == [("s1", "10000", "a", "SP", None), ("s2", "20000", "b", "RJ", "new")]
+
+
+def test_a_load_refuses_or_reports(spark, raw, tmp_path):
+    base = str(tmp_path)
+    write_csv_tables(raw, base)
+    write(tmp_path / "market_sellers_dataset.csv" / "part-9.csv", "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns9\n")
+    with pytest.raises(CsvProblems) as refused:
+        load_raw_data(spark, base)
+    assert refused.value.found == [("sellers", None, "wrong_width", 1, "s9")]
+    assert load_raw_data(spark, base, on_problem="report")["sellers"].count() == 1
+
+
+def test_one_data_set_at_a_time(spark, raw, tmp_path):
+    base = str(tmp_path)
+    write_csv_tables(raw, base, "one")
+    write_csv_tables({k: df.limit(1) for k, df in raw.items() if k != "category_xlat"}, base, "two")
+    with pytest.raises(ValueError, match="one, two"):
+        load_raw_data(spark, base)
+    assert load_raw_data(spark, base, prefix="two")["orders"].count() == 1
