@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -30,7 +31,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, "starbazaar-bench", **{
-        "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"})
+        "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="starbazaar-bench-")})
     spark.range(1).count()  # the session is up
     seconds: dict[str, float] = {}
 

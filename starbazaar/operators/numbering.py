@@ -7,10 +7,12 @@ counts of the earlier partitions (one small row per partition).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starbazaar.session import work_table
+from starbazaar.session import remove_work, work_table
 
 _OFFSET_MASK = (1 << 33) - 1  # monotonically_increasing_id keeps the row's offset in its low 33 bits
 
@@ -55,10 +57,15 @@ def tile(df: DataFrame, tiles: int, order: dict[str, Column], label: str = "tile
     ``tiles - 1`` border rows come to the driver, so scoring ``df`` needs neither a shuffle nor a join.
     """
     own = df.select(*(e.alias(k) for k, e in order.items()))
-    placed = with_position(own, list(order), "_position", label)
-    size, larger = divmod(placed.count(), tiles)
-    starts = [i * size + min(i, larger) for i in range(1, tiles)]
-    borders = placed.where(F.col("_position").isin(starts)).orderBy("_position").take(tiles - 1)
+    # A folder of its own rather than a scope: several threads may share their scope.
+    folder = f"tiles-{uuid.uuid4().hex}"
+    try:
+        placed = with_position(own, list(order), "_position", f"{folder}/{label}")
+        size, larger = divmod(placed.count(), tiles)
+        starts = [i * size + min(i, larger) for i in range(1, tiles)]
+        borders = placed.where(F.col("_position").isin(starts)).orderBy("_position").take(tiles - 1)
+    finally:
+        remove_work(df.sparkSession, folder)
     key = F.struct(*(e.alias(k) for k, e in order.items()))
     passed = (
         (key >= F.struct(*(F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in own.schema))).cast("int")

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starbazaar.functions.scalars import UNKNOWN_DATE_KEY, date_key, is_late, month_number, whole_days
+from starbazaar.functions.scalars import UNKNOWN_DATE_KEY, date_key, is_late, month_number, revenue, whole_days
 from starbazaar.operators.dedupe import dominant_payment, latest_review
+from starbazaar.sources.schemas import KEPT
 
-KEPT = "none"
 ITEM_KEYS = ["order_id", "product_id", "seller_id"]
 ORDER_KEYS = ["order_id", "customer_id"]
 
@@ -92,6 +92,8 @@ def incomplete_rows(orders: DataFrame, items: DataFrame) -> DataFrame:
     return missing(orders, "orders", ORDER_KEYS).unionByName(missing(items, "order_items", ITEM_KEYS))
 
 
-def rejected_items(classified: DataFrame) -> DataFrame:
-    return classified.where(F.col("reject_reason") != KEPT).select(
-        F.lit("order_items").alias("source_table"), F.col("reject_reason").alias("reason"), *ITEM_KEYS)
+def order_totals(fact: DataFrame) -> DataFrame:
+    """Each order's whole revenue, a row for every month it has items in: a period then needs only its own months."""
+    months = fact.groupBy("order_id", F.expr("date_key div 100").cast("int").alias("purchase_month")).agg(F.sum(revenue()).alias("part"))
+    whole = Window.partitionBy("order_id")  # as many rows as an order has months
+    return months.select("order_id", F.sum("part").over(whole).cast("decimal(32,2)").alias("order_total"), "purchase_month")

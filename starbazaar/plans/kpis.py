@@ -34,6 +34,10 @@ def month_start() -> Column:
     return F.make_date("year", "month", F.lit(1))
 
 
+#: The star keeps this table beside its own once a report has needed it.
+METRICS = "customer_metrics"
+
+
 def order_month_totals(rows: DataFrame, calendar: DataFrame) -> DataFrame:
     """One row per order and month with what its items cost together."""
     months = calendar.select("date_key", *MONTH)
@@ -149,14 +153,15 @@ def top10_sellers_by_revenue(star: Star) -> DataFrame:
 def payment_method_distribution(star: Star) -> DataFrame:
     """Payment types with their shares. The payment value is an order's, repeated on each of its items.
 
-    The grouped rows are written, so the totals need neither a second pass over the fact nor a single task.
+    The totals are a window over the grouped rows, one for each payment type.
     """
-    per_type = work_table(sales(star).groupBy("payment_type").agg(
+    per_type = sales(star).groupBy("payment_type").agg(
         F.count_distinct("order_id").alias("num_orders"),
         F.sum("payment_value").alias("paid"),
         exact_avg(F.col("payment_installments"), 1).alias("avg_installments"),
-    ), "payment-types")
-    orders, paid = (per_type.agg(F.sum(c)).scalar() for c in ("num_orders", "paid"))
+    )
+    everything = Window.partitionBy()
+    orders, paid = (F.sum(c).over(everything) for c in ("num_orders", "paid"))
     return per_type.select(
         F.coalesce("payment_type", F.lit("unknown")).alias("payment_type"),
         "num_orders",
@@ -226,8 +231,10 @@ def rfm_scores(metrics: DataFrame) -> DataFrame:
 
 
 def rfm_analysis(star: Star) -> DataFrame:
-    """Scores and segment of every person. The metrics are written once, then sorted by three narrow keys."""
-    scored = rfm_scores(work_table(customer_metrics(star), "customer-metrics"))
+    """Scores and segment of every person. The metrics are written once for a star, then sorted by three narrow keys."""
+    if METRICS not in star:
+        star[METRICS] = work_table(customer_metrics(star), METRICS)
+    scored = rfm_scores(star[METRICS])
     segment = rfm_segment(F.col("r_score"), F.col("f_score"), F.col("m_score"))
     return scored.withColumn("rfm_segment", segment).orderBy(F.desc("monetary"), "customer_unique_id")
 

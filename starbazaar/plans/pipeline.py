@@ -47,7 +47,7 @@ def run_pipeline(
         transform(spark, raw, writer)
     with _stage("publish", seconds):
         star = writer.publish()
-    if keep:
+    if keep is not None:
         drop_superseded(spark, base, keep)
     return star, seconds
 
@@ -58,11 +58,16 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--star", required=True, help="folder of the published star")
     parser.add_argument("--blocking", choices=SEVERITIES, help="stop on audit findings of this severity")
     parser.add_argument("--keep", type=int, help="number of published versions to keep (default: all)")
+    parser.add_argument("--prefix", help="prefix of the files, if the folder holds several data sets")
+    parser.add_argument("--on-problem", choices=("refuse", "report"), default="refuse",
+                        help="what to do about rows and values that cannot be read (default: refuse the load)")
     args = parser.parse_args(argv)
+    if args.keep is not None and args.keep < 1:
+        parser.error("--keep must be at least 1")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     spark = SparkSession.builder.appName("starbazaar-pipeline").getOrCreate()
     try:
-        run_pipeline(spark, lambda: load_raw_data(spark, args.raw), args.star,
+        run_pipeline(spark, lambda: load_raw_data(spark, args.raw, prefix=args.prefix, on_problem=args.on_problem), args.star,
                      blocking=args.blocking, keep=args.keep)
     except Exception:
         log.exception("load failed, the published star is unchanged")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from starbazaar.functions import presentation as show
 from starbazaar.functions.scalars import counted_sale, exact_avg, revenue
+from starbazaar.plans.fact import order_totals
 from starbazaar.plans.kpis import Star, category_sales, money, month_start, order_month_totals
 
 # The period offered while the fact is empty.
@@ -50,21 +51,21 @@ def whole_period(star: Star) -> tuple[date, date]:
     return row["min_date"], row["max_date"]
 
 
+def _totals(star: Star, start: date, end: date) -> DataFrame:
+    totals = star["order_totals"] if "order_totals" in star else order_totals(star["fact_orders"])
+    return totals.where(F.col("purchase_month").between(_day_number(start) // 100, _day_number(end) // 100))
+
+
 def range_headline(star: Star, start: date, end: date) -> DataFrame:
     """Orders, revenue, ticket and review score of a period.
 
     The ticket is an average over items of the item's whole order, and the order's total includes items outside
-    the period. One grouping by order is enough: it keeps the total and how many of the items count.
+    the period. The totals are stored by month with the star, so only the period's months are read of either table.
     """
-    fact = star["fact_orders"]
-    inside = counted_sale() & F.col("date_key").between(_day_number(start), _day_number(end))
-    per_order = fact.groupBy("order_id").agg(
-        F.sum(revenue()).alias("order_total"),
-        F.count_if(inside).alias("items"),
-        F.sum(F.when(inside, revenue())).alias("revenue"),
-        F.sum(F.when(inside, F.col("review_score"))).alias("points"),
-        F.count(F.when(inside, F.col("review_score"))).alias("scores"),
-    ).where("items > 0")
+    per_order = period_sales(star, start, end).groupBy("order_id").agg(
+        F.count("*").alias("items"), F.sum(revenue()).alias("revenue"), F.sum("review_score").alias("points"),
+        F.count("review_score").alias("scores"), F.expr("min(date_key) div 100").cast("int").alias("purchase_month"),
+    ).join(_totals(star, start, end), ["order_id", "purchase_month"])
     return per_order.agg(
         F.count("*").alias("total_orders"),
         money(F.sum("revenue")).alias("total_revenue"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starbazaar.plans import dimensions as dims
 from starbazaar.plans.fact import classified_items, incomplete_rows, order_headers
-from starbazaar.session import app_dir, work_table
+from starbazaar.session import app_dir, work_scope, work_table
 from starbazaar.sources.warehouse import StarWriter
 
 
@@ -17,7 +17,8 @@ def transform(spark: SparkSession, raw: dict[str, DataFrame], writer: StarWriter
     """Build the six star tables from the nine raw ones.
 
     Every table is written as soon as it is ready (to the writer's version folder, or to a working folder) and
-    read back, so keys are assigned once and the planner knows the sizes of the tables it joins.
+    read back, so keys are assigned once and the planner knows the sizes of the tables it joins. Intermediate tables are
+    gone when it returns.
     """
     writer = writer or StarWriter(spark, f"{app_dir(spark)}/work", own_keys=True)
     orders, items = raw["orders"], raw["order_items"]
@@ -28,16 +29,18 @@ def transform(spark: SparkSession, raw: dict[str, DataFrame], writer: StarWriter
         "dim_seller": lambda: dims.seller_dimension(raw["sellers"]),
         "dim_location": lambda: dims.location_dimension(raw["geolocation"]),
     }
-    # The dimensions do not depend on each other: submitted together, one's last tasks overlap another's first.
-    with ThreadPoolExecutor(len(builders) + 1) as pool:
-        build = inheritable_thread_target(spark)(lambda name: writer.write(name, builders[name]()))
-        pending = {name: pool.submit(build, name) for name in builders}
-        early = pool.submit(
-            inheritable_thread_target(spark)(writer.write_rejects), incomplete_rows(orders, items))
-        headers = work_table(
-            order_headers(orders, pending["dim_customer"].result(), raw["payments"], raw["reviews"]), "order-headers")
-        classified = classified_items(items, headers, pending["dim_product"].result(), pending["dim_seller"].result())
-        fact = writer.write("fact_orders", classified)
-        early.result()
-        star = {name: result.result() for name, result in pending.items()}
-    return star | {"fact_orders": fact}
+    with work_scope(spark):
+        # The dimensions do not depend on each other: submitted together, one's last tasks overlap another's first.
+        with ThreadPoolExecutor(len(builders) + 1) as pool:
+            build = inheritable_thread_target(spark)(lambda name: writer.write(name, builders[name]()))
+            pending = {name: pool.submit(build, name) for name in builders}
+            early = pool.submit(
+                inheritable_thread_target(spark)(writer.write_rejects), incomplete_rows(orders, items))
+            headers = work_table(
+                order_headers(orders, pending["dim_customer"].result(), raw["payments"], raw["reviews"]), "order-headers")
+            classified = classified_items(items, headers, pending["dim_product"].result(), pending["dim_seller"].result())
+            writer.write("fact_orders", classified)
+            early.result()
+            for result in pending.values():
+                result.result()
+    return writer.stored()

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,7 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
         spark.conf.get(CHECKPOINT_CONF, None) or context.getConf().get(CHECKPOINT_CONF) or context.getCheckpointDir())
     if configured:
         return configured.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):  # local-cluster has executors of its own
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
     app = context.applicationId
     if app not in _local_roots:
@@ -60,13 +63,44 @@ def app_dir(spark: SparkSession) -> str:
     return path
 
 
+_SCOPE = "starbazaar.work.scope"
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end, those of its threads (``inheritable_thread_target``) too.
+
+    For work whose results are stored or on the driver by then.
+    """
+    context = spark.sparkContext
+    outer = context.getLocalProperty(_SCOPE)
+    own = uuid.uuid4().hex
+    context.setLocalProperty(_SCOPE, os.path.join(outer or "", own))
+    try:
+        yield
+    finally:
+        context.setLocalProperty(_SCOPE, outer)
+        remove_work(spark, own)
+
+
+def _work_path(spark: SparkSession, name: str) -> str:
+    return os.path.join(app_dir(spark), "work", spark.sparkContext.getLocalProperty(_SCOPE) or "", name)
+
+
+def remove_work(spark: SparkSession, folder: str) -> None:
+    """Delete the tables whose label began with ``folder/``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_work_path(spark, folder))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def work_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage, survives the loss of any executor, and gives the planner real sizes. Also what makes
-    a sampled range layout stable: every later reader sees the same rows under the same partition numbers.
+    a sampled range layout stable: every later reader sees the same rows under the same partition numbers. The table
+    stays until its ``work_scope`` ends, outside of one until the driver exits.
     """
     spark = df.sparkSession
-    path = os.path.join(app_dir(spark), "work", f"{label}-{uuid.uuid4().hex}")
+    path = _work_path(spark, f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

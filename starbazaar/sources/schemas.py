@@ -13,6 +13,8 @@ TEXT = T.StringType()
 TIME = T.TimestampNTZType()
 MONEY = T.DecimalType(10, 2)
 SMALL = T.ShortType()
+#: The reject reason of a row that is part of the fact.
+KEPT = "none"
 
 
 def _schema(**columns: T.DataType) -> T.StructType:

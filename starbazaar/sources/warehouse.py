@@ -1,28 +1,33 @@
 """The published star: versioned Parquet tables, a manifest that names the current version, catalog views.
 
-A load writes a new version folder, checks it, and only then adds a line to the manifest. Readers follow the
-manifest, so a failed load changes nothing for them.
+A load writes a new version folder, checks it, and only then adds an entry to the manifest. Readers follow the
+manifest's last entry, so a failed load changes nothing for them. Entries are numbered in the order of publishing, not of
+starting; each is a file that is created only if its number is free, so of two loads at once both get an entry.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 import re
 import uuid
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starbazaar.operators.constraints import broken_rules, key_report, row_counts, row_rules
 from starbazaar.operators.numbering import with_surrogate_key
-from starbazaar.sources.schemas import LOAD_ORDER, STAR, conform
+from starbazaar.plans.fact import order_totals
+from starbazaar.sources.schemas import KEPT, LOAD_ORDER, STAR, conform
 
 log = logging.getLogger(__name__)
 
-FACT = "fact_orders"
-KEPT = "none"
-FACT_LAYOUT = ["reject_reason", "purchase_month"]
+FACT, TOTALS = "fact_orders", "order_totals"
+MONTH, MONTH_COMMENT = "purchase_month", "Month of purchase as YYYYMM; the rows are stored by it."
+FACT_LAYOUT = ["reject_reason", MONTH]
+ENTRY_NAME = re.compile(r"\d{10}\.json")
 VERSION_NAME = re.compile(r"\d{8}T\d{12}-[0-9a-f]{8}")
 REJECT_KEYS = ["order_id", "product_id", "seller_id"]
 
@@ -74,6 +79,8 @@ class StarWriter:
         self.rows[name] = seen.get["rows"]
         self.broken[name] = df.where(kept).agg(*row_counts(table)).first().asDict() if seen.get["broken"] else {}
         log.info("%-14s rows=%d", name, self.rows[name])
+        if name == FACT:
+            self._save(order_totals(read_table(self.spark, self.path, FACT)), TOTALS, [MONTH])
         return read_table(self.spark, self.path, name)
 
     def write_rejects(self, df: DataFrame) -> None:
@@ -86,14 +93,15 @@ class StarWriter:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.path}/{name}")
 
-    def _stored(self) -> dict[str, DataFrame]:
-        return {name: read_table(self.spark, self.path, name) for name in self.rows}
+    def stored(self) -> dict[str, DataFrame]:
+        """This version's tables as they were written."""
+        return read_tables(self.spark, self.path, list(self.rows))
 
     def violations(self) -> list[tuple[str, str, str, int]]:
         """Row rules as the writes saw them, uniqueness and references from the stored keys."""
         found = [(name, *rule.split(":"), n) for name, counts in self.broken.items() for rule, n in counts.items() if n]
         # One line per constraint: a fixed, small number.
-        for row in key_report(self._stored(), own_keys=self.own_keys).where("violations > 0").collect():
+        for row in key_report(self.stored(), own_keys=self.own_keys).where("violations > 0").collect():
             found.append((row["table"], row["constraint"], row["column"], row["violations"]))
         return found
 
@@ -108,17 +116,16 @@ class StarWriter:
             for name in self.rows for rule in row_rules(STAR[name])
         ]
         schema = "table string, constraint string, column string, violations bigint"
-        return self.spark.createDataFrame(rows, schema).unionByName(key_report(self._stored()))
+        return self.spark.createDataFrame(rows, schema).unionByName(key_report(self.stored()))
 
     def publish(self) -> dict[str, DataFrame]:
-        """Check the version and make it the current one, or raise and leave the old one in place."""
+        """Check the version and make it the current one, or raise and leave the old one in place. Returns this
+        version's tables, also if another load has published since."""
         found = self.violations()
         if found:
             raise ConstraintViolation(found)
-        entry = self.spark.range(1).select(
-            F.lit(self.version).alias("version"), F.lit(",".join(self.rows)).alias("tables"))
-        entry.coalesce(1).write.mode("append").json(f"{self.base}/_manifest")
-        return open_star(self.spark, self.base)
+        _append_entry(self.spark, self.base, {"version": self.version, "tables": list(self.rows)})
+        return self.stored()
 
 
 def _with_layout(df: DataFrame) -> DataFrame:
@@ -148,6 +155,13 @@ def _stored_columns(df: DataFrame, kept: Column) -> DataFrame:
     )
 
 
+def read_tables(spark: SparkSession, path: str, names: list[str]) -> dict[str, DataFrame]:
+    found = {name: read_table(spark, path, name) for name in names}
+    if FACT in found:
+        found[TOTALS] = spark.read.schema(f"order_id string, order_total decimal(32,2), {MONTH} int").parquet(f"{path}/{TOTALS}")
+    return found
+
+
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     table = STAR[name]
     if name != FACT:
@@ -163,16 +177,56 @@ def _stored_items(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema.add("purchase_month", "integer")).parquet(f"{path}/{FACT}")
 
 
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _entries(spark: SparkSession, base: str) -> list[dict]:
+    """The manifest's entries in the order of publishing; as many as there were loads."""
+    fs, place = _folder(spark, f"{base}/_manifest")
+    if not fs.exists(place):
+        return []
+    found = []
+    for status in sorted(fs.listStatus(place), key=lambda s: s.getPath().getName()):
+        if ENTRY_NAME.fullmatch(status.getPath().getName()):
+            reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(fs.open(status.getPath()), "UTF-8"))
+            try:
+                line = reader.readLine()
+            finally:
+                reader.close()
+            if line:  # else its writer has not got further yet
+                found.append(json.loads(line))
+    return found
+
+
+def _append_entry(spark: SparkSession, base: str, entry: dict) -> None:
+    fs, place = _folder(spark, f"{base}/_manifest")
+    fs.mkdirs(place)
+    while True:
+        taken = [int(s.getPath().getName()[:10]) for s in fs.listStatus(place) if ENTRY_NAME.fullmatch(s.getPath().getName())]
+        path = spark._jvm.org.apache.hadoop.fs.Path(place, f"{max(taken, default=0) + 1:010d}.json")
+        try:
+            out = fs.create(path, False)
+        except Py4JJavaError:
+            if fs.exists(path):  # another load was faster
+                continue
+            raise
+        out.write(bytearray(json.dumps(entry).encode()))
+        out.close()
+        return
+
+
 def _current(spark: SparkSession, base: str) -> tuple[str, list[str]]:
-    manifest = spark.read.schema("version string, tables string").json(f"{base}/_manifest")
-    row = manifest.orderBy(F.desc("version")).first()
-    return f"{base}/{row['version']}", row["tables"].split(",")
+    entries = _entries(spark, base)
+    if not entries:
+        raise FileNotFoundError(f"nothing has been published under {base}")
+    return f"{base}/{entries[-1]['version']}", entries[-1]["tables"]
 
 
 def open_star(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """The current version's tables by name."""
-    path, tables = _current(spark, base.rstrip("/"))
-    return {name: read_table(spark, path, name) for name in tables}
+    return read_tables(spark, *_current(spark, base.rstrip("/")))
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
@@ -200,20 +254,21 @@ def load_star(spark: SparkSession, tables: dict[str, DataFrame], base: str,
     return writer.publish()
 
 
-def drop_superseded(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
-    """Delete what is older than the newest ``keep`` published versions, refused loads included; return the names.
-
-    Touches only folders named like a version. A load still running is newer than any published version.
-    """
+def drop_superseded(spark: SparkSession, base: str, keep: int = 2, abandoned_after: timedelta = timedelta(days=2)) -> list[str]:
+    """Delete the versions published before the newest ``keep`` ones, and folders of loads that never published and
+    began longer ago than ``abandoned_after``; return the names. Touches only folders named like a version: a load
+    still running is not published, so it is safe for that long."""
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
     base = base.rstrip("/")
-    manifest = spark.read.schema("version string, tables string").json(f"{base}/_manifest")
-    newest = {r["version"] for r in manifest.orderBy(F.desc("version")).take(keep)}
-    root = spark._jvm.org.apache.hadoop.fs.Path(base)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    published = [e["version"] for e in _entries(spark, base)]
+    current = set(published[-keep:])
+    oldest = f"{datetime.now(timezone.utc) - abandoned_after:%Y%m%dT%H%M%S%f}"
+    fs, root = _folder(spark, base)
     dropped = []
     for status in fs.listStatus(root):
         name = status.getPath().getName()
-        if VERSION_NAME.fullmatch(name) and name < min(newest):
+        if VERSION_NAME.fullmatch(name) and name not in current and (name in published or name < oldest):
             fs.delete(status.getPath(), True)
             dropped.append(name)
     return sorted(dropped)
@@ -226,10 +281,13 @@ def register_views(spark: SparkSession, base: str, database: str = "market_dw")
     for name in tables:
         table = STAR[name]
         columns = ", ".join(c.name + (f" COMMENT {_quoted(c.comment)}" if c.comment else "") for c in table.columns)
+        names = table.names
+        if name == FACT:  # a condition on the month reads only its partitions
+            columns, names = columns + f", {MONTH} COMMENT {_quoted(MONTH_COMMENT)}", [*names, MONTH]
         kept = f" WHERE reject_reason = '{KEPT}'" if name == FACT else ""
         spark.sql(
             f"CREATE OR REPLACE VIEW {database}.{name} ({columns}) COMMENT {_quoted(table.comment)} AS "
-            f"SELECT {', '.join(table.names)} FROM parquet.`{path}/{name}`{kept}")
+            f"SELECT {', '.join(names)} FROM parquet.`{path}/{name}`{kept}")
 
 
 def _quoted(text: str) -> str:
@@ -237,7 +295,19 @@ def _quoted(text: str) -> str:
 
 
 def run_query(spark: SparkSession, star: dict[str, DataFrame], sql: str, params: dict | None = None) -> DataFrame:
-    """SQL over the star's tables by name, with ``:name`` parameters bound by Spark."""
+    """SQL over the star's tables by name, with ``:name`` parameters bound by Spark. The names are given back afterwards:
+    temporary views of the session that were called the same stay what they were."""
+    before = {name: spark.table(name) for name in star if spark.catalog.tableExists(name) and _is_temporary(spark, name)}
     for name, df in star.items():
         df.createOrReplaceTempView(name)
-    return spark.sql(sql, args=params or {})
+    try:
+        return spark.sql(sql, args=params or {})
+    finally:
+        for name in star:
+            spark.catalog.dropTempView(name)
+        for name, df in before.items():
+            df.createOrReplaceTempView(name)
+
+
+def _is_temporary(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.getTable(name).isTemporary

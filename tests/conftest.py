@@ -14,8 +14,9 @@ SMALL_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "starbazaar-tests", **{"spark.sql.shuffle.partitions": "4"})
+def spark(tmp_path_factory):
+    session = local_session(8, "starbazaar-tests", **{
+        "spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     yield session
     session.stop()
 

@@ -138,3 +138,24 @@ def test_a_hot_order_is_split(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_the_work_folder_does_not_grow(spark, raw, tmp_path):
+    import os
+
+    from starbazaar.plans.kpis import KPIS
+    from starbazaar.session import app_dir
+    from starbazaar.sources.warehouse import StarWriter
+
+    def tables():
+        return sorted(f"{d}/{n}" for d, names, _ in os.walk(f"{app_dir(spark)}/work") for n in names if d.count("-") or n)
+
+    before = tables()
+    built = transform(spark, raw, StarWriter(spark, str(tmp_path), own_keys=True))
+    assert tables() == before
+    sizes = []
+    for _ in range(3):
+        for name in ("rfm_analysis", "payment_method_distribution"):
+            KPIS[name](built).collect()
+        sizes.append(len(tables()))
+    assert sizes[0] <= len(before) + 1 and len(set(sizes)) == 1

@@ -113,6 +113,15 @@ def test_months_are_pruned(spark, published):
     assert rows.count() == 2
 
 
+def test_the_headline_reads_only_its_months(spark, published):
+    from datetime import date
+
+    from starbazaar.plans.range_reports import range_headline
+    headline = range_headline(warehouse.open_star(spark, published), date(2017, 1, 11), date(2017, 1, 31))
+    scans = headline._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1:]
+    assert len(scans) == 2 and all("purchase_month" in scan.split("PushedFilters")[0] for scan in scans)
+
+
 def test_job_from_csv_files(spark, sound, tmp_path):
     raw_folder, star_folder = str(tmp_path / "raw"), str(tmp_path / "star")
     write_csv_tables(sound, raw_folder)
@@ -133,3 +142,45 @@ def test_star_table_without_its_key_gets_one(spark, tmp_path):
     star = warehouse.load_star(spark, {"dim_seller": sellers}, str(tmp_path))
     assert [tuple(r) for r in star["dim_seller"].select("seller_key", "seller_id").orderBy("seller_key").collect()] == [
         (1, "a"), (2, "b")]
+
+
+def _sellers(published, spark):
+    return warehouse.open_star(spark, published)["dim_seller"]
+
+
+def test_the_last_to_publish_is_current(spark, published, tmp_path):
+    base, sellers = str(tmp_path), _sellers(published, spark)
+    first, second = (warehouse.StarWriter(spark, base) for _ in range(2))  # the first starts earlier and publishes later
+    first.write("dim_seller", sellers)
+    second.write("dim_seller", sellers.limit(0))
+    assert second.publish()["dim_seller"].count() == 0
+    assert first.publish()["dim_seller"].count() == 1
+    assert warehouse.open_star(spark, base)["dim_seller"].count() == 1
+
+
+def test_a_running_load_survives_retention(spark, published, tmp_path):
+    base, sellers = str(tmp_path), {"dim_seller": _sellers(published, spark)}
+    running = warehouse.StarWriter(spark, base)
+    running.write("dim_seller", sellers["dim_seller"])
+    for _ in range(3):
+        warehouse.load_star(spark, sellers, base)
+    assert len(warehouse.drop_superseded(spark, base, keep=2)) == 1
+    assert running.publish()["dim_seller"].count() == 1
+    abandoned = tmp_path / "20200101T000000000000-0123abcd"
+    abandoned.mkdir()
+    assert abandoned.name in warehouse.drop_superseded(spark, base, keep=4)
+    with pytest.raises(ValueError):
+        warehouse.drop_superseded(spark, base, keep=0)
+
+
+def test_nothing_published_is_said(spark, tmp_path):
+    (tmp_path / "_manifest").mkdir()
+    with pytest.raises(FileNotFoundError, match="nothing has been published"):
+        warehouse.open_star(spark, str(tmp_path))
+
+
+def test_own_views_stay(spark, published):
+    spark.range(3).createOrReplaceTempView("dim_seller")
+    found = warehouse.run_query(spark, warehouse.open_star(spark, published), "SELECT count(*) AS n FROM dim_seller")
+    assert found.first()["n"] == 1 and spark.table("dim_seller").count() == 3
+    spark.catalog.dropTempView("dim_seller")
