@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from oracle.tables import raw, star
-from starbazaar.sources.schemas import STAR as STAR_TABLES
 
 TYPES = {"b": "BIGINT", "d": "DOUBLE", "s": "VARCHAR", "t": "DATE", "u": "TIMESTAMP", "x": "BOOLEAN"}
 PERIOD = ("1996-03-15", "1998-10-20")
@@ -336,48 +335,100 @@ ORDER BY order_id NULLS LAST, order_item_id, product_id NULLS LAST, seller_id NU
     }
 
 
+# The limits of the star schema, written out here so that a wrong one in the package shows. A column is
+# name:kind, with ! if it is required and the length of a text after the second colon.
+LIMITS = {
+    "dim_date": ("date_key", "", "date_key:int! full_date:date! year:small! quarter:small! month:small! month_name:text!:10 week:small! "
+                                 "day:small! day_of_week:small! day_name:text!:10 is_weekend:bool!"),
+    "dim_customer": ("customer_key", "customer_id", "customer_key:int! customer_id:text!:50 customer_unique_id:text!:50 city:text:100 "
+                                                    "state:text!:2 zip_code_prefix:text:5"),
+    "dim_product": ("product_key", "product_id", "product_key:int! product_id:text!:50 category_name_pt:text:100 category_name_en:text:100 "
+                                                 "weight_g:num8 length_cm:num6 height_cm:num6 width_cm:num6"),
+    "dim_seller": ("seller_key", "seller_id", "seller_key:int! seller_id:text!:50 city:text:100 state:text!:2 zip_code_prefix:text:5"),
+    "dim_location": ("location_key", "zip_code_prefix", "location_key:int! zip_code_prefix:text!:5 city:text:100 state:text!:2 lat:num3 lng:num3"),
+    "fact_orders": ("order_key", "", "order_key:int! order_id:text!:50 customer_key:int! product_key:int! seller_key:int! date_key:int! "
+                                     "order_status:text!:20 price:num8! freight_value:num8! payment_value:num8 payment_type:text:30 "
+                                     "payment_installments:small review_score:small delivery_days:small estimated_delivery_days:small! "
+                                     "is_late_delivery:bool"),
+}
+REFERENCES = {"customer_key": "dim_customer", "product_key": "dim_product", "seller_key": "dim_seller", "date_key": "dim_date"}
+
+
 def _constraints(damaged: bool) -> str:
     parts = []
-    for name, table in STAR_TABLES.items():
+    for name, (primary, unique, columns) in LIMITS.items():
         source = "fact_keyed" if name == "fact_orders" else name
 
         def count(constraint: str, column: str, violating: str, source=source, name=name) -> None:
             parts.append(f"SELECT '{name}' AS \"table\", '{constraint}' AS \"constraint\", '{column}' AS \"column\", "
                          f"count(*) FILTER (WHERE {violating}) AS violations FROM {source}")
 
-        for c in table.columns:
-            kind = c.type.simpleString()
-            if c.required:
-                count("not_null", c.name, f"{c.name} IS NULL")
-            if c.max_length:
-                count("max_length", c.name, f"length({c.name}) > {c.max_length}")
-            if kind == "smallint":
-                count("range", c.name, f"{c.name} NOT BETWEEN -32768 AND 32767")
-            if kind.startswith("decimal"):
-                count("range", c.name, f"abs({c.name}) >= {10 ** (c.type.precision - c.type.scale)}")
+        for column in columns.split():
+            c, kind, *length = column.split(":")
+            if kind.endswith("!"):
+                count("not_null", c, f"{c} IS NULL")
+            if length:
+                count("max_length", c, f"length({c}) > {length[0]}")
+            if kind.startswith("small"):
+                count("range", c, f"{c} NOT BETWEEN -32768 AND 32767")
+            if kind.startswith("num"):  # so many digits before the point
+                count("range", c, f"abs({c}) >= {10 ** int(kind.strip('num!'))}")
         if name == "fact_orders":
             count("price_not_negative", "price", "price < 0")
             count("freight_not_negative", "freight_value", "freight_value < 0")
             count("review_score_range", "review_score", "review_score NOT BETWEEN 1 AND 5")
             count("installments_not_negative", "payment_installments", "payment_installments < 0")
-        for constraint, column in [("primary_key", table.primary_key), *(("unique", u) for u in table.unique)]:
+        for constraint, column in [("primary_key", primary), *([("unique", unique)] if unique else [])]:
             parts.append(f"SELECT '{name}', '{constraint}', '{column}', count({column}) - count(DISTINCT {column}) "
                          f"FROM {source}")
-        for column, parent in table.foreign_keys.items():
-            key = STAR_TABLES[parent].primary_key
+        for column, parent in REFERENCES.items() if name == "fact_orders" else ():
             parts.append(f"SELECT '{name}', 'foreign_key', '{column}', count(*) FROM {source} "
-                         f"WHERE {column} NOT IN (SELECT {key} FROM {parent})")
+                         f"WHERE {column} NOT IN (SELECT {LIMITS[parent][0]} FROM {parent})")
     tables = star(damaged) + ", fact_keyed AS (SELECT *, row_number() OVER () AS order_key FROM fact)"
     return _statement(tables, "table:s constraint:s column:s violations:b", "\nUNION ALL ".join(parts))
 
 
 REJECTS = """
-SELECT 'orders' AS source_table, 'missing_key' AS reason, order_id, NULL AS product_id, NULL AS seller_id
+SELECT 'orders' AS source_table, 'missing_key' AS reason, order_id, customer_id, NULL AS product_id, NULL AS seller_id, 1 AS rows
 FROM raw_orders WHERE order_id IS NULL OR customer_id IS NULL
-UNION ALL SELECT 'order_items', 'missing_key', order_id, product_id, seller_id FROM raw_order_items
+UNION ALL SELECT 'order_items', 'missing_key', order_id, NULL, product_id, seller_id, 1 FROM raw_order_items
 WHERE order_id IS NULL OR product_id IS NULL OR seller_id IS NULL
-UNION ALL SELECT 'order_items', reason, order_id, product_id, seller_id FROM judged WHERE reason IS NOT NULL"""
-REJECT_TYPES = "source_table:s reason:s order_id:s product_id:s seller_id:s"
+UNION ALL SELECT 'order_items', reason, order_id, NULL, product_id, seller_id, 1 FROM judged WHERE reason IS NOT NULL
+UNION ALL SELECT 'customers', 'duplicate_key', NULL, customer_id, NULL, NULL, count(*) - 1 FROM raw_customers GROUP BY customer_id HAVING count(*) > 1
+UNION ALL SELECT 'products', 'duplicate_key', NULL, NULL, product_id, NULL, count(*) - 1 FROM raw_products GROUP BY product_id HAVING count(*) > 1
+UNION ALL SELECT 'sellers', 'duplicate_key', NULL, NULL, NULL, seller_id, count(*) - 1 FROM raw_sellers GROUP BY seller_id HAVING count(*) > 1
+UNION ALL SELECT 'payments', CASE WHEN order_id IS NULL THEN 'missing_key' ELSE 'unknown_order' END, order_id, NULL, NULL, NULL, count(*)
+FROM raw_payments WHERE order_id IS NULL OR order_id NOT IN (SELECT order_id FROM raw_orders WHERE order_id IS NOT NULL) GROUP BY order_id
+UNION ALL SELECT 'reviews', CASE WHEN order_id IS NULL THEN 'missing_key' ELSE 'unknown_order' END, order_id, NULL, NULL, NULL, count(*)
+FROM raw_reviews WHERE order_id IS NULL OR order_id NOT IN (SELECT order_id FROM raw_orders WHERE order_id IS NOT NULL) GROUP BY order_id"""
+REJECT_TYPES = "source_table:s reason:s order_id:s customer_id:s product_id:s seller_id:s rows:b"
+
+
+def _fullest_orders() -> str:
+    columns = [c for c, _ in _columns("orders") if c != "order_id"]
+    empty = " + ".join(f"({c} IS NULL)::int" for c in columns)
+    order = ", ".join(f"{c} NULLS FIRST" for c in columns)
+    return f"SELECT * FROM raw_orders QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY {empty}, {order}) = 1"
+
+
+def _previews() -> str:
+    """The first three rows of each table by all its columns, one line for each column."""
+    parts = []
+    for t in RAW_COLUMNS:
+        names = [c for c, _ in _columns(t)]
+        order = ", ".join(f"{c} NULLS LAST" for c in names)
+        parts += [f"SELECT '{t}' AS \"table\", n AS line, '{c}' AS \"column\", {c} IS NOT NULL AS filled, hash_text AS value FROM ("
+                  f"SELECT *, row_number() OVER (ORDER BY {order}) AS n, {_shown_value(c, dict(_columns(t))[c])} AS hash_text FROM raw_{t}) WHERE n <= 3"
+                  for c in names]
+    return "\nUNION ALL ".join(parts)
+
+
+def _shown_value(column: str, kind: str) -> str:
+    if kind.startswith("timestamp"):
+        return f"strftime({column}, '%Y-%m-%d %H:%M:%S')"
+    if kind.startswith(("double", "decimal")):
+        return f"CAST(CAST(round({column} * 100) AS BIGINT) AS VARCHAR)"
+    return f"CAST({column} AS VARCHAR)"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -393,6 +444,8 @@ UNION ALL SELECT 'dim_location', zip_code_prefix, location_key FROM dim_location
             s, "order_id:s payment_value:d payment_type:s payment_installments:b", "SELECT * FROM best_payment"),
         "latest_review": _statement(s, "order_id:s review_score:b", "SELECT * FROM last_review"),
         "order_item_fact": _statement(s, FACT_COLUMNS, "SELECT * FROM fact"),
+        "job_from_csv": _statement(s, FACT_COLUMNS, "SELECT * FROM fact"),
+        "order_keys": _statement(s, "rows:b distinct_keys:b missing:b", "SELECT count(*) AS rows, count(*) AS distinct_keys, 0 AS missing FROM fact"),
         "constraint_report": _constraints(damaged=False),
         "constraint_report_damaged": _constraints(damaged=True),
         "range_bounds": _statement(s, "min_date:t max_date:t", """
@@ -414,6 +467,8 @@ WHERE customer_state IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""),
         "duplicate_line_numbers": _statement(r, "rows:b distinct_keys:b duplicates:b", """
 SELECT *, rows - distinct_keys AS duplicates
 FROM (SELECT count(*) AS rows, count(DISTINCT (order_id, order_item_id)) AS distinct_keys FROM raw_order_items)"""),
+        "fullest_orders_damaged": _statement(raw(damaged=True), ORDER_TYPES, _fullest_orders()),
+        "table_previews": _statement(r, "table:s line:b column:s filled:x value:s", _previews()),
         "rejects": _statement(s, REJECT_TYPES, REJECTS),
         "rejects_damaged": _statement(star(damaged=True), REJECT_TYPES, REJECTS),
         "order_item_fact_damaged": _statement(star(damaged=True), FACT_COLUMNS, """

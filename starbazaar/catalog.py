@@ -12,17 +12,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starbazaar.operators.constraints import validate
-from starbazaar.operators.dedupe import dominant_payment, latest_review
+from starbazaar.operators.dedupe import dominant_payment, first_per_key, latest_review
 from starbazaar.operators.numbering import tile
 from starbazaar.functions.scalars import revenue
 from starbazaar.plans import profile, quality, range_reports
 from starbazaar.plans.kpis import KPIS, score_by_lateness, state_share
+from starbazaar.plans.pipeline import run_pipeline
 from starbazaar.plans.star import transform
 from starbazaar.session import app_dir, work_table
 from starbazaar.sources.csv_files import load_raw_data, problems, read_with_problems, write_csv_tables
 from starbazaar.sources.given_tables import marketplace
 from starbazaar.sources.schemas import STAR
-from starbazaar.sources.warehouse import StarWriter, read_rejects, run_query
+from starbazaar.sources.warehouse import StarWriter, read_rejects, register_views, run_query
 
 Query = Callable[[SparkSession, str], DataFrame]
 CHOSEN_PERIOD = (date(1996, 3, 15), date(1998, 10, 20))
@@ -124,6 +125,14 @@ def _csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts
 
 
+def _job_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job: CSV files, landed, audited, built, published, older versions dropped, read through the catalog's view."""
+    base, database = f"{app_dir(spark)}/job-{uuid.uuid4().hex}", f"job_{uuid.uuid4().hex}"
+    run_pipeline(spark, lambda: load_raw_data(spark, _csv_folder(spark, sf_dir)), base, keep=1)
+    register_views(spark, base, database)
+    return plain(spark.table(f"{database}.fact_orders").select(STAR["fact_orders"].names[1:]))
+
+
 def _csv_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews written as spoiled CSV text: scores that are no whole numbers, surplus and missing fields, quoted line breaks."""
     reviews = marketplace(spark, sf_dir)["reviews"]
@@ -212,8 +221,14 @@ def queries() -> dict[str, Query]:
         **_shown(),
         "csv_scan": _csv_scan,
         "csv_problems": _csv_problems,
+        "job_from_csv": _job_from_csv,
+        "order_keys": _on_star(lambda star: star["fact_orders"].agg(
+            F.count("*").alias("rows"), F.count_distinct("order_key").alias("distinct_keys"),
+            F.count_if(F.col("order_key").isNull()).alias("missing"))),
         "table_shapes": _on_raw(profile.table_shapes),
         "table_preview": _on_raw(lambda raw: profile.table_preview(raw["orders"], ["order_id"])),
+        "table_previews": _on_raw(profile.table_previews),
+        "fullest_orders_damaged": _on_raw(lambda raw: first_per_key(raw["orders"], "order_id", fullest=True), damaged=True),
         "orders_per_month": _on_raw(lambda raw: profile.orders_per_month(raw["orders"])),
         "top_states": _on_raw(lambda raw: profile.top_states(raw["orders"], raw["customers"])),
         "duplicate_line_numbers": _on_raw(

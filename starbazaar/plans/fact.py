@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starbazaar.functions.scalars import UNKNOWN_DATE_KEY, date_key, is_late, month_number, revenue, whole_days
 from starbazaar.operators.dedupe import dominant_payment, latest_review
-from starbazaar.sources.schemas import KEPT
+from starbazaar.sources.schemas import KEPT, REJECT_KEYS
 
 ITEM_KEYS = ["order_id", "product_id", "seller_id"]
 ORDER_KEYS = ["order_id", "customer_id"]
@@ -81,15 +81,36 @@ def fact_rows(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("reject_reason") == KEPT)
 
 
-def incomplete_rows(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Raw rows dropped up front because a key is missing."""
-    def missing(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
-        absent = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
-        columns = (F.col(k) if k in keys else F.lit(None).cast("string").alias(k) for k in ITEM_KEYS)
-        return df.where(absent).select(F.lit(table).alias("source_table"), F.lit("missing_key").alias("reason"),
-                                       *columns)
+def turned_away(raw: dict[str, DataFrame]) -> DataFrame:
+    """Raw rows that never reach the star, beside the items that the fact build itself rejects: rows without a key, repeats of a
+    dimension's key, payments and reviews of no order. ``rows`` tells for how many raw rows a line stands.
+    """
+    def lines(df: DataFrame, table: str, reason: str, key: str, rows: str | None = None) -> DataFrame:
+        columns = (F.col(k) if k == key or rows is None and k in df.columns else F.lit(None).cast("string").alias(k) for k in REJECT_KEYS)
+        return df.select(F.lit(table).alias("source_table"), F.lit(reason).alias("reason"), *columns,
+                         (F.col(rows) if rows else F.lit(1)).cast("bigint").alias("rows"))
 
-    return missing(orders, "orders", ORDER_KEYS).unionByName(missing(items, "order_items", ITEM_KEYS))
+    def missing(table: str, keys: list[str]) -> DataFrame:
+        absent = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+        return lines(raw[table].where(absent).select(*(k for k in keys if k in REJECT_KEYS)), table, "missing_key", keys[0])
+
+    def repeats(table: str, key: str) -> DataFrame:
+        counted = raw[table].groupBy(key).agg((F.count("*") - 1).alias("n")).where("n > 0")
+        return lines(counted, table, "duplicate_key", key, "n")
+
+    def of_no_order(table: str) -> DataFrame:
+        # Counted by order first, so an order with very many rows is one row in the join.
+        counted = raw[table].groupBy("order_id").agg(F.count("*").alias("n"))
+        known = raw["orders"].where("order_id IS NOT NULL").select("order_id")
+        strangers = counted.where("order_id IS NOT NULL").join(known, "order_id", "left_anti")
+        return lines(strangers, table, "unknown_order", "order_id", "n").unionByName(
+            lines(counted.where("order_id IS NULL"), table, "missing_key", "order_id", "n"))
+
+    return reduce(DataFrame.unionByName, [
+        missing("orders", ORDER_KEYS), missing("order_items", ITEM_KEYS),
+        repeats("customers", "customer_id"), repeats("products", "product_id"), repeats("sellers", "seller_id"),
+        of_no_order("payments"), of_no_order("reviews"),
+    ])
 
 
 def order_totals(fact: DataFrame) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starbazaar.functions.scalars import percent_rows
 
@@ -56,6 +57,28 @@ def table_preview(df: DataFrame, order: list[str], rows: int = 3) -> DataFrame:
     return df.orderBy(*order).limit(rows)
 
 
+def table_previews(raw: Raw, rows: int = 3) -> DataFrame:
+    """The first rows of every table by all its columns, in long form: table, line, column, whether filled, and the value as text
+    (money and other fractions in hundredths)."""
+    def shown(field) -> Column:
+        value = F.col(field.name)
+        if isinstance(field.dataType, (T.TimestampNTZType, T.TimestampType)):
+            return F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+        if isinstance(field.dataType, (T.DoubleType, T.DecimalType)):
+            return F.round(value * 100).cast("bigint").cast("string")
+        return value.cast("string")
+
+    parts = []
+    for name, df in raw.items():
+        first = df.orderBy(*(F.asc_nulls_last(c) for c in df.columns)).limit(rows)
+        place = Window.orderBy(*(F.asc_nulls_last(c) for c in df.columns))  # over the few rows of the preview
+        lines = F.explode(F.array(*(F.struct(
+            F.lit(f.name).alias("column"), F.col(f.name).isNotNull().alias("filled"), shown(f).alias("value")) for f in df.schema)))
+        parts.append(first.withColumn("line", F.row_number().over(place)).select(
+            F.lit(name).alias("table"), "line", lines.alias("l")).select("table", "line", "l.*"))
+    return _union(parts)
+
+
 def orders_per_month(orders: DataFrame) -> DataFrame:
     month = F.date_format(F.trunc("order_purchase_timestamp", "month"), "yyyy-MM")
     return (

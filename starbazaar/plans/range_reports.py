@@ -18,6 +18,8 @@ from starbazaar.plans.kpis import Star, category_sales, money, month_start, orde
 
 # The period offered while the fact is empty.
 DEFAULT_START, DEFAULT_END = date(2016, 1, 1), date(2018, 12, 31)
+# The period advised for analyses of the published data set, whose first and last months are only partly covered.
+ANALYSIS_PERIOD = (date(2017, 1, 1), date(2018, 8, 31))
 
 
 def _day_number(day: date) -> int:

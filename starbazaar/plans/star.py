@@ -8,7 +8,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from starbazaar.plans import dimensions as dims
-from starbazaar.plans.fact import classified_items, incomplete_rows, order_headers
+from starbazaar.plans.fact import classified_items, order_headers, turned_away
 from starbazaar.session import app_dir, work_scope, work_table
 from starbazaar.sources.warehouse import StarWriter
 
@@ -35,7 +35,7 @@ def transform(spark: SparkSession, raw: dict[str, DataFrame], writer: StarWriter
             build = inheritable_thread_target(spark)(lambda name: writer.write(name, builders[name]()))
             pending = {name: pool.submit(build, name) for name in builders}
             early = pool.submit(
-                inheritable_thread_target(spark)(writer.write_rejects), incomplete_rows(orders, items))
+                inheritable_thread_target(spark)(writer.write_rejects), turned_away(raw))
             headers = work_table(
                 order_headers(orders, pending["dim_customer"].result(), raw["payments"], raw["reviews"]), "order-headers")
             classified = classified_items(items, headers, pending["dim_product"].result(), pending["dim_seller"].result())

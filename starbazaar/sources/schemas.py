@@ -15,6 +15,8 @@ MONEY = T.DecimalType(10, 2)
 SMALL = T.ShortType()
 #: The reject reason of a row that is part of the fact.
 KEPT = "none"
+#: The raw keys that the reject report shows.
+REJECT_KEYS = ("order_id", "customer_id", "product_id", "seller_id")
 
 
 def _schema(**columns: T.DataType) -> T.StructType:

@@ -20,16 +20,17 @@ from pyspark.sql import functions as F
 from starbazaar.operators.constraints import broken_rules, key_report, row_counts, row_rules
 from starbazaar.operators.numbering import with_surrogate_key
 from starbazaar.plans.fact import order_totals
-from starbazaar.sources.schemas import KEPT, LOAD_ORDER, STAR, conform
+from starbazaar.sources.schemas import KEPT, LOAD_ORDER, REJECT_KEYS, STAR, conform
 
 log = logging.getLogger(__name__)
 
-FACT, TOTALS = "fact_orders", "order_totals"
+FACT, TOTALS, TURNED_AWAY = "fact_orders", "order_totals", "turned_away"
 MONTH, MONTH_COMMENT = "purchase_month", "Month of purchase as YYYYMM; the rows are stored by it."
 FACT_LAYOUT = ["reject_reason", MONTH]
 ENTRY_NAME = re.compile(r"\d{10}\.json")
 VERSION_NAME = re.compile(r"\d{8}T\d{12}-[0-9a-f]{8}")
-REJECT_KEYS = ["order_id", "product_id", "seller_id"]
+#: The raw keys stored with a rejected item.
+STORED_KEYS = ("order_id", "product_id", "seller_id")
 
 
 class ConstraintViolation(RuntimeError):
@@ -84,8 +85,8 @@ class StarWriter:
         return read_table(self.spark, self.path, name)
 
     def write_rejects(self, df: DataFrame) -> None:
-        """Raw rows turned away before they reached the fact: source_table, reason and item keys."""
-        self._save(df, "incomplete_rows")
+        """Raw rows turned away before they reached the star, as ``plans.fact.turned_away`` lists them."""
+        self._save(df, TURNED_AWAY)
 
     def _save(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
         writer = df.write.option("maxRecordsPerFile", self.max_records)
@@ -150,7 +151,7 @@ def _stored_columns(df: DataFrame, kept: Column) -> DataFrame:
     table = STAR[FACT]
     return df.select(
         *(F.col(c.name).try_cast(c.type).alias(c.name) for c in table.columns),
-        *(F.when(~kept, F.col(c)).alias(c) for c in REJECT_KEYS if c not in table.names),
+        *(F.when(~kept, F.col(c)).alias(c) for c in STORED_KEYS if c not in table.names),
         *FACT_LAYOUT,
     )
 
@@ -230,11 +231,13 @@ def open_star(spark: SparkSession, base: str) -> dict[str, DataFrame]:
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    """All raw rows a version turned away: source_table, reason, order_id, product_id, seller_id."""
-    schema = "source_table string, reason string, order_id string, product_id string, seller_id string"
-    early = spark.read.schema(schema).parquet(f"{path}/incomplete_rows")
+    """All raw rows a version turned away: source_table, reason, the raw keys, and the number of rows a line stands for."""
+    keys = ", ".join(f"{k} string" for k in REJECT_KEYS)
+    early = spark.read.schema(f"source_table string, reason string, {keys}, rows bigint").parquet(f"{path}/{TURNED_AWAY}")
     late = _stored_items(spark, path).where(F.col("reject_reason") != KEPT).select(
-        F.lit("order_items").alias("source_table"), F.col("reject_reason").alias("reason"), *REJECT_KEYS)
+        F.lit("order_items").alias("source_table"), F.col("reject_reason").alias("reason"),
+        *(F.col(k) if k in STORED_KEYS else F.lit(None).cast("string").alias(k) for k in REJECT_KEYS),
+        F.lit(1).cast("bigint").alias("rows"))
     return early.unionByName(late)
 
 

@@ -29,7 +29,7 @@ def published(spark, sound, tmp_path_factory):
 def test_publish_and_open(spark, published):
     star = warehouse.open_star(spark, published)
     assert star["fact_orders"].count() == 4 and star["dim_customer"].count() == 3
-    assert warehouse.open_rejects(spark, published).count() == 8
+    assert warehouse.open_rejects(spark, published).count() == 9
 
 
 def test_a_refused_load_leaves_the_old_version(spark, sound, published):
