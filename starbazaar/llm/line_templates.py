@@ -31,7 +31,8 @@ _FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 
 
 def _parsed(line: Column) -> Column:
-    return F.regexp_extract_all(F.regexp_replace(line, _FIELD, "<*>"), F.lit(WORD), F.lit(0))
+    masked = F.when(line.rlike("[0-9@]"), F.regexp_replace(line, _FIELD, "<*>")).otherwise(line)
+    return F.regexp_extract_all(masked, F.lit(WORD), F.lit(0))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -42,10 +43,11 @@ def _lines(docs: DataFrame) -> DataFrame:
         begin, end = F.floor(n * i / SEGMENTS), F.floor(n * (i + 1) / SEGMENTS)
         return F.hash(F.slice(words, (begin + 1).cast("int"), (end - begin).cast("int")))
 
+    # Parsed before they become rows: a condition on the words would otherwise have each line parsed twice.
     exploded = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("tag"),
-        F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    parsed = exploded.select("doc", "tag", "pos", _parsed(F.col("line")).alias("words")).withColumn("n", F.size("words"))
+        F.posexplode(F.transform(F.split("text", "\n"), _parsed)).alias("pos", "words"))
+    parsed = exploded.withColumn("n", F.size("words"))
     return parsed.where(n >= LEAST).select(
         "doc", "tag", "pos", "n", F.xxhash64("n", F.slice(words, 1, DEPTH)).alias("leaf"), F.xxhash64("words").alias("form"),
         *(run(i).alias(p) for i, p in enumerate(_PARTS)))
