@@ -45,7 +45,7 @@ clean_reviews AS (
   SELECT order_id || '-' || product_id || '-' || seller_id || '-' || line_no AS review_id, order_id,
          (line_no - 1) % 5 + 1 AS review_score, l_shipdate AS review_creation_date,
          l_shipdate AS review_answer_timestamp, qty
-  FROM lines WHERE l_linestatus = 'O'),
+  FROM lines WHERE l_linestatus IS DISTINCT FROM 'F'),
 clean_products AS (
   SELECT p_partkey::VARCHAR AS product_id, CASE WHEN p_partkey % 50 <> 0 THEN p_type END AS product_category_name,
          p_size * 100.0::DOUBLE AS product_weight_g, p_size::DOUBLE AS product_length_cm,
