@@ -98,8 +98,8 @@ def thresholds(rows: DataFrame, aims: DataFrame) -> DataFrame:
     # The document at the boundary is taken too when that comes nearer to the target.
     at = rows.join(state.select(F.col("source").alias("of"), "below", "rest"),
                    F.col("source").eqNullSafe(F.col("of")) & (F.col("hash") >= F.col("below")) & (F.col("size") > 0))
-    first = at.groupBy("of").agg(F.min(F.struct("hash")).alias("first"))
-    tied = rows.join(first, F.col("source").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("first.hash"))).groupBy("of").agg(
+    first = at.groupBy("of").agg(F.min("hash").alias("first"))
+    tied = rows.join(first, F.col("source").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("first"))).groupBy("of").agg(
         F.sum("size").alias("more"), F.max("hash").alias("hash"))
     return state.join(tied, F.col("source").eqNullSafe(F.col("of")), "left").select(
         "source", "passes",

@@ -79,7 +79,7 @@ class Vocabulary:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         ids = range(model.vocab_size())
-        if model.encode("ﬁ", out_type=str) != model.encode("ﬁ", out_type=str) or model.decode(model.encode("a  b")) != "a  b":
+        if model.decode(model.encode("ﬁ  ½")) != "ﬁ  ½":
             raise ValueError("only models that leave the text as it is are supported")
         return cls(
             pieces=[model.id_to_piece(i) for i in ids],
