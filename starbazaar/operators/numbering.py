@@ -43,10 +43,9 @@ def with_position(df: DataFrame, order: list[str], name: str = "position", label
     return layout.join(starts, "_part").select(*df.columns, (F.col("_start") + F.col("_offset")).alias(name))
 
 
-def with_surrogate_key(df: DataFrame, natural_key: str, name: str) -> DataFrame:
-    """Dense key from 1 in the order of the natural key, as the first column."""
-    rest = [c for c in df.columns if c != natural_key]
-    numbered = with_position(df, [natural_key, *rest], "_position", label=name)
+def with_surrogate_key(df: DataFrame, natural_key: str, name: str, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Dense key from 1 in the order of the natural key, as the first column. Rows that may share it go by ``ties``."""
+    numbered = with_position(df, [natural_key, *ties], "_position", label=name)
     return numbered.select((F.col("_position") + 1).alias(name), *df.columns)
 
 
