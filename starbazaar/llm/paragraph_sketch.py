@@ -32,8 +32,9 @@ _COUNT = 32
 _ONE = 1 << _COUNT
 _PIECE = rf"(?:[^\x20\x09-\x0D]{{1,{LONG}}}+[\x20\x09]*+){{1,{WORDS}}}+"
 _LAST = -(1 << 63)
-#: Ranges of documents that are brought together for pairing, at most; as with any range partitioning their bounds are on the driver.
-RANGES, ROWS = 4096, 2000
+#: Ranges of documents for each shuffle partition, and the bounds among them that are quantiles; as with any range partitioning
+#: these are on the driver. Between two such bounds ranges are equally wide.
+RANGES, BOUNDS = 4, 4096
 _STEP = 64
 
 
@@ -161,7 +162,7 @@ def fingerprint(text: Column, own: Column, cells: Column) -> Column:
     return F.lower(F.concat_ws(";", F.hex(F.size(own)), F.hex(F.xxhash64(text)), F.array_join(parts, ",")))
 
 
-def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
+def with_next(docs: DataFrame, ranges: int | None = None, bounds: int = BOUNDS) -> DataFrame:
     """doc_id, text and the next document's text, by descending doc_id, the first after the last.
 
     Ranges of ids are brought together, and the first document of each goes to the range above as well, so each text moves once.
@@ -169,16 +170,18 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     own = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).select(
         F.col("doc_id"), "text", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("id"),
         F.bitwise_not(F.xxhash64("text")).alias("tie"))
-    n = ranges or max(1, min(RANGES, docs.count() // ROWS))
-    cut = own.agg(F.percentile_approx("id", [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else None
-    bounds = sorted(set(cut or []))
-    placed = own.withColumn("range", _range(F.col("id"), bounds))
-    tops = placed.groupBy("range").agg(F.max(F.struct("id", "tie")).alias("top"))
+    n = ranges or RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    coarse = min(n, bounds)
+    cuts = [i / coarse for i in range(1, coarse)] or [0.5]
+    seen = own.agg(F.percentile_approx("id", cuts, 10_000).alias("cut"), F.min("id").alias("least"), F.max("id").alias("most")).first()
+    placed = own.withColumn("range", _range(F.col("id"), sorted(set(seen["cut"] or [])), seen["least"] or 0, seen["most"] or 0, -(-n // coarse)))
+    # By the id alone, so that no text is read for it; of rows that share it, all are lent and the line below puts them in order.
+    tops = placed.groupBy("range").agg(F.max("id").alias("top"))
     # One row per range; the top range's first document follows the lowest range's last.
     order = Window.orderBy("range")
     above = F.coalesce(F.lead("range").over(order), F.first("range").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     lent = tops.select(F.col("range").alias("of"), "top", above.alias("to"))
-    moved = placed.join(F.broadcast(lent), (F.col("range") == F.col("of")) & (F.struct("id", "tie") == F.col("top")), "left")
+    moved = placed.join(F.broadcast(lent), (F.col("range") == F.col("of")) & (F.col("id") == F.col("top")), "left")
     copies = moved.select("doc_id", "text", "id", "tie", F.explode(F.when(F.col("to").isNull(), F.array(
         F.struct("range", F.lit(False).alias("lent")))).otherwise(F.array(
             F.struct("range", F.lit(False).alias("lent")), F.struct(F.col("to").alias("range"), F.lit(True).alias("lent"))))).alias("at"))
@@ -186,13 +189,22 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     return copies.withColumn("next", F.lead("text").over(line)).where("NOT at.lent").select("doc_id", "text", "next")
 
 
-def _range(value: Column, bounds: list[int]) -> Column:
-    """How many bounds lie below the value, by a coarse and a fine look."""
+def _range(value: Column, bounds: list[int], least: int, most: int, parts: int) -> Column:
+    """The number of a value's range, which grows with the value: how many bounds lie below it, by a coarse and a fine look, and
+    which of the equal parts between its two bounds it is in."""
     if not bounds:
-        return F.lit(0)
+        return F.lit(0).cast("bigint")
     every, coarse = F.lit(bounds), F.lit(bounds[_STEP - 1::_STEP] or [bounds[-1]])
     steps = F.size(F.filter(coarse, lambda b: b < value))
-    return _let(steps, lambda k: k * _STEP + F.size(F.filter(F.slice(every, k * _STEP + 1, F.lit(_STEP)), lambda b: b < value)))
+    below = _let(steps, lambda k: k * _STEP + F.size(F.filter(F.slice(every, k * _STEP + 1, F.lit(_STEP)), lambda b: b < value)))
+    ends = F.lit([float(least), *map(float, bounds), float(most)])
+
+    def part(i: Column) -> Column:
+        low, high = F.get(ends, i), F.get(ends, i + 1)
+        share = F.when(high > low, (value.cast("double") - low) / (high - low)).otherwise(0.0)
+        return F.least(F.lit(parts - 1), F.greatest(F.lit(0), F.floor(share * parts)))
+
+    return _let(below, lambda i: i.cast("bigint") * parts + (part(i) if parts > 1 else F.lit(0)))
 
 
 def compared(docs: DataFrame) -> DataFrame:

@@ -404,8 +404,8 @@ def test_pairs_cross_ranges(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
     order = sorted(texts, reverse=True)
     after = dict(zip(order, order[1:] + order[:1]))
-    for ranges in (1, 7, 150):
-        found = paragraph_sketch.with_next(docs, ranges).collect()
+    for ranges, bounds in ((1, 10), (7, 10), (150, 200), (150, 9)):
+        found = paragraph_sketch.with_next(docs, ranges, bounds).collect()
         assert {r.doc_id: r.next for r in found} == {i: texts[after[i]] for i in texts} and len(found) == len(texts)
 
 
