@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starbazaar.llm.common import own_column, slices, table
+from starbazaar.llm.common import own_column, slices, table, written
 
 SAMPLE = {1: 4000, 0: 8000}
 THRESHOLD = 0.7
@@ -215,9 +215,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: dict[int, int] | N
     for label, n in (most or SAMPLE).items():
         part = own.where(F.col("toxic") == label).orderBy(order, "id").limit(n)
         chosen = part if chosen is None else chosen.unionByName(part)
-    # As many rows as SAMPLE allows, whatever the size of the tables.
-    return docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text")).join(
-        F.broadcast(chosen), "id").dropDuplicates(["id"]).select("text", "toxic")
+    # As many rows as SAMPLE allows, whatever the size of the tables. Written, so that the texts are read for it once.
+    found = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text")).join(
+        F.broadcast(chosen), "id").groupBy("id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
+    return written(found, "toxicity-sample")
 
 
 def _terms(text: str) -> set[str]:
@@ -238,7 +239,8 @@ def learn(sample: DataFrame) -> Lexicon:
                 [pa.array(sets, pa.list_(pa.string())), batch.column(1),
                  pa.array([_signature(set(s)) for s in sets])], ["terms", "toxic", "signature"])
 
-    once = sample.mapInArrow(seen, "terms array<string>, toxic int, signature string").dropDuplicates(["signature", "toxic"])
+    once = sample.mapInArrow(seen, "terms array<string>, toxic int, signature string").groupBy("signature", "toxic").agg(
+        F.min("terms").alias("terms"))
     sizes = {r["toxic"]: r["n"] for r in once.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     positive, negative = sizes.get(1, 0), sizes.get(0, 0)
 
