@@ -355,6 +355,19 @@ def test_quality_counts_of_awkward_texts(awkward, empty, labels):
     assert quality_likelihood.judged(empty, labels).collect() == []
 
 
+def test_every_good_row_of_the_half_is_in_the_target(spark):
+    labels = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    # "late" is what good rows beyond the first 20,000 of the half say, in the order of the draw.
+    half = labels.where(F.xxhash64(F.lit("half"), "doc_id") % 2 == 0).orderBy(F.xxhash64(F.lit("quality"), "doc_id"), "doc_id")
+    early = half.limit(20_000).select("doc_id").withColumn("text", F.lit("early"))
+    late = half.select("doc_id").exceptAll(early.select("doc_id")).withColumn("text", F.lit("late"))
+    rest = labels.where(F.xxhash64(F.lit("half"), "doc_id") % 2 != 0).select("doc_id", F.lit("rest").alias("text"))
+    ratios, _ = quality_likelihood.learn(early.unionByName(late).unionByName(rest), labels)
+    signs = {word: ratios[quality_likelihood.Hasher()(word)[0]] for word in ("early", "late", "rest")}
+    # Half of all rows are the target, so what only they say is twice as frequent there.
+    assert signs["early"] == pytest.approx(signs["late"], abs=0.01) and signs["late"] > 0 > signs["rest"]
+
+
 def test_likelihood_separates_signs_from_prose(spark):
     draw = random.Random(3)
     words = ["stone", "river", "cloud", "grass", "light", "house", "water", "green"]
