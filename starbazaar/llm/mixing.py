@@ -88,13 +88,16 @@ def thresholds(rows: DataFrame, aims: DataFrame) -> DataFrame:
         so_far = Window.partitionBy("of").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
         lined = histogram.withColumn("so_far", F.sum("words").over(so_far)).join(
             state.select("source", "rest"), F.col("of").eqNullSafe(F.col("source")))
-        taken = lined.where(F.col("so_far") <= F.col("rest")).groupBy("of").agg(
-            F.max("bucket").alias("last"), F.max("so_far").alias("taken"))
+        fits = F.col("so_far") <= F.col("rest")
+        # Empty buckets may lie between the last that fits and the boundary, which is the first that does not.
+        taken = lined.groupBy("of").agg(
+            F.max(F.when(fits, F.col("bucket"))).alias("last"), F.max(F.when(fits, F.col("so_far"))).alias("taken"),
+            F.min(F.when(~fits, F.col("bucket"))).alias("boundary"))
         step = F.lit(1 << shift).cast("bigint")
         state = written(
             state.join(taken, F.col("source").eqNullSafe(F.col("of")), "left").select(
                 "source", "passes", (F.col("rest") - F.coalesce("taken", F.lit(0))).alias("rest"),
-                F.when(F.col("last").isNull(), F.col("below")).otherwise((F.col("last") + 1) * step).alias("below")), "budgets")
+                F.coalesce(F.col("boundary") * step, (F.col("last") + 1) * step, F.col("below")).alias("below")), "budgets")
     # The document at the boundary is taken too when that comes nearer to the target.
     at = rows.join(state.select(F.col("source").alias("of"), "below", "rest"),
                    F.col("source").eqNullSafe(F.col("of")) & (F.col("hash") >= F.col("below")) & (F.col("size") > 0))

@@ -472,6 +472,17 @@ def test_mix_stops_at_three_times_a_source(spark):
     assert all(r.copies == 3 for r in found[:4])
 
 
+def test_mix_refines_the_bucket_where_the_budget_ends(spark):
+    wide = 1 << 48  # a bucket of the first level
+    near = [("near", 10, 3)] + [("near", 10, 5 * wide + k * 1000) for k in range(10)]
+    far = [("far", 10, 7 * wide + k * 1000) for k in range(10)]
+    rows = spark.createDataFrame(near + far, "source string, size bigint, hash bigint")
+    aims = spark.createDataFrame([("near", 110, 64.0), ("far", 100, 46.0)], "source string, source_size bigint, target double")
+    below = {r.source: r.below for r in mixing.thresholds(rows, aims).collect()}
+    taken = {s: sum(size for of, size, h in near + far if of == s and h < below[s]) for s in below}
+    assert taken == {"near": 60, "far": 50}
+
+
 def test_mixing_awkward_rows(awkward, empty):
     mixed = mixing.mix(awkward)
     assert mixed.count() == awkward.count()
