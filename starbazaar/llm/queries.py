@@ -20,6 +20,7 @@ _MODULES = {
     "op8_quality": "quality_likelihood",
     "op9_sketch": "paragraph_sketch",
     "op10_mixing": "mixing",
+    "op11_conversations": "conversation_trie",
 }
 
 
