@@ -21,6 +21,7 @@ _MODULES = {
     "op9_sketch": "paragraph_sketch",
     "op10_mixing": "mixing",
     "op11_conversations": "conversation_trie",
+    "op12_language": "language_centroids",
     "op13_runs": "periodic_runs",
 }
 
