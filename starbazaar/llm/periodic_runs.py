@@ -17,6 +17,7 @@ repeated rows get equal results; a null doc_id is kept; other columns are ignore
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from starbazaar.llm.common import WORD, slices, table
 
 LEAST = 12
-#: A prime with roots of unity of every order up to 2 ** 20. Sums of 32 products of residues fit a double exactly.
+#: A prime with roots of unity of every order up to 2 ** 20. Sums of 32 products of its residues, also of twice their size, fit a double.
 PRIME, ROOT = 7_340_033, 3
 #: Words of a block that are looked for, and elements of one transform at a time.
 PATTERN, ELEMENTS = 1 << 18, 1 << 18
@@ -38,10 +39,8 @@ Runs = list[tuple[int, int, int]]
 
 
 def _mod(x: np.ndarray) -> np.ndarray:
-    """Residues of whole numbers held as doubles, in place."""
+    """Numbers of the same residues from -PRIME to 2 * PRIME, in place; whole numbers held as doubles."""
     x -= np.floor(x * (1.0 / PRIME)) * PRIME
-    x[x < 0] += PRIME
-    x[x >= PRIME] -= PRIME
     return x
 
 
@@ -108,12 +107,12 @@ class Group:
     """The words of several texts, one text after another, as numbers: equal words, and only those, have equal numbers."""
 
     def __init__(self, texts: list[str | None], seed: int = 1) -> None:
-        known: dict[bytes, int] = {}
         self.words = [(t or "").encode("utf-8", "replace").split() for t in texts]  # of bytes: exactly \\x09-\\x0D and \\x20
         sizes = np.fromiter(map(len, self.words), np.int64, len(texts))
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
-        self.ids = np.fromiter((known.setdefault(w, len(known)) for words in self.words for w in words), np.int64, int(sizes.sum()))
+        known = {w: i for i, w in enumerate(dict.fromkeys(itertools.chain.from_iterable(self.words)))}
+        self.ids = np.fromiter(map(known.__getitem__, itertools.chain.from_iterable(self.words)), np.int64, int(sizes.sum()))
         self.of = np.repeat(np.arange(len(texts)), sizes)
         draw = np.random.default_rng(seed)
         self.residues = draw.integers(0, PRIME, len(known) + 1)[self.ids].astype(np.float64)
