@@ -119,11 +119,6 @@ def end_digests(lists: DataFrame) -> DataFrame:
     """The SHA-256 of every end list as comma-joined numbers; blocks of a list are read in order, one at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, digest = None, None
-
-        def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [*(pa.array([k], pa.int64()) for k in key), pa.array([digest.hexdigest()])], ["length", "x", "y", "ends_sha256"])
-
         for batch in batches:
             finished = []
             for *now, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
@@ -131,13 +126,17 @@ def end_digests(lists: DataFrame) -> DataFrame:
                     digest.update(b",")
                 else:
                     if key is not None:
-                        finished.append(done())
+                        finished.append((*key, digest.hexdigest()))
                     key, digest = now, hashlib.sha256()
                 digest.update(text.encode())
-            if finished:
-                yield pa.Table.from_batches(finished).combine_chunks().to_batches()[0]
+            yield rows(finished)
         if key is not None:
-            yield done()
+            yield rows([(*key, digest.hexdigest())])
+
+    def rows(finished: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*finished)) or [()] * 4
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, (*[pa.int64()] * 3, pa.string()))], ["length", "x", "y", "ends_sha256"])
 
     placed = lists.select(
         "length", "x", "y", "block", F.array_join(F.col("ids").cast("array<string>"), ",").alias("text")).repartition(
