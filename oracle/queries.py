@@ -456,7 +456,9 @@ SELECT "table", "column", n AS filled FROM ({_all_columns('count({c})')})
 UNION ALL SELECT 'orders', 'note', count(order_status) FROM raw_orders"""),
         "csv_problems": _statement(r, "table:s column:s problem:s n:b", """
 SELECT 'reviews' AS "table", 'review_score' AS "column", 'unreadable' AS problem, count(*) AS n FROM raw_reviews WHERE review_score IN (4, 5)
-UNION ALL SELECT 'reviews', '*', 'wrong_width', count(*) FROM raw_reviews WHERE review_score IN (2, 3)"""),
+UNION ALL SELECT 'reviews', '*', 'wrong_width', count(*) FROM raw_reviews WHERE review_score IN (2, 3)
+UNION ALL SELECT 'reviews', '*', 'not_utf8', count(*) FROM raw_reviews WHERE review_score = 1
+UNION ALL SELECT 'reviews', '*', 'open_quote', 1"""),
         "table_preview": _statement(r, ORDER_TYPES, "SELECT * FROM raw_orders ORDER BY order_id LIMIT 3"),
         "orders_per_month": _statement(r, "year_month:s num_orders:b", """
 SELECT strftime(order_purchase_timestamp, '%Y-%m') AS year_month, count(*) AS num_orders

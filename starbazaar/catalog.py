@@ -134,12 +134,13 @@ def _job_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _csv_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews written as spoiled CSV text: scores that are no whole numbers, surplus and missing fields, quoted line breaks."""
+    """Reviews written as spoiled CSV text: scores that are no whole numbers, surplus and missing fields, quoted line breaks, bytes that
+    are not UTF-8, and a file that ends inside a quote."""
     reviews = marketplace(spark, sf_dir)["reviews"]
     score, fields = F.col("review_score"), ["review_id", "order_id", "review_score", "review_creation_date", "review_answer_timestamp"]
     texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fields]
     texts[2] = F.when(score == 5, "abc").when(score == 4, "4.9").otherwise(texts[2])
-    line = F.concat_ws(",", *texts, F.lit('"two ""quoted""\nlines"'))
+    line = F.concat_ws(",", *texts, F.when(score == 1, F.unhex(F.lit("E9")).cast("string")).otherwise(F.lit('"two ""quoted""\nlines"')))
     line = F.when(score == 3, F.concat(line, F.lit(",surplus"))).when(score == 2, F.concat_ws(",", *texts[:2])).otherwise(line)
     path = f"{app_dir(spark)}/spoiled-{uuid.uuid4().hex}"
     # A text file is written with one column, whose name stands in no file; the header is the first line of every part.
@@ -148,6 +149,8 @@ def _csv_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
     lines.select(F.when(first, F.concat(F.lit(header + "\n"), "value")).otherwise(F.col("value")).alias("value")).write.text(
         f"{path}/x_order_reviews_dataset.csv")
+    reviews.agg(F.max("order_id").alias("order_id")).select(F.concat(F.lit(header + "\nlast,"), "order_id", F.lit(',1,,,"open\nto the end, ""x""\n')).alias("value")).write.mode("append").text(
+        f"{path}/x_order_reviews_dataset.csv")
     found = problems({"reviews": read_with_problems(spark, f"{path}/x_order_reviews_dataset.csv", "reviews")})
     return plain(found.select("table", F.coalesce("column", F.lit("*")).alias("column"), "problem", "n"))
 

@@ -1,14 +1,17 @@
 """The nine raw tables as CSV files, landed once as typed Parquet.
 
 Nothing is lost in silence: every column of a file is kept, columns go by each file's own header, a quoted line break is part of its
-field in all tables, and whatever can't be used is counted: rows of the wrong width, and filled values that their column's type can't hold. The
-load refuses such files, or reports what it found, as asked. A file is read by one task, since only its begin tells whether a line break is
-quoted; give a large table as several files.
+field in all tables, and whatever can't be used is counted: rows of the wrong width, a quote that its file never closes, bytes that are not UTF-8,
+and filled values that their column's type can't hold. The load refuses such files, or reports what it found, as asked.
+
+Every file is read by many tasks. A first look at the lines, split like any text, tells files whose lines are records from those with
+quoted line breaks or wrong bytes; the former go to Spark's reader in byte ranges, the records of the latter are found by ``csv_records``.
 """
 
 from __future__ import annotations
 
 import csv
+import io
 import logging
 import os
 import uuid
@@ -20,7 +23,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starbazaar.session import app_dir
+from starbazaar.session import app_dir, work_scope
+from starbazaar.sources.csv_records import records, survey
 from starbazaar.sources.schemas import RAW
 
 log = logging.getLogger(__name__)
@@ -44,8 +48,10 @@ MISSING = (
     "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-CORRUPT, PROBLEMS = "_corrupt_record", "_problems"
-WRONG_WIDTH, UNREADABLE = "wrong_width", "unreadable"
+CORRUPT, OPEN, BYTES, PROBLEMS = "_corrupt_record", "_open_record", "_wrong_bytes", "_problems"
+WRONG_WIDTH, OPEN_QUOTE, NOT_UTF8, UNREADABLE = "wrong_width", "open_quote", "not_utf8", "unreadable"
+_LONGEST_HEADER = 1 << 20
+_FORMAT = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 _PROBLEM = "array<struct<column:string,problem:string,value:string>>"
 
 
@@ -75,28 +81,45 @@ def _part_files(spark: SparkSession, status) -> list[str]:
     return sorted(p.toString() for p in parts if not p.getName().startswith(("_", ".")))
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
-    """A file's column names, None for an empty file."""
+def _header(spark: SparkSession, path: str) -> tuple[tuple[str, ...], str] | None:
+    """A file's column names and line separator, None for an empty file. Names may hold quoted line breaks."""
     fs, place = _file_system(spark, path)
-    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(fs.open(place), "UTF-8"))
+    stream = fs.open(place)
     try:
-        line = reader.readLine()
+        begin = bytes(stream.readNBytes(_LONGEST_HEADER)).decode("utf-8-sig", "surrogateescape")
     finally:
-        reader.close()
-    if not line:
+        stream.close()
+    if not begin:
         return None
-    names = tuple(c.strip() for c in next(csv.reader([line.lstrip("﻿")])))
+    rows = csv.reader(io.StringIO(begin, newline=""))
+    names = tuple(c.strip() for c in next(rows))
+    end = list(io.StringIO(begin, newline=""))[rows.line_num - 1]
+    if len(begin) >= _LONGEST_HEADER // 4 and not end.endswith(("\n", "\r")):
+        raise ValueError(f"{path}: the header does not end")
+    if any("\udc80" <= c <= "\udcff" for n in names for c in n):
+        raise ValueError(f"{path}: the header is not UTF-8")
     if len({n.lower() for n in names}) < len(names):
         raise ValueError(f"{path} names a column twice: {', '.join(names)}")
-    return names
+    return names, "\r" if end.endswith("\r") else "\n"
+
+
+def _from_records(spark: SparkSession, files: list[str], header: tuple[str, ...], separator: str) -> DataFrame:
+    """Text columns of files with quoted line breaks or wrong bytes."""
+    found = records(spark, files, separator).where((F.col("number") > 1) & F.col("value").rlike(r"\S"))
+    # A Windows line end leaves its carriage return before the separator.
+    value = F.regexp_replace("value", "\r$", "") if separator == "\n" else F.col("value")
+    names = ", ".join(f"`{c.replace('`', '``')}` string" for c in (*header, CORRUPT))
+    shown = F.make_valid_utf8(F.col("value"))
+    return found.select(F.from_csv(value, names, _FORMAT).alias("fields"), "open", "value").select(
+        "fields.*", F.when(F.col("open"), shown).alias(OPEN), F.when(~F.is_valid_utf8("value"), shown).alias(BYTES))
 
 
 def _texts(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """All files under ``path`` as text columns by name, and the record where its width is wrong.
+    """All files under ``path`` as text columns by name, and the record where its width is wrong, its file ends in it or its bytes are no UTF-8.
 
     Files of one header are read together, so there are as many scans as there are different headers.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
+    by_header: dict[tuple[tuple[str, ...], str], list[str]] = {}
     for status in _matches(spark, path):
         for part in _part_files(spark, status):
             header = _header(spark, part)
@@ -105,13 +128,20 @@ def _texts(spark: SparkSession, path: str, name: str) -> DataFrame:
     if not by_header:
         raise FileNotFoundError(f"{name}: nothing to read at {path}")
     parts = []
-    for header, files in by_header.items():
+    for (header, separator), files in by_header.items():
         absent = [f.name for f in RAW[name] if f.name not in header]
         if absent:
             raise ValueError(f"{name}: {files[0]} has no column {', '.join(absent)}")
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, CORRUPT)])
-        parts.append(spark.read.schema(schema).csv(
-            files, header=True, quote='"', escape='"', encoding="UTF-8", multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT))
+        plain = survey(spark, files, separator)
+        simple = [f for f in files if plain.get(_file_system(spark, f)[1].toUri().getPath())]
+        others = [f for f in files if f not in simple]
+        if simple:
+            schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, CORRUPT)])
+            # A reader that skips columns does not notice rows of the wrong width.
+            rows = spark.read.schema(schema).option("columnPruning", False).csv(simple, header=True, encoding="UTF-8", **_FORMAT)
+            parts.append(rows.withColumns({c: F.lit(None).cast("string") for c in (OPEN, BYTES)}))
+        if others:
+            parts.append(_from_records(spark, others, header, separator))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -132,24 +162,29 @@ def _typed(column: str, kind: T.DataType) -> Column:
 def read_with_problems(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Every row of a raw table: its own columns typed, any others as text, and the problems it has."""
     texts = _texts(spark, path, name)
-    own = RAW[name]
-    others = [c for c in texts.columns if c not in own.names and c != CORRUPT]
-    wide = F.col(CORRUPT).isNotNull()
+    own, marks = RAW[name], {OPEN: OPEN_QUOTE, CORRUPT: WRONG_WIDTH, BYTES: NOT_UTF8}
+    others = [c for c in texts.columns if c not in own.names and c not in marks]
 
     def problem(column: Column, kind: str, value: Column) -> Column:
         return F.struct(column.cast("string").alias("column"), F.lit(kind).alias("problem"), value.alias("value"))
 
-    unread = [F.when(_filled(f.name).isNotNull() & _typed(f.name, f.dataType).isNull(), problem(F.lit(f.name), UNREADABLE, F.col(f"`{f.name}`")))
+    # Fields of a record that is cut off or has the wrong width say nothing.
+    cut = F.col(OPEN).isNotNull()
+    # Spark refuses to read the column of wrong records alone, so the condition looks at another one, too.
+    wide = ~cut & F.col(CORRUPT).isNotNull() & F.coalesce(CORRUPT, own.names[0]).isNotNull()
+    conditions = {OPEN: cut, CORRUPT: wide, BYTES: F.col(BYTES).isNotNull()}
+    broken = [F.when(conditions[c], problem(F.lit(None), kind, F.col(c))) for c, kind in marks.items()]
+    unread = [F.when(~cut & ~wide & _filled(f.name).isNotNull() & _typed(f.name, f.dataType).isNull(),
+                     problem(F.lit(f.name), UNREADABLE, F.col(f"`{f.name}`")))
               for f in own if not isinstance(f.dataType, T.StringType)]
-    found = F.when(wide, F.array(problem(F.lit(None), WRONG_WIDTH, F.col(CORRUPT)))).otherwise(
-        F.filter(F.array(*unread), lambda p: p.isNotNull()) if unread else F.array().cast(_PROBLEM))
+    found = F.filter(F.array(*broken, *unread), lambda p: p.isNotNull())
     return texts.select(
         *(_typed(f.name, f.dataType).alias(f.name) for f in own), *(_filled(c).alias(c) for c in others), found.cast(_PROBLEM).alias(PROBLEMS))
 
 
 def usable(rows: DataFrame) -> DataFrame:
-    """The rows of the right width; a value that can't be read is NULL."""
-    return rows.where(~F.exists(PROBLEMS, lambda p: p.problem == WRONG_WIDTH)).drop(PROBLEMS)
+    """The whole rows of the right width; a value that can't be read is NULL."""
+    return rows.where(~F.exists(PROBLEMS, lambda p: p.problem.isin(WRONG_WIDTH, OPEN_QUOTE))).drop(PROBLEMS)
 
 
 def read_csv_table(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -180,13 +215,16 @@ def land_raw_data(spark: SparkSession, base: str, folder: str, prefix: str | Non
     chosen = data_set_prefix(spark, base, prefix)
 
     def land(name: str) -> DataFrame:
-        rows, seen = read_with_problems(spark, f"{base}/{FILES[name].replace('*', chosen)}", name), Observation(f"{name}-{uuid.uuid4().hex}")
-        rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(F.size(PROBLEMS)).alias("problems")).write.parquet(f"{folder}/{name}")
+        with work_scope(spark):
+            rows, seen = read_with_problems(spark, f"{base}/{FILES[name].replace('*', chosen)}", name), Observation(f"{name}-{uuid.uuid4().hex}")
+            rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(F.size(PROBLEMS)).alias("problems")).write.parquet(f"{folder}/{name}")
         log.info("%-14s rows=%d columns=%d problems=%d", name, seen.get["rows"], len(rows.columns) - 1, seen.get["problems"] or 0)
         return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
 
     with ThreadPoolExecutor(len(FILES)) as pool:
-        return dict(zip(FILES, pool.map(inheritable_thread_target(spark)(land), FILES)))
+        # A wrapper each: threads of one wrapper would share their scope.
+        pending = {name: pool.submit(inheritable_thread_target(spark)(land), name) for name in FILES}
+        return {name: result.result() for name, result in pending.items()}
 
 
 def load_raw_data(spark: SparkSession, data_path: str | None = None, *, prefix: str | None = None,

@@ -1,5 +1,10 @@
+import csv
+import io
+import random
+
 import pytest
 
+from starbazaar.sources import csv_records
 from starbazaar.sources.csv_files import (
     CsvProblems, FILES, load_raw_data, problems, read_csv_table, read_with_problems, write_csv_tables)
 
@@ -97,3 +102,105 @@ def test_one_data_set_at_a_time(spark, raw, tmp_path):
     with pytest.raises(ValueError, match="one, two"):
         load_raw_data(spark, base)
     assert load_raw_data(spark, base, prefix="two")["orders"].count() == 1
+
+
+HEADER = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+
+
+def spoiled_lines(seed, n):
+    """Fields with quotes, commas and line breaks of all kinds, as CSV text and as what they say."""
+    draw = random.Random(seed)
+    rows = []
+    for i in range(n):
+        city = "".join(draw.choice(["a", "é", ",", '"', "\n", "\n\n", "x y", "\r\n"]) for _ in range(draw.randint(0, 6)))
+        rows.append((f"s{i:05}", "1" * draw.randint(0, 5), city.strip(), draw.choice(["SP", "RJ"])))
+    out = io.StringIO(newline="")
+    csv.writer(out, lineterminator="\n").writerows(rows)
+    return out.getvalue(), rows
+
+
+@pytest.fixture
+def small_ranges(spark):
+    """Byte ranges of 200 bytes, as large files have ranges of many megabytes."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_records_over_byte_ranges_equal_the_whole_file_read(spark, tmp_path, small_ranges, seed):
+    text, rows = spoiled_lines(seed, 120)
+    path = write(tmp_path / "x y%20_sellers_dataset.csv", HEADER + text)
+    assert len(list(tmp_path.iterdir())) == 1
+    found = read_with_problems(spark, path, "sellers")
+    assert all(r["_problems"] == [] for r in found.collect())
+    got = sorted(tuple(r)[:4] for r in found.collect())
+    missing = {"", "NA"}
+    assert got == sorted(tuple(None if v in missing else v for v in r) for r in rows)
+
+
+def test_stray_quotes_do_not_move_records(spark, tmp_path, small_ranges):
+    lines = [f's{i},5" pipe,"a ""b"" {i}",SP' if i % 3 else f's{i},1,"line\nbreak, {i}",SP' for i in range(100)]
+    found = read_csv_table(spark, write(tmp_path / "x_sellers_dataset.csv", HEADER + "\n".join(lines)), "sellers").collect()
+    assert {r.seller_id: (r.seller_zip_code_prefix, r.seller_city) for r in found} == {
+        f"s{i}": ('5" pipe', f'a "b" {i}') if i % 3 else ("1", f"line\nbreak, {i}") for i in range(100)}
+
+
+def _tasks(df):
+    return df.rdd.getNumPartitions()
+
+
+def test_one_file_is_read_by_many_tasks(spark, tmp_path, small_ranges):
+    plain = write(tmp_path / "a_sellers_dataset.csv", HEADER + "".join(f"s{i},1,city,SP\n" for i in range(60)))
+    assert _tasks(read_csv_table(spark, plain, "sellers")) > 5
+    quoted = write(tmp_path / "b_sellers_dataset.csv", HEADER + "".join(f's{i},1,"ci\nty",SP\n' for i in range(60)))
+    assert _tasks(csv_records.lines(spark, [quoted])) > 5
+    assert read_csv_table(spark, plain, "sellers").count() == read_csv_table(spark, quoted, "sellers").count() == 60
+
+
+def test_a_file_without_quoted_line_breaks_is_not_shuffled(spark, tmp_path):
+    path = write(tmp_path / "a_sellers_dataset.csv", HEADER + 's1,1,"a ""quoted"", city",SP\n')
+    plan = read_csv_table(spark, path, "sellers")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "FileScan csv" in plan
+
+
+@pytest.mark.parametrize("tail", ['s2,1,"never closed,SP\n', 's2,1,"never ""closed"",SP\ns3,1,x,SP\ns4,1,y,RJ\n', 's2,1,"'])
+def test_an_open_quote_refuses_the_load(spark, raw, tmp_path, small_ranges, tail):
+    write_csv_tables(raw, str(tmp_path))
+    write(tmp_path / "market_sellers_dataset.csv" / "part-9.csv", HEADER + 's1,1,"a\nb",SP\n' + tail)
+    with pytest.raises(CsvProblems) as refused:
+        load_raw_data(spark, str(tmp_path))
+    assert refused.value.found == [("sellers", None, "open_quote", 1, tail.split("\n")[0])]
+    sellers = load_raw_data(spark, str(tmp_path), on_problem="report")["sellers"]
+    assert sorted(r.seller_city for r in sellers.collect()) == ["a\nb", "y"]
+
+
+def test_bytes_that_are_not_utf8_refuse_the_load(spark, raw, tmp_path):
+    write_csv_tables(raw, str(tmp_path))
+    (tmp_path / "market_sellers_dataset.csv" / "part-9.csv").write_bytes(HEADER.encode() + "s1,1,são,SP\ns2,1,s".encode() + b"\xe3o,SP\r\ns3,1,x\xff\n")
+    with pytest.raises(CsvProblems) as refused:
+        load_raw_data(spark, str(tmp_path))
+    assert [(t, c, p, n) for t, c, p, n, _ in refused.value.found] == [("sellers", None, "not_utf8", 2), ("sellers", None, "wrong_width", 1)]
+    sellers = load_raw_data(spark, str(tmp_path), on_problem="report")["sellers"]
+    assert sorted(r.seller_city for r in sellers.collect()) == ["são", "s�o", "y"]
+
+
+def test_a_header_may_hold_a_line_break(spark, tmp_path):
+    path = write(tmp_path / "x_sellers_dataset.csv", '"a\nnote",' + HEADER + "n1,s1,1,c,SP\n")
+    rows = read_csv_table(spark, path, "sellers")
+    assert rows.columns[-1] == "a\nnote" and [tuple(r) for r in rows.collect()] == [("s1", "1", "c", "SP", "n1")]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_line_ends(spark, tmp_path, small_ranges, end):
+    rows = [("s1", "1", "a"), ("s2", "2", "b,c"), ("s3", "3", 'd"e')]
+    for quoted in (False, True):
+        lines = HEADER + "".join(f'{i},{z},"{c.replace(chr(34), chr(34) * 2)}{chr(10) * quoted}",SP\n' for i, z, c in rows) + "\n"
+        path = tmp_path / f"{quoted}_sellers_dataset.csv"
+        path.write_bytes(lines.replace("\n", end).encode())
+        found = read_csv_table(spark, str(path), "sellers").orderBy("seller_id").collect()
+        assert [(r.seller_id, r.seller_zip_code_prefix, r.seller_city.replace("\r\n", "\n").replace("\r", "\n")) for r in found] == [
+            (i, z, c + "\n" * quoted) for i, z, c in rows]
