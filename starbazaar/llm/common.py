@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starbazaar.session import work_table
 
@@ -42,3 +43,10 @@ def own_column(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def digest(*columns: str) -> Column:
+    """A key of 128 bits for the values of some columns; null is a value of its own."""
+    # Hash functions pass over nulls.
+    parts = [x for c in columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    return F.concat(*(F.lpad(F.hex(F.xxhash64(F.lit(lane), *parts)), 16, "0") for lane in ("a", "b")))

@@ -6,8 +6,11 @@ the bucket in which the budget runs out, and only that bucket is looked at with
 used up. Rows are then filtered by comparing their hash with their source's threshold, so nothing is sorted, and a
 smaller budget always takes a subset of what a larger one takes.
 
-Defined results: null and empty texts have size 0 and take 0 words; null is a source of its own, the last; repeated rows have
-equal hashes and are taken together; an empty table gives an empty result.
+A document's hash is one of its id and text, or of all its columns, and of its number among equal rows; so rows without an id, or sharing one,
+are documents of their own, and of many equal rows as many are taken as the target asks for.
+
+Defined results: null and empty texts have size 0 and take 0 words; null is a source of its own, the last; repeated rows are told apart by
+their number, so that each counts on its own; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starbazaar.llm.common import WORD, own_column, table, written
+from starbazaar.llm.common import WORD, digest, own_column, table, written
 from starbazaar.operators.numbering import with_position
 
 WEIGHTS = (5, 2, 1)
@@ -23,6 +26,8 @@ MOST_PASSES = 3
 #: Bits of the hash per level, and the number of levels: 60 bits in all.
 LEVEL_BITS, LEVELS = 12, 5
 _HASH_BITS = LEVEL_BITS * LEVELS
+#: Equal rows that are numbered, or copies of a row that are made, in one piece.
+PIECE = 1 << 16
 
 
 def words(text: Column) -> Column:
@@ -109,11 +114,28 @@ def thresholds(rows: DataFrame, aims: DataFrame) -> DataFrame:
         F.when((F.col("more") < 2 * F.col("rest")), F.col("hash") + 1).otherwise(F.col("below")).alias("below"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_PASSES) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies and taken of every row of ``docs`` (doc_id, text, source)."""
-    rows = written(docs.select(
-        "doc_id", F.col("source").cast("string").alias("source"), words(F.col("text")).alias("size"),
-        F.shiftrightunsigned(F.xxhash64(F.lit("mix"), F.col("doc_id")), 64 - _HASH_BITS).alias("hash")), "sizes")
+def _times(df: DataFrame, n: str, number: str) -> DataFrame:
+    """``df``, a written table, with every row ``n`` times and a number from 0 to n - 1; a large n is split over tasks."""
+    begin = own_column(df, "piece")
+    pieces = df.where(F.col(n) > 0).withColumn(begin, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1, F.lit(PIECE).cast("bigint"))))
+    large = pieces.where(F.col(n) > PIECE).repartition(F.xxhash64(begin, n))
+    end = F.least(F.col(n), F.col(begin) + PIECE) - 1
+    return pieces.where(F.col(n) <= PIECE).unionByName(large).withColumn(number, F.explode(F.sequence(begin, end))).drop(begin)
+
+
+def _numbered(docs: DataFrame, key: Column) -> DataFrame:
+    """doc_id, source, size, key and hash of every row; rows that agree in all of them are counted first and then numbered."""
+    groups = docs.select(
+        "doc_id", F.col("source").cast("string").alias("source"), words(F.col("text")).alias("size"), key.alias("key")).groupBy(
+        "doc_id", "source", "size", "key").agg(F.count("*").alias("n"))
+    return _times(written(groups, "equal-rows"), "n", "number").select(
+        "doc_id", "source", "size", "key",
+        F.shiftrightunsigned(F.xxhash64(F.lit("mix"), "key", "number"), 64 - _HASH_BITS).alias("hash"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_PASSES, key: Column | None = None) -> DataFrame:
+    """doc_id, key, source, size, source_size, target, copies and taken of every row of ``docs`` (doc_id, text, source)."""
+    rows = written(_numbered(docs, digest("doc_id", "text") if key is None else key), "sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     aims = written(targets(sizes, weights, most), "targets")
     limits = thresholds(rows, aims)
@@ -123,20 +145,23 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_PA
     once_more = (F.col("passes") < most) & (F.col("hash") < F.col("below"))
     return rows.join(decided, F.col("source").eqNullSafe(F.col("of"))).withColumn(
         "copies", F.col("passes") + once_more.cast("bigint")).select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+        "doc_id", "key", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def repeated(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with every row as often as the mix takes it; rows of no words stay away. Other columns are kept as they are."""
-    mixed = mix(docs, **options)
-    key, copies = own_column(docs, "mixed_id"), own_column(docs, "mixed_copies")
-    # Rows that share a doc_id share its hash, source by source; one line for each pair is enough.
-    of, source = own_column(docs, "mixed_of"), own_column(docs, "mixed_source")
-    plan = mixed.where("copies > 0 AND size > 0").groupBy(
-        F.col("doc_id").alias(key), F.col("source").alias(source)).agg(F.max("copies").alias(copies))
-    joined = docs.join(plan, F.col("doc_id").eqNullSafe(F.col(key)) & F.col("source").cast("string").eqNullSafe(F.col(source)))
-    joined = joined.where(words(F.col("text")) > 0)
-    return joined.withColumn(of, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies)))).select(docs.columns)
+    key, copies, rows, number = (own_column(docs, f"mixed_{c}") for c in ("key", "copies", "rows", "number"))
+    keyed = docs.withColumn(key, digest(*docs.columns))
+    plan = written(mix(keyed, key=F.col(key), **options).where("size > 0").groupBy(F.col("key").alias(key)).agg(
+        F.sum("copies").alias(copies), F.count("*").alias(rows)).where(F.col(copies) > 0), "mixed")
+    # A row on its own is taken a few times at most.
+    taken = keyed.join(plan.where(F.col(rows) == 1), key).withColumn(number, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies))))
+    equal = plan.where(F.col(rows) > 1)
+    if equal.isEmpty():
+        return taken.select(docs.columns)
+    # Rows of one key are equal in every column, so one stands for all.
+    one = written(keyed.join(equal.select(key), key, "left_semi").dropDuplicates([key]).join(equal, key), "equal-documents")
+    return taken.unionByName(_times(one, copies, number)).select(docs.columns)
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

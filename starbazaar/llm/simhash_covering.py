@@ -15,7 +15,9 @@ also exact (two values within the radius have such a value in common).
 
 Defined results: a null or empty text, or one without words, has fingerprint zero, linked like any other; fewer
 words than a shingle form one shingle; repeated rows keep one output row each; a null doc_id never becomes a
-component's id unless the whole component has none; an empty table gives an empty result.
+component's id unless the whole component has none; an empty table gives an empty result. ``one_of_each`` keeps one row of each component
+whatever its ids: rows without an id, or sharing one, are documents of their own if their fingerprints are not linked. It is the row with the
+smallest id, one without an id only if there is no other, of equal ids the one with the smallest digest of all its columns.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starbazaar.llm.common import own_column, slices, table, written
+from starbazaar.llm.common import digest, own_column, slices, table, written
 
 BITS = 64
 SHINGLE = 4
@@ -57,16 +59,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int.from_bytes(np.packbits(2 * ones > len(ends)).tobytes(), "big")
 
 
-def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id and fingerprint (the 64 bits as a bigint) of every row."""
+def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, key: str | None = None) -> DataFrame:
+    """doc_id, fp (the fingerprint's 64 bits as a bigint) and key of every row; the key is a text column of ``docs``, if named, else null."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             values = [fingerprint(t, shingle, seed) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(values, np.uint64).view(np.int64))], ["doc_id", "fp"])
+                [batch.column(0), pa.array(np.array(values, np.uint64).view(np.int64)), batch.column(2)], ["doc_id", "fp", "key"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id bigint, fp bigint")
+    own = F.lit(None) if key is None else F.col(key)
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string").alias("text"), own.cast("string").alias("key")).mapInArrow(
+        run, "doc_id bigint, fp bigint, key string")
 
 
 def masks(radius: int = RADIUS, bits: int = BITS, seed: int = 7) -> list[int]:
@@ -204,20 +207,24 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's id, one row of each; other columns are kept as they are."""
-    found = near_duplicates(docs, **options)
-    key, rows = own_column(docs, "kept_id"), own_column(docs, "kept_rows")
-    kept = written(
-        found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(key))
-        .agg(F.count("*").alias(rows)), "kept")
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(key))
-    once = docs.join(kept.where(F.col(rows) == 1), same, "left_semi")
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED, bucket: int = BUCKET) -> DataFrame:
+    """One row of each component of ``docs``; other columns are kept as they are."""
+    key, rows = own_column(docs, "kept_key"), own_column(docs, "kept_rows")
+    keyed = docs.withColumn(key, digest(*docs.columns))
+    prints = written(with_fingerprints(keyed, shingle, seed, key), "fingerprints")
+    labels = components(links(written(prints.select("fp").distinct(), "distinct"), radius, bucket))
+    # Written, so that the join shuffles plain tables and a fingerprint of many rows can be split.
+    labelled = written(prints.join(written(labels, "labels"), F.col("fp") == F.col("v"), "left").select(
+        F.coalesce("label", "fp").alias("label"), "doc_id", "key"), "labelled")
+    chosen = labelled.groupBy("label", "doc_id", "key").agg(F.count("*").alias("n")).groupBy("label").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key", "n")).alias("first"))
+    kept = written(chosen.select(F.col("first.key").alias(key), F.col("first.n").alias(rows)), "kept")
+    once = keyed.join(kept.where(F.col(rows) == 1), key, "left_semi")
     repeated = kept.where(F.col(rows) > 1)
-    if repeated.isEmpty():
-        return once
-    again = docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(again)
+    if not repeated.isEmpty():
+        # Rows of one key are equal in every column.
+        once = once.unionByName(keyed.join(repeated, key, "left_semi").dropDuplicates([key]))
+    return once.select(docs.columns)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
