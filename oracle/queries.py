@@ -445,6 +445,21 @@ UNION ALL SELECT 'dim_location', zip_code_prefix, location_key FROM dim_location
         "latest_review": _statement(s, "order_id:s review_score:b", "SELECT * FROM last_review"),
         "order_item_fact": _statement(s, FACT_COLUMNS, "SELECT * FROM fact"),
         "job_from_csv": _statement(s, FACT_COLUMNS, "SELECT * FROM fact"),
+        "load_metrics": _statement(s, "stage:s table:s rows:b columns:b problems:b", f"""
+SELECT DISTINCT 'extract' AS stage, "table", rows, columns + CASE WHEN "table" = 'orders' THEN 1 ELSE 0 END AS columns, 0 AS problems
+FROM ({_all_columns("0")})
+UNION ALL SELECT 'load', 'dim_date', count(*), 11, 0 FROM dim_date
+UNION ALL SELECT 'load', 'dim_customer', count(*), 6, 0 FROM dim_customer
+UNION ALL SELECT 'load', 'dim_product', count(*), 8, 0 FROM dim_product
+UNION ALL SELECT 'load', 'dim_seller', count(*), 5, 0 FROM dim_seller
+UNION ALL SELECT 'load', 'dim_location', count(*), 6, 0 FROM dim_location
+UNION ALL SELECT 'load', 'fact_orders', count(*), 16, 0 FROM fact"""),
+        "ready_made_load": _statement(s, "table:s rows:b freight:d in_small_files:x", """
+SELECT 'dim_date' AS "table", count(*) AS rows, NULL AS freight, true AS in_small_files FROM dim_date
+UNION ALL SELECT 'dim_customer', count(*), NULL, true FROM dim_customer
+UNION ALL SELECT 'dim_product', count(*), NULL, true FROM dim_product
+UNION ALL SELECT 'dim_seller', count(*), NULL, true FROM dim_seller
+UNION ALL SELECT 'fact_orders', count(*), 0, true FROM fact"""),
         "order_keys": _statement(s, "rows:b distinct_keys:b missing:b", "SELECT count(*) AS rows, count(*) AS distinct_keys, 0 AS missing FROM fact"),
         "constraint_report": _constraints(damaged=False),
         "constraint_report_damaged": _constraints(damaged=True),

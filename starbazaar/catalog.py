@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,10 +24,11 @@ from starbazaar.session import app_dir, work_table
 from starbazaar.sources.csv_files import load_raw_data, problems, read_with_problems, write_csv_tables
 from starbazaar.sources.given_tables import marketplace
 from starbazaar.sources.schemas import STAR
-from starbazaar.sources.warehouse import StarWriter, read_rejects, register_views, run_query
+from starbazaar.sources.warehouse import StarWriter, load_metrics, load_star, read_rejects, register_views, run_query
 
 Query = Callable[[SparkSession, str], DataFrame]
 CHOSEN_PERIOD = (date(1996, 3, 15), date(1998, 10, 20))
+FILE_ROWS = 5_000
 
 _loads: dict[tuple[str, str, bool], tuple[StarWriter, dict[str, DataFrame]]] = {}
 _texts: dict[tuple[str, str], str] = {}
@@ -133,6 +135,28 @@ def _job_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(spark.table(f"{database}.fact_orders").select(STAR["fact_orders"].names[1:]))
 
 
+def _load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load from CSV files noted of the tables it read and wrote, from the manifest of what it published."""
+    base, noted = f"{app_dir(spark)}/job-{uuid.uuid4().hex}", []
+    run_pipeline(spark, lambda: load_raw_data(spark, _csv_folder(spark, sf_dir), metrics=noted), base, metrics=noted)
+    return plain(load_metrics(spark, base).select("stage", "table", "rows", "columns", "problems"))
+
+
+def _ready_made_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ready-made star tables loaded without locations, which are skipped, and without freight, which is 0 then; no file has more than
+    ``FILE_ROWS`` rows."""
+    tables = {name: df for name, df in star_of(spark, sf_dir).items() if name in STAR and name != "dim_location"}
+    tables["fact_orders"] = tables["fact_orders"].drop("freight_value", "purchase_month")
+    stored = load_star(spark, tables, f"{app_dir(spark)}/ready-{uuid.uuid4().hex}", max_records_per_file=FILE_ROWS)
+    parts = []
+    for name in tables:
+        freight = F.sum("freight_value") if name == "fact_orders" else F.lit(None)
+        per_file = stored[name].groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"), freight.cast("double").alias("freight"))
+        parts.append(per_file.agg(F.sum("n").alias("rows"), F.sum("freight").alias("freight"), (F.max("n") <= FILE_ROWS).alias("in_small_files")).select(
+            F.lit(name).alias("table"), "rows", "freight", "in_small_files"))
+    return plain(reduce(DataFrame.unionByName, parts))
+
+
 def _csv_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews written as spoiled CSV text: scores that are no whole numbers, surplus and missing fields, quoted line breaks, bytes that
     are not UTF-8, and a file that ends inside a quote."""
@@ -225,6 +249,8 @@ def queries() -> dict[str, Query]:
         "csv_scan": _csv_scan,
         "csv_problems": _csv_problems,
         "job_from_csv": _job_from_csv,
+        "load_metrics": _load_metrics,
+        "ready_made_load": _ready_made_load,
         "order_keys": _on_star(lambda star: star["fact_orders"].agg(
             F.count("*").alias("rows"), F.count_distinct("order_key").alias("distinct_keys"),
             F.count_if(F.col("order_key").isNull()).alias("missing"))),

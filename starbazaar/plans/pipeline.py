@@ -29,12 +29,13 @@ def _stage(name: str, seconds: dict[str, float]):
 
 def run_pipeline(
     spark: SparkSession, extract: Callable[[], dict[str, DataFrame]], base: str, *,
-    blocking: str | None = None, keep: int | None = None,
+    blocking: str | None = None, keep: int | None = None, metrics: list[dict] | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, float]]:
     """Publish a new version of the star under ``base``. Returns its tables and the seconds per stage.
 
     Any failure leaves the version published before in place. ``blocking`` names a severity: audit findings of it
-    in the raw tables stop the load. ``keep`` is the number of published versions to keep, all if not given.
+    in the raw tables stop the load. ``keep`` is the number of published versions to keep, all if not given. ``metrics`` is what the
+    extraction has noted of its tables; it is published with what the load notes, see ``warehouse.load_metrics``.
     """
     seconds: dict[str, float] = {}
     writer = StarWriter(spark, base, own_keys=True)
@@ -46,7 +47,7 @@ def run_pipeline(
     with _stage("transform", seconds):
         transform(spark, raw, writer)
     with _stage("publish", seconds):
-        star = writer.publish()
+        star = writer.publish(metrics or [])
     if keep is not None:
         drop_superseded(spark, base, keep)
     return star, seconds
@@ -66,9 +67,10 @@ def main(argv: list[str] | None = None) -> int:
         parser.error("--keep must be at least 1")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     spark = SparkSession.builder.appName("starbazaar-pipeline").getOrCreate()
+    metrics: list[dict] = []
     try:
-        run_pipeline(spark, lambda: load_raw_data(spark, args.raw, prefix=args.prefix, on_problem=args.on_problem), args.star,
-                     blocking=args.blocking, keep=args.keep)
+        run_pipeline(spark, lambda: load_raw_data(spark, args.raw, prefix=args.prefix, on_problem=args.on_problem, metrics=metrics), args.star,
+                     blocking=args.blocking, keep=args.keep, metrics=metrics)
     except Exception:
         log.exception("load failed, the published star is unchanged")
         return 1

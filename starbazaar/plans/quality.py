@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starbazaar.functions.scalars import percent_rows, severity_rank, status_label
@@ -68,33 +68,46 @@ def duplicate_count(df: DataFrame, key: list[str]) -> DataFrame:
     ).withColumn("duplicates", F.col("rows") - F.col("distinct_keys"))
 
 
-def key_audit(raw: Raw) -> DataFrame:
-    """One row per audited key: rows and distinct values as a parent's key, rows and orphans in each child table.
+def key_audit(raw: Raw, whole: bool = False) -> DataFrame:
+    """One row per audited key: rows, distinct and missing values as a parent's key; rows, orphans and missing values in each child table.
 
     Every table is scanned once for all its keys, and all keys of all tables share one shuffle; a key value with very
-    many rows arrives as one row per task. NULL is a value like any other here.
+    many rows arrives as one row per task. NULL is a value like any other here. With ``whole`` the same pass also takes what the
+    register asks for besides: missing review numbers, and the months of the orders with the ``gaps`` between them.
     """
-    roles: dict[str, list[tuple[str, str]]] = {}
+    keys = [*PRIMARY_KEYS.values(), "review_id", PURCHASE]
+    children = sorted({child for child, *_ in RELATIONS})
+
+    def role(key: str, table: str, value: Column) -> Column:
+        # Small numbers in place of names; they are part of every row.
+        return F.struct(F.lit(keys.index(key)).cast("byte").alias("key"), value.alias("value"), F.lit(children.index(table) if table else -1).cast("byte").alias("role"))
+
+    roles: dict[str, list[Column]] = {}
     for table, key in PRIMARY_KEYS.items():
-        roles.setdefault(table, []).append((key, PARENT))
+        roles.setdefault(table, []).append(role(key, None, F.col(key)))
     for child, column, _, _ in RELATIONS:
-        roles.setdefault(child, []).append((column, child))
-    rows = _union([
-        raw[table].select(F.explode(F.array(*(
-            F.struct(F.lit(column).alias("key"), F.col(column).alias("value"), F.lit(role).alias("role"))
-            for column, role in pairs))).alias("k")).select("k.*")
-        for table, pairs in roles.items()
-    ])
+        roles.setdefault(child, []).append(role(column, child, F.col(column)))
+    if whole:
+        roles["orders"].append(role(PURCHASE, "orders", F.date_format(PURCHASE, "yyyy-MM")))
+        roles["reviews"].append(F.when(F.col("review_id").isNull(), role("review_id", "reviews", F.lit(None).cast("string"))))
+    rows = _union([raw[table].select(F.explode(F.array(*found)).alias("k")).where("k IS NOT NULL").select("k.*") for table, found in roles.items()])
     # A line for each key, so that a key that stands in no table has one too; it counts nowhere.
-    keys = rows.sparkSession.createDataFrame(
-        [(key, None, "none") for key in PRIMARY_KEYS.values()], "key string, value string, role string")
-    children = sorted({child for child, *_ in RELATIONS})
-    values = rows.unionByName(keys).groupBy("key", "value").agg(
-        *(F.count_if(F.col("role") == r).alias(r) for r in (PARENT, *children)))
+    lines = rows.sparkSession.range(len(PRIMARY_KEYS)).select(F.col("id").cast("byte").alias("key"), F.lit(None).cast("string").alias("value"), F.lit(-2).cast("byte").alias("role"))
+    values = rows.unionByName(lines).groupBy("key", "value").agg(
+        F.count_if(F.col("role") == -1).alias(PARENT), *(F.count_if(F.col("role") == i).alias(c) for i, c in enumerate(children)))
+    filled, orphan = F.col("value").isNotNull(), F.col(PARENT) == 0
+    # Whole numbers, so that the values are hashed and not sorted.
+    month = F.when(F.col("key") == keys.index(PURCHASE), F.left("value", F.lit(4)).cast("int") * 12 + F.right("value", F.lit(2)).cast("int"))
+
+    def total(condition: Column, column: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0))
+
     return values.groupBy("key").agg(
-        F.sum(PARENT).alias("parents"), F.count_if(F.col("value").isNotNull() & (F.col(PARENT) > 0)).alias("distinct"),
-        *(F.sum(c).alias(f"{c}_rows") for c in children),
-        *(F.coalesce(F.sum(F.when(F.col(PARENT) == 0, F.col(c))), F.lit(0)).alias(f"{c}_orphans") for c in children))
+        F.sum(PARENT).alias("parents"), F.count_if(filled & (F.col(PARENT) > 0)).alias("distinct"),
+        total(~filled, PARENT).alias("parent_nulls"), (F.max(month) - F.min(month) + 1 - F.count(month)).alias("gaps"),
+        *(F.sum(c).alias(f"{c}_rows") for c in children), *(total(orphan, c).alias(f"{c}_orphans") for c in children),
+        *(total(~filled, c).alias(f"{c}_nulls") for c in children),
+    ).withColumn("key", F.element_at(F.array(*map(F.lit, keys)), (F.col("key") + 1).cast("int")))
 
 
 def duplicate_keys(raw: Raw, audit: DataFrame | None = None) -> DataFrame:
@@ -161,27 +174,20 @@ def missing_months(orders: DataFrame) -> DataFrame:
 
 
 def issues(raw: Raw) -> DataFrame:
-    """The register: check, table, column, count, severity of everything found."""
-    def found(df: DataFrame, check: str, count: str, severity=None) -> DataFrame:
-        level = F.lit(severity) if severity else F.col("severity")
-        return df.where(F.col(count) > 0).select(
-            F.lit(check).alias("check"), "table", "column", F.col(count).cast("bigint").alias("count"),
-            level.alias("severity"))
-
-    def on_purchase(df: DataFrame) -> DataFrame:
-        return df.withColumns({"table": F.lit("orders"), "column": F.lit(PURCHASE)})
-
-    orders = raw["orders"]
-    # The same plan in two audits, which Spark runs once.
-    audit = key_audit(raw)
-    gaps = missing_months(orders).agg(F.count("*").alias("months"))
-    return _union([
-        found(critical_nulls(raw), "nulo_critico", "nulls", "alta"),
-        found(duplicate_keys(raw, audit), "duplicado_pk", "duplicates", "alta"),
-        found(orphans(raw, audit), "integridad_referencial", "orphans"),
-        found(on_purchase(date_span(orders)), "fecha_nula", "nulls", "media"),
-        found(on_purchase(gaps), "brecha_temporal", "months", "baja"),
-    ])
+    """The register: check, table, column, count, severity of everything found. Reads every audited table once."""
+    def line(check: str, table: str, column: str, count: Column, severity: str) -> Column:
+        return F.when(F.col("key") == column, F.struct(
+            F.lit(check).alias("check"), F.lit(table).alias("table"), F.lit(column).alias("column"), count.cast("bigint").alias("count"),
+            F.lit(severity).alias("severity")))
+
+    missing = {(table, key): "parent_nulls" for table, key in PRIMARY_KEYS.items()}
+    lines = [line("nulo_critico", table, column, F.col(missing.get((table, column), f"{table}_nulls")), "alta")
+             for table, columns in CRITICAL_COLUMNS.items() for column in columns]
+    lines += [line("duplicado_pk", table, key, F.col("parents") - F.col("distinct"), "alta") for table, key in PRIMARY_KEYS.items()]
+    lines += [line("integridad_referencial", child, column, F.col(f"{child}_orphans"), severity) for child, column, _, severity in RELATIONS]
+    lines.append(line("fecha_nula", "orders", PURCHASE, F.col("orders_nulls"), "media"))
+    lines.append(line("brecha_temporal", "orders", PURCHASE, F.col("gaps"), "baja"))
+    return key_audit(raw, whole=True).select(F.explode(F.array(*lines)).alias("line")).where("line.count > 0").select("line.*")
 
 
 def issue_summary(register: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starbazaar.functions import presentation as show
@@ -39,12 +39,15 @@ def period_sales(star: Star, start: date, end: date) -> DataFrame:
 
 
 def range_bounds(star: Star) -> DataFrame:
-    """First and last purchase date in the fact."""
-    used = star["dim_date"].join(star["fact_orders"].select("date_key").distinct(), "date_key", "left_semi")
-    return used.agg(
-        F.coalesce(F.min("full_date"), F.lit(DEFAULT_START)).alias("min_date"),
-        F.coalesce(F.max("full_date"), F.lit(DEFAULT_END)).alias("max_date"),
-    )
+    """First and last purchase date in the fact. Of a stored star only the first and the last month are read."""
+    days = star["fact_ends"] if "fact_ends" in star else star["fact_orders"]
+
+    def day(number: Column) -> Column:
+        return F.make_date(F.floor(number / 10000).cast("int"), F.floor(number / 100).cast("int") % 100, number % 100)
+
+    return days.agg(F.min("date_key").alias("first"), F.max("date_key").alias("last")).select(
+        F.coalesce(day(F.col("first")), F.lit(DEFAULT_START)).alias("min_date"),
+        F.coalesce(day(F.col("last")), F.lit(DEFAULT_END)).alias("max_date"))
 
 
 def whole_period(star: Star) -> tuple[date, date]:

@@ -14,6 +14,7 @@ import csv
 import io
 import logging
 import os
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 from starbazaar.session import app_dir, work_scope
 from starbazaar.sources.csv_records import records, survey
 from starbazaar.sources.schemas import RAW
+from starbazaar.sources.warehouse import metric
 
 log = logging.getLogger(__name__)
 
@@ -210,15 +212,19 @@ def data_set_prefix(spark: SparkSession, base: str, prefix: str | None = None) -
     return found[0]
 
 
-def land_raw_data(spark: SparkSession, base: str, folder: str, prefix: str | None = None) -> dict[str, DataFrame]:
-    """Read each file once and write its table as Parquet under ``folder``; the tables with their problems."""
+def land_raw_data(spark: SparkSession, base: str, folder: str, prefix: str | None = None, metrics: list[dict] | None = None) -> dict[str, DataFrame]:
+    """Write each file's table as Parquet under ``folder``; the tables with their problems. ``metrics`` gets a line for each table."""
     chosen = data_set_prefix(spark, base, prefix)
 
     def land(name: str) -> DataFrame:
+        begin = time.perf_counter()
         with work_scope(spark):
             rows, seen = read_with_problems(spark, f"{base}/{FILES[name].replace('*', chosen)}", name), Observation(f"{name}-{uuid.uuid4().hex}")
             rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(F.size(PROBLEMS)).alias("problems")).write.parquet(f"{folder}/{name}")
-        log.info("%-14s rows=%d columns=%d problems=%d", name, seen.get["rows"], len(rows.columns) - 1, seen.get["problems"] or 0)
+        line = metric("extract", name, seen.get["rows"], len(rows.columns) - 1, seen.get["problems"] or 0, time.perf_counter() - begin)
+        log.info("%(table)-14s rows=%(rows)d columns=%(columns)d problems=%(problems)d", line)
+        if metrics is not None:
+            metrics.append(line)
         return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
 
     with ThreadPoolExecutor(len(FILES)) as pool:
@@ -228,15 +234,16 @@ def land_raw_data(spark: SparkSession, base: str, folder: str, prefix: str | Non
 
 
 def load_raw_data(spark: SparkSession, data_path: str | None = None, *, prefix: str | None = None,
-                  on_problem: str = "refuse") -> dict[str, DataFrame]:
+                  on_problem: str = "refuse", metrics: list[dict] | None = None) -> dict[str, DataFrame]:
     """All nine tables, landed in the shared folder. The folder is the argument, else ``RAW_DATA_PATH``, else ``data/raw``.
 
-    ``on_problem`` is ``refuse`` (raise ``CsvProblems``) or ``report`` (log them and go on with what can be used).
+    ``on_problem`` is ``refuse`` (raise ``CsvProblems``) or ``report`` (log them and go on with what can be used). ``metrics`` gets a line
+    for each table, as ``warehouse.load_metrics`` shows them once they are published.
     """
     if on_problem not in ("refuse", "report"):
         raise ValueError(f"on_problem: {on_problem}")
     base = (data_path or os.getenv("RAW_DATA_PATH", "data/raw")).rstrip("/")
-    landed = land_raw_data(spark, base, f"{app_dir(spark)}/raw-{uuid.uuid4().hex}", prefix)
+    landed = land_raw_data(spark, base, f"{app_dir(spark)}/raw-{uuid.uuid4().hex}", prefix, metrics)
     # A line for each column and kind of problem.
     found = [tuple(r) for r in problems(landed).orderBy("table", "column", "problem").collect()]
     if found and on_problem == "refuse":

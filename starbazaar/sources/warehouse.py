@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import logging
 import re
+import time
 import uuid
 from datetime import datetime, timedelta, timezone
 
@@ -25,6 +26,8 @@ from starbazaar.sources.schemas import KEPT, LOAD_ORDER, REJECT_KEYS, STAR, conf
 log = logging.getLogger(__name__)
 
 FACT, TOTALS, TURNED_AWAY = "fact_orders", "order_totals", "turned_away"
+#: The fact's rows of its first and its last month; which those are, the names of the partitions tell.
+ENDS = "fact_ends"
 MONTH, MONTH_COMMENT = "purchase_month", "Month of purchase as YYYYMM; the rows are stored by it."
 FACT_LAYOUT = ["reject_reason", MONTH]
 #: Columns that tell rows of one natural key apart: a second translation of a category repeats its products.
@@ -56,11 +59,12 @@ class StarWriter:
         self.max_records = max_records_per_file
         self.own_keys = own_keys
         self.rows: dict[str, int] = {}
+        self.metrics: list[dict] = []
         self.broken: dict[str, dict[str, int]] = {}
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         """Write a star table and return it as stored. A table without its generated key gets one."""
-        table, seen = STAR[name], Observation(name)
+        table, seen, begin = STAR[name], Observation(name), time.perf_counter()
         if name == FACT:
             df = _with_layout(df)
             kept = F.col("reject_reason") == KEPT
@@ -87,6 +91,7 @@ class StarWriter:
                 log.warning("%s: %d rows break %s", name, count, rule)
         if name == FACT:
             self._save(order_totals(read_table(self.spark, self.path, FACT)), TOTALS, [MONTH])
+        self.metrics.append(metric("load", name, self.rows[name], len(table.names), sum(self.broken[name].values()), time.perf_counter() - begin))
         return read_table(self.spark, self.path, name)
 
     def write_rejects(self, df: DataFrame) -> None:
@@ -124,16 +129,31 @@ class StarWriter:
         schema = "table string, constraint string, column string, violations bigint"
         return self.spark.createDataFrame(rows, schema).unionByName(key_report(self.stored()))
 
-    def publish(self) -> dict[str, DataFrame]:
+    def publish(self, metrics: list[dict] = ()) -> dict[str, DataFrame]:
         """Check the version and make it the current one, or raise and leave the old one in place. Returns this
-        version's tables, also if another load has published since."""
+        version's tables, also if another load has published since. The entry keeps the metrics of the writes, and those given."""
         found = self.violations()
         if found:
             raise ConstraintViolation(found)
-        _append_entry(self.spark, self.base, {"version": self.version, "tables": list(self.rows)})
+        _append_entry(self.spark, self.base, {
+            "version": self.version, "tables": list(self.rows), "metrics": [*metrics, *self.metrics]})
         return self.stored()
 
 
+def metric(stage: str, table: str, rows: int, columns: int, problems: int, seconds: float) -> dict:
+    """What a stage says of a table it has written."""
+    return {"stage": stage, "table": table, "rows": rows, "columns": columns, "problems": problems, "seconds": round(seconds, 3)}
+
+
+def load_metrics(spark: SparkSession, base: str) -> DataFrame:
+    """version, stage, table, rows, columns, problems and seconds of every table that a published load has read or written, as its
+    stages observed them. Versions whose tables are deleted are still listed; a few rows a load."""
+    lines = [(e["version"], *(m[c] for c in ("stage", "table", "rows", "columns", "problems", "seconds")))
+             for e in _entries(spark, base.rstrip("/")) for m in e.get("metrics", [])]
+    return spark.createDataFrame(
+        lines, "version string, stage string, table string, rows bigint, columns int, problems bigint, seconds double")
+
+
 def _with_layout(df: DataFrame) -> DataFrame:
     """Add what a ready-made fact may lack: the layout columns (the month follows from the day key) and freight,
     which is 0 unless given."""
@@ -165,9 +185,20 @@ def read_tables(spark: SparkSession, path: str, names: list[str]) -> dict[str, D
     found = {name: read_table(spark, path, name) for name in names}
     if FACT in found:
         found[TOTALS] = spark.read.schema(f"order_id string, order_total decimal(32,2), {MONTH} int").parquet(f"{path}/{TOTALS}")
+        months = _stored_months(spark, path)
+        found[ENDS] = found[FACT].where(F.col(MONTH).isin(sorted({*months[:1], *months[-1:]})))
     return found
 
 
+def _stored_months(spark: SparkSession, path: str) -> list[int]:
+    """The months that have a partition of fact rows, in order; no file is opened."""
+    fs, place = _folder(spark, f"{path}/{FACT}/{FACT_LAYOUT[0]}={KEPT}")
+    if not fs.exists(place):
+        return []
+    names = (s.getPath().getName() for s in fs.listStatus(place))
+    return sorted(int(n.split("=")[1]) for n in names if re.fullmatch(rf"{MONTH}=\d+", n))
+
+
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     table = STAR[name]
     if name != FACT:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SMALL_DIR
 from starbazaar import catalog
 from starbazaar.operators.constraints import reference_count
-from starbazaar.plans import kpis, profile
+from starbazaar.plans import kpis, profile, quality, range_reports
 from starbazaar.sources.given_tables import marketplace
 
 
@@ -53,3 +53,32 @@ def test_keys_combine_before_the_shuffle(spark):
     raw = marketplace(spark, SMALL_DIR)
     text = plan(reference_count(raw["order_items"], "product_id", raw["products"], "product_id"))
     assert "partial_count" in text and "Join" not in text and "Sort" not in text
+
+
+def test_the_register_reads_every_table_once(spark, raw, tmp_path):
+    landed = {}
+    for name, df in raw.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        landed[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    text = plan(quality.issues(landed))
+    assert text.count("FileScan parquet") == len(quality.CRITICAL_COLUMNS)
+    assert text.count("Exchange hashpartitioning") == 2 and "Join" not in text and "Sort" not in text
+
+
+def test_register_columns_agree_with_the_single_audits(raw):
+    """What one pass finds is what the audits find on their own."""
+    found = {(r["check"], r["table"], r["column"]): r["count"] for r in quality.issues(raw).collect()}
+    expected = {("nulo_critico", r["table"], r["column"]): r["nulls"] for r in quality.critical_nulls(raw).collect()}
+    expected |= {("duplicado_pk", r["table"], r["column"]): r["duplicates"] for r in quality.duplicate_keys(raw).collect()}
+    expected |= {("integridad_referencial", r["table"], r["column"]): r["orphans"] for r in quality.orphans(raw).collect()}
+    expected[("fecha_nula", "orders", quality.PURCHASE)] = quality.date_span(raw["orders"]).first()["nulls"]
+    expected[("brecha_temporal", "orders", quality.PURCHASE)] = quality.missing_months(raw["orders"]).count()
+    assert found == {k: n for k, n in expected.items() if n}
+
+
+def test_bounds_read_the_first_and_the_last_month_only(star):
+    months = sorted(r[0] for r in star["fact_orders"].select("purchase_month").distinct().collect())
+    bounds = range_reports.range_bounds(star)
+    assert re.search(rf"PartitionFilters: .*purchase_month#\d+ IN \({months[0]},{months[-1]}\)\]", plan(bounds))
+    assert "Join" not in plan(bounds) and len(months) > 2
+    assert bounds.first() == range_reports.range_bounds({k: df for k, df in star.items() if k != "fact_ends"}).first()

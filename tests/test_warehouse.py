@@ -7,7 +7,7 @@ from starbazaar.plans.pipeline import main, run_pipeline
 from starbazaar.plans.star import transform
 from starbazaar.session import app_dir, shared_dir
 from starbazaar.sources import warehouse
-from starbazaar.sources.csv_files import write_csv_tables
+from starbazaar.sources.csv_files import load_raw_data, write_csv_tables
 
 
 @pytest.fixture(scope="module")
@@ -184,3 +184,18 @@ def test_own_views_stay(spark, published):
     found = warehouse.run_query(spark, warehouse.open_star(spark, published), "SELECT count(*) AS n FROM dim_seller")
     assert found.first()["n"] == 1 and spark.table("dim_seller").count() == 3
     spark.catalog.dropTempView("dim_seller")
+
+
+def test_metrics_of_a_load_are_a_table(spark, sound, tmp_path):
+    raw_folder, base, noted = str(tmp_path / "raw"), str(tmp_path / "star"), []
+    write_csv_tables(sound, raw_folder)
+    run_pipeline(spark, lambda: load_raw_data(spark, raw_folder, metrics=noted), base, metrics=noted)
+    run_pipeline(spark, lambda: sound, base)
+    found = warehouse.load_metrics(spark, base)
+    by_version = [r["version"] for r in found.select("version").distinct().orderBy("version").collect()]
+    lines = {(by_version.index(r["version"]), r["stage"], r["table"]): r for r in found.collect()}
+    assert len(lines) == found.count() == 9 + 6 + 6 and len(by_version) == 2
+    orders = lines[0, "extract", "orders"]
+    assert (orders["rows"], orders["columns"], orders["problems"]) == (7, 8, 0) and orders["seconds"] > 0
+    assert lines[1, "load", "fact_orders"]["rows"] == 4 and lines[1, "load", "dim_customer"]["columns"] == 6
+    assert warehouse.load_metrics(spark, str(tmp_path / "none")).count() == 0
