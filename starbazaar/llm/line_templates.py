@@ -1,12 +1,17 @@
 """Line dedup by a log-template tree of fixed depth; DataFrame functions only.
 
-A line's words with a digit or an at sign are variable fields. The tree's path is the number of words and the first
-``DEPTH`` words; the lines of a leaf are compared with its leading form (the one in the most documents, then the
-earliest) in ``SEGMENTS`` runs of words, single words in a short line. A form that agrees with it in ``ALIKE`` of them
-belongs to its template, what differs being another variable field; any other form is a template of its own. A template
-in two documents or more recurs: the document with the smallest id keeps its lines, all others lose them.
+A line's words with a digit or an at sign are variable fields, which gives its form. The tree's path is the number of words and the first
+``DEPTH`` words. The forms of a leaf go by their number of documents, then by their earliest document and line: a form that differs in at most
+one word of ``SLACK`` from the lead of a template joins that template, what differs being another variable field (the first such lead, if there
+are several); any other form leads a template of its own. A template in two documents or more recurs: the document with the smallest id
+keeps its lines, all others lose them.
 
-Forms are counted before anything is compared, so a line of a third of all rows is one row by then, and no pairs of lines are made.
+No leaf is gone through form by form. Two forms with few differing words agree in a place that can be looked up: in a short line with one word
+left out, in a longer one in one of as many runs of words as may differ, and one more. Forms that share such a place and nothing else are
+in one bucket. In each round the forms that come first in all their buckets are leads, and the forms of these buckets are compared with
+them, word by word; the rest goes on. Pairs of forms are never made, and a family of very many forms needs one lead and one round.
+
+Forms are counted before anything is compared, so a line of a third of all rows is one row by then.
 
 Defined results: lines of fewer than ``LEAST`` words never go; a repeat within one document stays; null stays null, an empty text
 empty; rows without doc_id count as one document after all others; rows that share a doc_id are one document; a document whose
@@ -15,17 +20,15 @@ lines all go keeps its row with an empty text; an empty table gives an empty res
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starbazaar.llm.common import WORD, own_column, table, written
 
-DEPTH, LEAST, SEGMENTS, ALIKE = 3, 4, 10, 8
+#: Of so many words one may differ.
+DEPTH, LEAST, SLACK = 3, 4, 5
 _LAST = (1 << 63) - 1
-_PARTS = [f"s{i}" for i in range(SEGMENTS)]
 #: A word with a digit or an at sign; looked for at the begin of a word only.
 _FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 
@@ -35,47 +38,89 @@ def _parsed(line: Column) -> Column:
     return F.regexp_extract_all(masked, F.lit(WORD), F.lit(0))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """One row per line that is long enough, with the hashes of its leaf, form and runs of words."""
-    words, n = F.col("words"), F.col("n")
+def _document() -> Column:
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST))
 
-    def run(i: int) -> Column:
-        begin, end = F.floor(n * i / SEGMENTS), F.floor(n * (i + 1) / SEGMENTS)
-        return F.hash(F.slice(words, (begin + 1).cast("int"), (end - begin).cast("int")))
 
+def _lines(docs: DataFrame) -> DataFrame:
+    """One row per line that is long enough, with the hashes of its leaf and form."""
     # Parsed before they become rows: a condition on the words would otherwise have each line parsed twice.
     exploded = docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("tag"),
+        _document().alias("doc"), F.xxhash64("text").alias("tag"),
         F.posexplode(F.transform(F.split("text", "\n"), _parsed)).alias("pos", "words"))
-    parsed = exploded.withColumn("n", F.size("words"))
-    return parsed.where(n >= LEAST).select(
-        "doc", "tag", "pos", "n", F.xxhash64("n", F.slice(words, 1, DEPTH)).alias("leaf"), F.xxhash64("words").alias("form"),
-        *(run(i).alias(p) for i, p in enumerate(_PARTS)))
-
-
-def recurring(lines: DataFrame) -> DataFrame:
-    """leaf, form and the document that keeps it, of every form whose template is in two documents or more."""
-    seen = lines.groupBy("leaf", "n", "form", *_PARTS, "doc").agg(F.min("pos").alias("pos"))
-    forms = written(seen.groupBy("leaf", "n", "form", *_PARTS).agg(
+    return exploded.withColumn("n", F.size("words")).where(F.col("n") >= LEAST).select(
+        "doc", "tag", "pos", "n", F.xxhash64("n", F.slice("words", 1, DEPTH)).alias("leaf"), F.xxhash64("words").alias("form"))
+
+
+def _crowded(docs: DataFrame, forms: DataFrame) -> DataFrame:
+    """form, n, rank and rest (hashes of the words below the leaf) of the forms that are not alone in their leaf and have words to spare."""
+    full = forms.where(F.col("n") >= SLACK).groupBy("leaf").agg(F.count("*").alias("forms")).where("forms > 1").select("leaf")
+    own = written(forms.join(full, "leaf", "left_semi").select(
+        "form", "n", F.struct((-F.col("docs")).alias("a"), F.col("at.doc").alias("b"), F.col("at.pos").alias("c"), F.col("form").alias("d")).alias("rank"),
+        "at.*"), "crowded-forms")
+    # The words come from the texts again, from the line that stands for the form.
+    texts = docs.select(_document().alias("doc"), F.xxhash64("text").alias("tag"), "text").join(
+        own.select("doc", "tag").distinct(), ["doc", "tag"], "left_semi").dropDuplicates(["doc", "tag"])
+    lines = texts.select("doc", "tag", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    return written(lines.join(own, ["doc", "tag", "pos"]).withColumn("words", _parsed(F.col("line"))).select(
+        "form", "n", "rank", F.transform(F.slice("words", F.lit(DEPTH + 1), F.size("words")), lambda w: F.xxhash64(w)).alias("rest"),
+        F.xxhash64("n", F.slice("words", 1, DEPTH)).alias("leaf")), "crowded-words")
+
+
+def _places() -> Column:
+    """The places in which a form is looked up."""
+    rest, leaf, size = F.col("rest"), F.col("leaf"), F.size("rest")
+    slack = F.floor(F.col("n") / SLACK)
+    without = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.xxhash64(
+        F.lit("without"), leaf, i, F.concat(F.slice(rest, F.lit(1), i), F.slice(rest, i + 2, size))))
+
+    def run(j: Column) -> Column:
+        begin, end = F.floor(size * j / (slack + 1)), F.floor(size * (j + 1) / (slack + 1))
+        return F.xxhash64(F.lit("run"), leaf, j, F.slice(rest, (begin + 1).cast("int"), (end - begin).cast("int")))
+
+    runs = F.transform(F.sequence(F.lit(0).cast("bigint"), slack), run)
+    return F.when(slack == 1, without).otherwise(runs)
+
+
+def _joined(crowded: DataFrame) -> DataFrame:
+    """form and lead of every form that joins another one's template."""
+    placed = crowded.select("form", F.explode(_places()).alias("place"))
+    shared = placed.groupBy("place").agg(F.count("*").alias("n")).where("n > 1").select("place")
+    buckets = written(placed.join(shared, "place", "left_semi"), "line-buckets")
+    words = crowded.select("form", "n", "rank", "rest")
+    # Of a form alone in all its places nothing is to be decided.
+    undecided = written(crowded.join(buckets.select("form").distinct(), "form", "left_semi").select("form", "rank"), "line-undecided")
+    found = None
+    while not undecided.isEmpty():
+        open_buckets = buckets.join(undecided, "form")
+        firsts = written(open_buckets.groupBy("place").agg(F.min("rank").alias("first")), "line-firsts")
+        leads = written(open_buckets.join(firsts, "place").groupBy("form").agg(
+            F.bool_and(F.col("rank") == F.col("first")).alias("lead")).where("lead").select("form"), "line-leads")
+        # At most one lead a place: the first one there.
+        at = firsts.select("place", F.col("first.d").alias("lead"), F.col("first").alias("lead_rank")).join(
+            leads.withColumnRenamed("form", "lead"), "lead", "left_semi")
+        pairs = buckets.join(at, "place").where("form <> lead").select("form", "lead", "lead_rank").distinct()
+        both = pairs.join(words, "form").where(F.col("rank") > F.col("lead_rank")).join(
+            words.select(F.col("form").alias("lead"), F.col("rest").alias("lead_rest")), "lead")
+        differing = F.size(F.filter(F.zip_with("rest", "lead_rest", lambda a, b: a != b), lambda x: x))
+        links = written(both.where(differing * SLACK <= F.col("n")).select("form", "lead", "lead_rank"), "line-links")
+        found = links if found is None else found.unionByName(links)
+        undecided = written(undecided.join(leads.unionByName(links.select("form")).distinct(), "form", "left_anti"), "line-undecided")
+    if found is None:
+        return crowded.select("form", F.col("form").alias("lead")).limit(0)
+    return found.groupBy("form").agg(F.min_by("lead", "lead_rank").alias("lead"))
+
+
+def recurring(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """form and the document that keeps it, of every form whose template is in two documents or more."""
+    seen = lines.groupBy("leaf", "n", "form", "doc").agg(F.min(F.struct("pos", "tag")).alias("at"))
+    forms = written(seen.groupBy("leaf", "n", "form").agg(
         F.count("*").alias("docs"), F.min("doc").alias("first"), F.max("doc").alias("last"),
-        F.min(F.struct("doc", "pos")).getField("pos").alias("pos")), "line-forms")
-    leads = forms.groupBy("leaf").agg(
-        F.count("*").alias("forms"),
-        F.max(F.struct("docs", (-F.col("first")).alias("a"), (-F.col("pos")).alias("b"), "form", *_PARTS)).alias("lead"))
-    leads = written(leads.where("forms > 1").select(
-        "leaf", F.col("lead.form").alias("template"), *(F.col(f"lead.{p}").alias(f"t{p}") for p in _PARTS)), "line-leads")
-    joined = forms.join(leads, "leaf", "left")
-
-    def agrees(i: int) -> Column:
-        begin, end = F.floor(F.col("n") * i / SEGMENTS), F.floor(F.col("n") * (i + 1) / SEGMENTS)
-        # A short line has empty runs; its words count, empty runs don't.
-        return F.when((end > begin) & (F.col(_PARTS[i]) == F.col(f"t{_PARTS[i]}")), 1).otherwise(0)
-
-    same = reduce(Column.__add__, map(agrees, range(SEGMENTS)))
-    alike = same * SEGMENTS >= F.least("n", F.lit(SEGMENTS)) * ALIKE
-    of = joined.select("leaf", "form", "first", "last", F.when(alike, F.col("template")).otherwise(F.col("form")).alias("template"))
-    both = of.groupBy("leaf", "template").agg(F.min("first").alias("keeper"), F.max("last").alias("other")).where("keeper < other")
-    return of.select("leaf", "form", "template").join(both, ["leaf", "template"]).select("leaf", "form", "keeper")
+        F.min(F.struct("doc", F.col("at.pos").alias("pos"), F.col("at.tag").alias("tag"))).alias("at")), "line-forms")
+    joined = _joined(_crowded(docs, forms))
+    of = forms.join(joined, "form", "left").select("form", "first", "last", F.coalesce("lead", "form").alias("template"))
+    both = of.groupBy("template").agg(F.min("first").alias("keeper"), F.max("last").alias("other")).where("keeper < other")
+    return of.select("form", "template").join(both, "template").select("form", "keeper")
 
 
 def without_recurring(docs: DataFrame) -> DataFrame:
@@ -83,12 +128,13 @@ def without_recurring(docs: DataFrame) -> DataFrame:
 
     A column ``n_chars`` of whole numbers, if there, gives the new length.
     """
-    lines = written(_lines(docs.select("doc_id", "text")), "lines")
-    kept = written(recurring(lines), "line-templates")
-    gone = lines.join(kept, ["leaf", "form"]).where("doc <> keeper").groupBy("doc", "tag").agg(F.collect_set("pos").alias("gone"))
+    texts = docs.select("doc_id", "text")
+    lines = written(_lines(texts), "lines")
+    kept = written(recurring(texts, lines), "line-templates")
+    gone = lines.join(kept, "form").where("doc <> keeper").groupBy("doc", "tag").agg(F.collect_set("pos").alias("gone"))
     doc, tag, drop, parts, before, after = (own_column(docs, c) for c in ("line_doc", "line_tag", "line_gone", "line_parts", "n_lines", "n_dropped"))
     gone = gone.select(F.col("doc").alias(doc), F.col("tag").alias(tag), F.col("gone").alias(drop))
-    marked = docs.join(gone, (F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)) == F.col(doc)) & (F.xxhash64("text") == F.col(tag)), "left")
+    marked = docs.join(gone, (_document() == F.col(doc)) & (F.xxhash64("text") == F.col(tag)), "left")
     size = F.coalesce(F.size(parts), F.lit(0))
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(drop))
     text = F.when(F.col(drop).isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(F.col(parts), i)), "\n"))
@@ -106,10 +152,8 @@ def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", "text")
 
 
-_SEGMENT = (f"list_slice(words, (n * (i.i) // {SEGMENTS}) + 1, n * (i.i + 1) // {SEGMENTS})")
-
 ORACLE_SQL = f"""
-WITH raw AS (
+WITH RECURSIVE raw AS (
     SELECT coalesce(doc_id, {_LAST}) AS doc, text, unnest(string_split(text, chr(10))) AS line,
            generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
     FROM (SELECT DISTINCT doc_id, text FROM documents)
@@ -122,16 +166,17 @@ WITH raw AS (
     SELECT n, list_slice(words, 1, {DEPTH}) AS leaf, words, count(DISTINCT doc) AS docs, min(doc) AS first, max(doc) AS last,
            min({{'doc': doc, 'pos': pos}}).pos AS pos
     FROM lines GROUP BY ALL
-), leads AS (
-    SELECT n, leaf, words AS lead FROM forms
-    QUALIFY row_number() OVER (PARTITION BY n, leaf ORDER BY docs DESC, first, pos) = 1
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY n, leaf ORDER BY docs DESC, first, pos) AS k FROM forms
+), step AS (
+    SELECT n, leaf, k, [words] AS leads, words, words AS template FROM ranked WHERE k = 1
+    UNION ALL
+    SELECT n, leaf, k, CASE WHEN len(met) = 0 THEN list_append(leads, words) ELSE leads END, words, CASE WHEN len(met) = 0 THEN words ELSE met[1] END
+    FROM (SELECT r.n, r.leaf, r.k, r.words, s.leads, list_filter(s.leads, lambda lead: {SLACK} * len(list_filter(
+              range(1, r.n + 1), lambda i: lead[i] <> r.words[i])) <= r.n) AS met
+          FROM step s JOIN ranked r ON r.n = s.n AND r.leaf = s.leaf AND r.k = s.k + 1)
 ), templates AS (
-    SELECT n, leaf, words, first, last, CASE WHEN {SEGMENTS} * (
-               SELECT count(*) FROM range({SEGMENTS}) AS i(i)
-               WHERE n * (i.i + 1) // {SEGMENTS} > n * i.i // {SEGMENTS}
-                 AND {_SEGMENT} = {_SEGMENT.replace('words', 'lead')}
-           ) >= least(n, {SEGMENTS}) * {ALIKE} THEN lead ELSE words END AS template
-    FROM forms JOIN leads USING (n, leaf)
+    SELECT n, leaf, words, template, first, last FROM step JOIN forms USING (n, leaf, words)
 ), kept AS (
     SELECT words, min(first) OVER w AS keeper, max(last) OVER w AS other FROM templates WINDOW w AS (PARTITION BY n, leaf, template)
 ), gone AS (
