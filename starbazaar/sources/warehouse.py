@@ -1,12 +1,19 @@
 """The published star: versioned Parquet tables, a manifest that names the current version, catalog views.
 
 A load writes a new version folder, checks it, and only then adds an entry to the manifest. Readers follow the
-manifest's last entry, so a failed load changes nothing for them. Entries are numbered in the order of publishing, not of
-starting; each is a file that is created only if its number is free, so of two loads at once both get an entry.
+manifest's last entry, so a failed load changes nothing for them.
+
+The manifest asks little of its store: no exclusive create, no rename, no whole writes. An entry is a file of its own, named by a number and a
+random part, so two loads never write the same file; it holds a checksum, so a reader passes over one that is not whole yet. A load
+takes the number after the last and looks again afterwards: if an entry of a later number has come meanwhile, it moves behind that. Loads at the
+very same time may share a number; then the random part puts them in an order that all readers agree on.
+
+Versions that registered views show, and those that readers have leased, are not deleted.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import logging
 import re
@@ -14,7 +21,6 @@ import time
 import uuid
 from datetime import datetime, timedelta, timezone
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +38,8 @@ MONTH, MONTH_COMMENT = "purchase_month", "Month of purchase as YYYYMM; the rows
 FACT_LAYOUT = ["reject_reason", MONTH]
 #: Columns that tell rows of one natural key apart: a second translation of a category repeats its products.
 KEY_TIES = {"dim_product": ("category_name_en",)}
-ENTRY_NAME = re.compile(r"\d{10}\.json")
+ENTRY_NAME = re.compile(r"(\d{10})(-[0-9a-f]{32})?\.json")
+MANIFEST, LEASES, SHOWN = "_manifest", "_leases", "_views"
 VERSION_NAME = re.compile(r"\d{8}T\d{12}-[0-9a-f]{8}")
 #: The raw keys stored with a rejected item.
 STORED_KEYS = ("order_id", "product_id", "seller_id")
@@ -219,39 +226,86 @@ def _folder(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def _read_text(spark: SparkSession, path) -> str:
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8", "replace")
+    finally:
+        stream.close()
+
+
+def _write_text(spark: SparkSession, path, text: str) -> None:
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    fs, place = _folder(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(place)) if fs.exists(place) else []
+
+
+def _path(spark: SparkSession, *parts: str):
+    return spark._jvm.org.apache.hadoop.fs.Path("/".join(parts))
+
+
+def _checksum(entry: dict) -> str:
+    return hashlib.sha256(json.dumps({k: v for k, v in entry.items() if k != "sha256"}, sort_keys=True).encode()).hexdigest()
+
+
+def _whole(text: str, sealed: bool) -> dict | None:
+    """An entry, or None if its file is not whole. Entries of earlier releases have no checksum."""
+    try:
+        entry = json.loads(text)
+    except ValueError:
+        return None
+    return entry if not sealed or entry.get("sha256") == _checksum(entry) else None
+
+
 def _entries(spark: SparkSession, base: str) -> list[dict]:
-    """The manifest's entries in the order of publishing; as many as there were loads."""
-    fs, place = _folder(spark, f"{base}/_manifest")
-    if not fs.exists(place):
-        return []
-    found = []
-    for status in sorted(fs.listStatus(place), key=lambda s: s.getPath().getName()):
-        if ENTRY_NAME.fullmatch(status.getPath().getName()):
-            reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(fs.open(status.getPath()), "UTF-8"))
-            try:
-                line = reader.readLine()
-            finally:
-                reader.close()
-            if line:  # else its writer has not got further yet
-                found.append(json.loads(line))
-    return found
+    """The manifest's entries in the order of publishing, one for each version; as many as there were loads."""
+    found = {}
+    for name in _names(spark, f"{base}/{MANIFEST}"):
+        named = ENTRY_NAME.fullmatch(name)
+        entry = named and _whole(_read_text(spark, _path(spark, base, MANIFEST, name)), named.group(2) is not None)
+        if entry:
+            found.pop(entry["version"], None)  # an entry that is moving stands in two places for a moment
+            found[entry["version"]] = entry
+    return list(found.values())
+
+
+def _last_number(spark: SparkSession, base: str, but: str = "") -> int:
+    return max((int(n[:10]) for n in _names(spark, f"{base}/{MANIFEST}") if ENTRY_NAME.fullmatch(n) and n != but), default=0)
 
 
 def _append_entry(spark: SparkSession, base: str, entry: dict) -> None:
-    fs, place = _folder(spark, f"{base}/_manifest")
-    fs.mkdirs(place)
+    sealed = json.dumps(entry | {"sha256": _checksum(entry)})
+    number, own = _last_number(spark, base) + 1, uuid.uuid4().hex
     while True:
-        taken = [int(s.getPath().getName()[:10]) for s in fs.listStatus(place) if ENTRY_NAME.fullmatch(s.getPath().getName())]
-        path = spark._jvm.org.apache.hadoop.fs.Path(place, f"{max(taken, default=0) + 1:010d}.json")
-        try:
-            out = fs.create(path, False)
-        except Py4JJavaError:
-            if fs.exists(path):  # another load was faster
-                continue
-            raise
-        out.write(bytearray(json.dumps(entry).encode()))
-        out.close()
-        return
+        name = f"{number:010d}-{own}.json"
+        _write_text(spark, _path(spark, base, MANIFEST, name), sealed)
+        last = _last_number(spark, base, name)
+        if last <= number:
+            return
+        # Loads that listed the manifest later were faster. The new place comes first, so that the entry is never missing.
+        former, number = name, last + 1
+        _write_text(spark, _path(spark, base, MANIFEST, f"{number:010d}-{own}.json"), sealed)
+        fs, place = _folder(spark, f"{base}/{MANIFEST}/{former}")
+        fs.delete(place, False)
+
+
+def _in_use(spark: SparkSession, base: str) -> set[str]:
+    """The versions that views show or that a lease still holds. Leases that have run out are removed."""
+    used = {_read_text(spark, _path(spark, base, SHOWN, name)) for name in _names(spark, f"{base}/{SHOWN}")}
+    now = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}"
+    for name in _names(spark, f"{base}/{LEASES}"):
+        until, version, _ = name.split("_")
+        if until >= now:
+            used.add(version)
+        else:
+            fs, place = _folder(spark, f"{base}/{LEASES}/{name}")
+            fs.delete(place, False)
+    return used
 
 
 def _current(spark: SparkSession, base: str) -> tuple[str, list[str]]:
@@ -261,9 +315,19 @@ def _current(spark: SparkSession, base: str) -> tuple[str, list[str]]:
     return f"{base}/{entries[-1]['version']}", entries[-1]["tables"]
 
 
-def open_star(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """The current version's tables by name."""
-    return read_tables(spark, *_current(spark, base.rstrip("/")))
+def open_star(spark: SparkSession, base: str, lease: timedelta | None = None) -> dict[str, DataFrame]:
+    """The current version's tables by name. For the time of a ``lease`` the version is not deleted, whatever is published meanwhile."""
+    base = base.rstrip("/")
+    while True:
+        path, tables = _current(spark, base)
+        if lease is None:
+            return read_tables(spark, path, tables)
+        version = path.rsplit("/", 1)[1]
+        until = f"{datetime.now(timezone.utc) + lease:%Y%m%dT%H%M%S}"
+        _write_text(spark, _path(spark, base, LEASES, f"{until}_{version}_{uuid.uuid4().hex}"), "")
+        fs, place = _folder(spark, path)
+        if fs.exists(place):  # else it was deleted just before
+            return read_tables(spark, path, tables)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
@@ -295,13 +359,13 @@ def load_star(spark: SparkSession, tables: dict[str, DataFrame], base: str,
 
 def drop_superseded(spark: SparkSession, base: str, keep: int = 2, abandoned_after: timedelta = timedelta(days=2)) -> list[str]:
     """Delete the versions published before the newest ``keep`` ones, and folders of loads that never published and
-    began longer ago than ``abandoned_after``; return the names. Touches only folders named like a version: a load
-    still running is not published, so it is safe for that long."""
+    began longer ago than ``abandoned_after``; return the names. Versions that views show or leases hold stay. Touches only
+    folders named like a version: a load still running is not published, so it is safe for that long."""
     if keep < 1:
         raise ValueError("keep must be at least 1")
     base = base.rstrip("/")
     published = [e["version"] for e in _entries(spark, base)]
-    current = set(published[-keep:])
+    current = set(published[-keep:]) | _in_use(spark, base)
     oldest = f"{datetime.now(timezone.utc) - abandoned_after:%Y%m%dT%H%M%S%f}"
     fs, root = _folder(spark, base)
     dropped = []
@@ -314,8 +378,17 @@ def drop_superseded(spark: SparkSession, base: str, keep: int = 2, abandoned_aft
 
 
 def register_views(spark: SparkSession, base: str, database: str = "market_dw") -> None:
-    """Publish the current version in the catalog with table and column comments. Can be run again any time."""
-    path, tables = _current(spark, base.rstrip("/"))
+    """Publish the current version in the catalog with table and column comments. Can be run again any time.
+
+    The version is noted as shown before the first view changes, beside the one shown so far, and that one is given up after the last: retention
+    deletes neither while views of both may be in use.
+    """
+    base = base.rstrip("/")
+    path, tables = _current(spark, base)
+    version = path.rsplit("/", 1)[1]
+    former = [n for n in _names(spark, f"{base}/{SHOWN}") if n.startswith(f"{database}.")]
+    note = f"{database}.{uuid.uuid4().hex}"
+    _write_text(spark, _path(spark, base, SHOWN, note), version)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in tables:
         table = STAR[name]
@@ -327,6 +400,9 @@ def register_views(spark: SparkSession, base: str, database: str = "market_dw")
         spark.sql(
             f"CREATE OR REPLACE VIEW {database}.{name} ({columns}) COMMENT {_quoted(table.comment)} AS "
             f"SELECT {', '.join(names)} FROM parquet.`{path}/{name}`{kept}")
+    for name in former:
+        fs, place = _folder(spark, f"{base}/{SHOWN}/{name}")
+        fs.delete(place, False)
 
 
 def _quoted(text: str) -> str:

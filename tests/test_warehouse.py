@@ -1,4 +1,6 @@
+import json
 import logging
+from datetime import timedelta
 
 import pytest
 
@@ -199,3 +201,78 @@ def test_metrics_of_a_load_are_a_table(spark, sound, tmp_path):
     assert (orders["rows"], orders["columns"], orders["problems"]) == (7, 8, 0) and orders["seconds"] > 0
     assert lines[1, "load", "fact_orders"]["rows"] == 4 and lines[1, "load", "dim_customer"]["columns"] == 6
     assert warehouse.load_metrics(spark, str(tmp_path / "none")).count() == 0
+
+
+def _entry(version):
+    return {"version": version, "tables": []}
+
+
+def _published(spark, base):
+    return [e["version"] for e in warehouse._entries(spark, base)]
+
+
+def test_loads_that_do_not_see_each_other_both_get_an_entry(spark, tmp_path, monkeypatch):
+    """A store without exclusive create, whose listing lags: both loads take the same number."""
+    base, real = str(tmp_path), warehouse._last_number
+    warehouse._append_entry(spark, base, _entry("first"))
+    with monkeypatch.context() as m:
+        m.setattr(warehouse, "_last_number", lambda *_: 1)
+        warehouse._append_entry(spark, base, _entry("a"))
+        warehouse._append_entry(spark, base, _entry("b"))
+    found = _published(spark, base)
+    assert found[0] == "first" and sorted(found[1:]) == ["a", "b"] and found == _published(spark, base)
+    warehouse._append_entry(spark, base, _entry("last"))
+    assert _published(spark, base)[-1] == "last" and real(spark, base) == 3
+
+
+def test_a_load_that_falls_behind_moves_to_the_end(spark, tmp_path, monkeypatch):
+    base, real, calls = str(tmp_path), warehouse._last_number, []
+
+    def slow(spark, base, but=""):
+        number = real(spark, base, but)
+        calls.append(number)
+        if len(calls) == 1:  # two other loads publish between the look and the write
+            for version in ("b", "c"):
+                with monkeypatch.context() as m:
+                    m.setattr(warehouse, "_last_number", real)
+                    warehouse._append_entry(spark, base, _entry(version))
+        return number
+
+    monkeypatch.setattr(warehouse, "_last_number", slow)
+    warehouse._append_entry(spark, base, _entry("a"))
+    assert _published(spark, base) == ["b", "c", "a"]
+    assert len([n for n in (tmp_path / "_manifest").iterdir() if n.name.endswith(".json") and not n.name.startswith(".")]) == 3
+
+
+def test_entries_that_are_not_whole_are_passed_over(spark, tmp_path):
+    base = str(tmp_path)
+    warehouse._append_entry(spark, base, _entry("whole"))
+    folder = tmp_path / "_manifest"
+    text = json.dumps(_entry("cut") | {"sha256": warehouse._checksum(_entry("cut"))})
+    for k, part in enumerate(("", text[:20], text.replace("cut", "cat"), "{}")):
+        (folder / f"{2 + k:010d}-{'0' * 32}.json").write_text(part)
+    assert _published(spark, base) == ["whole"]
+    (folder / f"{9:010d}-{'0' * 32}.json").write_text(text)
+    (folder / f"{10:010d}.json").write_text(json.dumps(_entry("of an earlier release")))
+    assert _published(spark, base) == ["whole", "cut", "of an earlier release"]
+
+
+def test_versions_in_use_are_not_deleted(spark, published, tmp_path):
+    base, database, sellers = str(tmp_path), "shown_versions", _sellers(published, spark)
+    warehouse.load_star(spark, {"dim_seller": sellers}, base)
+    warehouse.register_views(spark, base, database)
+    warehouse.load_star(spark, {"dim_seller": sellers.limit(0)}, base)
+    leased = warehouse.open_star(spark, base, lease=timedelta(hours=1))
+    warehouse.load_star(spark, {"dim_seller": sellers.unionByName(sellers.withColumn("seller_id", sellers["state"]).withColumn(
+        "seller_key", sellers["seller_key"] + 100))}, base)
+    assert warehouse.drop_superseded(spark, base, keep=1) == []
+    assert spark.table(f"{database}.dim_seller").count() == 1 and leased["dim_seller"].count() == 0
+    warehouse.register_views(spark, base, database)
+    assert len(warehouse.drop_superseded(spark, base, keep=1)) == 1  # the views have moved on, the lease holds
+    assert spark.table(f"{database}.dim_seller").count() == 2 and leased["dim_seller"].count() == 0
+    warehouse.open_star(spark, base, lease=timedelta(hours=-1))
+    for name in warehouse._names(spark, f"{base}/_leases"):
+        (tmp_path / "_leases" / name).rename(tmp_path / "_leases" / ("20200101T000000" + name[15:]))
+    assert len(warehouse.drop_superseded(spark, base, keep=1)) == 1
+    assert warehouse._names(spark, f"{base}/_leases") == []
+    spark.sql(f"DROP DATABASE {database} CASCADE")
