@@ -3,7 +3,8 @@
 Pages that a rule allows or blocks are seeds, by their host. Trust and the mass of pages without a rule flow along links (personalised
 PageRank), distrust flows against them: who links to blocked hosts is distrusted. Host edges are the absolute links of the pages'
 ``href`` attributes, and one each way between a host and its parent domain where both have pages. A host is blocked if its distrust is
-above its trust and at least ``SHARE`` of all that has reached it.
+above its trust and at least ``SHARE`` of all that has reached it. Masses flow until less than ``TOLERANCE`` of them all can still move: after
+k rounds that is the damping to the power of k, so the number of rounds does not depend on the graph; they end early when nothing moves.
 
 Rules meet hosts, not pages: each host's suffixes are joined with the rules' hosts, so both may be many.
 
@@ -14,6 +15,8 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +24,12 @@ from starbazaar.llm.common import table, written
 
 #: Fixed rules: verdict, host, path.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-DAMPING, ROUNDS, SHARE = 0.85, 10, 0.5
+DAMPING, TOLERANCE, SHARE = 0.85, 1e-3, 0.5
+ROUNDS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
+#: Rounds of one job.
+STEP = 8
+#: Changes that sums of doubles make by themselves.
+_STILL = 1e-13
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _HREF = r"""(?i)href[ \t\r\n]*=[ \t\r\n]*["']?(?:https?:)?//([^/?#"'<> \t\r\n]+)"""
 _MASSES = ("trust", "distrust", "neutral")
@@ -73,23 +81,31 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
 
 
 def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """``seeds`` (host and its masses) after ``rounds`` of propagation; each round is written."""
+    """``seeds`` (host and its masses) after ``rounds`` of propagation, or before if nothing moves; every ``STEP`` rounds are written."""
     ends = edges.select(F.col("a").alias("host")).unionByName(edges.select(F.col("b").alias("host")))
     seeds = written(seeds.unionByName(ends.select("host", *(F.lit(0.0).alias(m) for m in _MASSES))).groupBy("host").agg(
         *(F.sum(m).alias(m) for m in _MASSES)), "seeds")
     if edges.isEmpty():
         return seeds
+    none = F.lit(0.0)
+    # Trust and neutral mass go from a to b, distrust from b to a: one join moves all three.
+    flows = written(edges.select(F.col("a").alias("of"), F.col("b").alias("to"), F.col("out").alias("forth"), none.alias("back")).unionByName(
+        edges.select(F.col("b").alias("of"), F.col("a").alias("to"), none.alias("forth"), "back")), "flows")
+    given = seeds.select("host", *(((1 - damping) * F.col(m)).alias(m) for m in _MASSES))
     now = seeds
-    for _ in range(rounds):
-        forth = edges.join(now.withColumnRenamed("host", "a"), "a").select(
-            F.col("b").alias("host"), (F.col("trust") * F.col("out")).alias("trust"), F.lit(0.0).alias("distrust"),
-            (F.col("neutral") * F.col("out")).alias("neutral"))
-        back = edges.join(now.withColumnRenamed("host", "b"), "b").select(
-            F.col("a").alias("host"), F.lit(0.0).alias("trust"), (F.col("distrust") * F.col("back")).alias("distrust"),
-            F.lit(0.0).alias("neutral"))
-        came = forth.unionByName(back).select("host", *((damping * F.col(m)).alias(m) for m in _MASSES))
-        given = seeds.select("host", *(((1 - damping) * F.col(m)).alias(m) for m in _MASSES))
-        now = written(came.unionByName(given).groupBy("host").agg(*(F.sum(m).alias(m) for m in _MASSES)), "masses")
+    for done in range(0, rounds, STEP):
+        after = now
+        for _ in range(min(STEP, rounds - done)):
+            came = flows.join(after, F.col("of") == F.col("host")).select(F.col("to").alias("host"), *(
+                (damping * F.col(m) * F.col("back" if m == "distrust" else "forth")).alias(m) for m in _MASSES))
+            after = came.unionByName(given).groupBy("host").agg(*(F.sum(m).alias(m) for m in _MASSES))
+        after = written(after, "masses")
+        change = after.unionByName(now.select("host", *((-F.col(m)).alias(m) for m in _MASSES))).groupBy("host").agg(
+            *(F.sum(m).alias(m) for m in _MASSES))
+        moved = change.agg(F.sum(sum((F.abs(F.col(m)) for m in _MASSES), none)).alias("moved")).first()["moved"]
+        now = after
+        if moved < _STILL:
+            break
     return now
 
 

@@ -185,6 +185,23 @@ def test_distrust_flows_against_links(spark):
     assert link_trust.judged(pages.limit(0)).collect() == []
 
 
+def test_distrust_reaches_far_hosts(spark):
+    """Against a plain loop over a chain of hosts, each linking to the one before."""
+    pages = spark.createDataFrame([(0, "http://bad.net/", "")] + [
+        (i, f"http://h{i}.com/", f'<a href="http://{f"h{i - 1}.com" if i > 1 else "bad.net"}/">') for i in range(1, 31)], "page_id bigint, url string, html string")
+    found = {r.page_id: r.verdict for r in link_trust.judged(pages).collect()}
+    seeds = {i: (float(i == 0) / 31, float(i > 0) / 31) for i in range(31)}
+    now = dict(seeds)
+    for _ in range(link_trust.ROUNDS):
+        now = {i: (0.15 * seeds[i][0] + 0.85 * now.get(i - 1, (0, 0))[0], 0.15 * seeds[i][1] + 0.85 * now.get(i + 1, (0, 0))[1]) for i in range(31)}
+    assert found == {i: "block" if i == 0 or now[i][0] >= 0.5 * sum(now[i]) else "allow" for i in range(31)}
+    masses = link_trust.propagated(
+        spark.createDataFrame([("h0", 0.0, 1.0, 0.0)], "host string, trust double, distrust double, neutral double"),
+        spark.createDataFrame([(f"h{i}", f"h{i - 1}", 1.0, 1.0) for i in range(1, 41)], "a string, b string, out double, back double"))
+    reached = {r.host: r.distrust for r in masses.collect()}
+    assert reached["h30"] == pytest.approx(0.15 * 0.85 ** 30) and reached["h40"] > 0
+
+
 # 5: personal data
 
 def passes_luhn(digits):
