@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starbazaar.functions.scalars import UNKNOWN_DATE_KEY, date_key, is_late, month_number, revenue, whole_days
@@ -84,33 +84,41 @@ def fact_rows(classified: DataFrame) -> DataFrame:
 def turned_away(raw: dict[str, DataFrame]) -> DataFrame:
     """Raw rows that never reach the star, beside the items that the fact build itself rejects: rows without a key, repeats of a
     dimension's key, payments and reviews of no order. ``rows`` tells for how many raw rows a line stands.
+
+    Repeats and strangers come from one grouping of all keys: every table is read once for it, and a key with very many rows is one
+    row per task.
     """
-    def lines(df: DataFrame, table: str, reason: str, key: str, rows: str | None = None) -> DataFrame:
-        columns = (F.col(k) if k == key or rows is None and k in df.columns else F.lit(None).cast("string").alias(k) for k in REJECT_KEYS)
-        return df.select(F.lit(table).alias("source_table"), F.lit(reason).alias("reason"), *columns,
-                         (F.col(rows) if rows else F.lit(1)).cast("bigint").alias("rows"))
-
-    def missing(table: str, keys: list[str]) -> DataFrame:
-        absent = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
-        return lines(raw[table].where(absent).select(*(k for k in keys if k in REJECT_KEYS)), table, "missing_key", keys[0])
-
-    def repeats(table: str, key: str) -> DataFrame:
-        counted = raw[table].groupBy(key).agg((F.count("*") - 1).alias("n")).where("n > 0")
-        return lines(counted, table, "duplicate_key", key, "n")
-
-    def of_no_order(table: str) -> DataFrame:
-        # Counted by order first, so an order with very many rows is one row in the join.
-        counted = raw[table].groupBy("order_id").agg(F.count("*").alias("n"))
-        known = raw["orders"].where("order_id IS NOT NULL").select("order_id")
-        strangers = counted.where("order_id IS NOT NULL").join(known, "order_id", "left_anti")
-        return lines(strangers, table, "unknown_order", "order_id", "n").unionByName(
-            lines(counted.where("order_id IS NULL"), table, "missing_key", "order_id", "n"))
-
-    return reduce(DataFrame.unionByName, [
-        missing("orders", ORDER_KEYS), missing("order_items", ITEM_KEYS),
-        repeats("customers", "customer_id"), repeats("products", "product_id"), repeats("sellers", "seller_id"),
-        of_no_order("payments"), of_no_order("reviews"),
-    ])
+    keys = {"customers": "customer_id", "products": "product_id", "sellers": "seller_id", "orders": "order_id"}
+    children = ("payments", "reviews")
+
+    def line(table: str, reason: Column, key: str, value: Column, rows: Column) -> Column:
+        return F.struct(
+            F.lit(table).alias("source_table"), reason.alias("reason"),
+            *((value if k == key else F.lit(None)).cast("string").alias(k) for k in REJECT_KEYS), rows.cast("bigint").alias("rows"))
+
+    def missing(table: str, own: list[str]) -> DataFrame:
+        absent = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in own))
+        columns = ((F.col(k) if k in own else F.lit(None)).cast("string").alias(k) for k in REJECT_KEYS)
+        return raw[table].where(absent).select(
+            F.lit(table).alias("source_table"), F.lit("missing_key").alias("reason"), *columns, F.lit(1).cast("bigint").alias("rows"))
+
+    def of_role(table: str, column: str, key: int, role: int) -> DataFrame:
+        # Small numbers in place of names; they are part of every row.
+        return raw[table].select(F.lit(key).cast("byte").alias("key"), F.col(column).alias("value"), F.lit(role).cast("byte").alias("role"))
+
+    order_key = list(keys).index("orders")
+    seen = reduce(DataFrame.unionByName, [
+        *(of_role(table, column, i, -1) for i, (table, column) in enumerate(keys.items())),
+        *(of_role(table, "order_id", order_key, i) for i, table in enumerate(children))])
+    counted = seen.groupBy("key", "value").agg(
+        F.count_if(F.col("role") == -1).alias("parents"), *(F.count_if(F.col("role") == i).alias(c) for i, c in enumerate(children)))
+    value, known = F.col("value"), F.col("value").isNotNull() & (F.col("parents") > 0)
+    found = [F.when((F.col("key") == i) & (F.col("parents") > 1), line(table, F.lit("duplicate_key"), column, value, F.col("parents") - 1))
+             for i, (table, column) in enumerate(keys.items()) if i != order_key]
+    found += [F.when((F.col(c) > 0) & ~known, line(
+        c, F.when(value.isNull(), "missing_key").otherwise("unknown_order"), "order_id", value, F.col(c))) for c in children]
+    strange = counted.select(F.explode(F.array(*found)).alias("line")).where("line IS NOT NULL").select("line.*")
+    return missing("orders", ORDER_KEYS).unionByName(missing("order_items", ITEM_KEYS)).unionByName(strange)
 
 
 def order_totals(fact: DataFrame) -> DataFrame:
