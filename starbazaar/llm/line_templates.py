@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starbazaar.llm.common import WORD, own_column, table, written
+from starbazaar.operators.numbering import with_position
 
 #: Of so many words one may differ.
 DEPTH, LEAST, SLACK = 3, 4, 5
@@ -55,16 +56,16 @@ def _lines(docs: DataFrame) -> DataFrame:
 def _crowded(docs: DataFrame, forms: DataFrame) -> DataFrame:
     """form, n, rank and rest (hashes of the words below the leaf) of the forms that are not alone in their leaf and have words to spare."""
     full = forms.where(F.col("n") >= SLACK).groupBy("leaf").agg(F.count("*").alias("forms")).where("forms > 1").select("leaf")
-    own = written(forms.join(full, "leaf", "left_semi").select(
-        "form", "n", F.struct((-F.col("docs")).alias("a"), F.col("at.doc").alias("b"), F.col("at.pos").alias("c"), F.col("form").alias("d")).alias("rank"),
-        "at.*"), "crowded-forms")
+    # A dense number for the order, which is cheaper to compare than what it stands for.
+    own = written(with_position(forms.join(full, "leaf", "left_semi").select(
+        "form", "n", (-F.col("docs")).alias("seldom"), "at.*"), ["seldom", "doc", "pos", "form"], "rank", "form-order").drop("seldom"), "crowded-forms")
     # The words come from the texts again, from the line that stands for the form.
     texts = docs.select(_document().alias("doc"), F.xxhash64("text").alias("tag"), "text").join(
-        own.select("doc", "tag").distinct(), ["doc", "tag"], "left_semi").dropDuplicates(["doc", "tag"])
+        own.select("doc", "tag").distinct(), ["doc", "tag"], "left_semi")
     lines = texts.select("doc", "tag", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     return written(lines.join(own, ["doc", "tag", "pos"]).withColumn("words", _parsed(F.col("line"))).select(
         "form", "n", "rank", F.transform(F.slice("words", F.lit(DEPTH + 1), F.size("words")), lambda w: F.xxhash64(w)).alias("rest"),
-        F.xxhash64("n", F.slice("words", 1, DEPTH)).alias("leaf")), "crowded-words")
+        F.xxhash64("n", F.slice("words", 1, DEPTH)).alias("leaf")).dropDuplicates(["form"]), "crowded-words")  # repeated rows have equal lines
 
 
 def _places() -> Column:
@@ -93,19 +94,18 @@ def _joined(crowded: DataFrame) -> DataFrame:
     found = None
     while not undecided.isEmpty():
         open_buckets = buckets.join(undecided, "form")
-        firsts = written(open_buckets.groupBy("place").agg(F.min("rank").alias("first")), "line-firsts")
-        leads = written(open_buckets.join(firsts, "place").groupBy("form").agg(
-            F.bool_and(F.col("rank") == F.col("first")).alias("lead")).where("lead").select("form"), "line-leads")
+        firsts = open_buckets.groupBy("place").agg(F.min("rank").alias("first"))
+        leads = written(open_buckets.join(firsts, "place").groupBy("form", "rank").agg(
+            F.min(F.col("rank") == F.col("first")).alias("lead")).where("lead").select(F.col("form").alias("lead"), F.col("rank").alias("lead_rank")), "line-leads")
         # At most one lead a place: the first one there.
-        at = firsts.select("place", F.col("first.d").alias("lead"), F.col("first").alias("lead_rank")).join(
-            leads.withColumnRenamed("form", "lead"), "lead", "left_semi")
+        at = buckets.join(leads, F.col("form") == F.col("lead")).select("place", "lead", "lead_rank")
         pairs = buckets.join(at, "place").where("form <> lead").select("form", "lead", "lead_rank").distinct()
         both = pairs.join(words, "form").where(F.col("rank") > F.col("lead_rank")).join(
             words.select(F.col("form").alias("lead"), F.col("rest").alias("lead_rest")), "lead")
         differing = F.size(F.filter(F.zip_with("rest", "lead_rest", lambda a, b: a != b), lambda x: x))
         links = written(both.where(differing * SLACK <= F.col("n")).select("form", "lead", "lead_rank"), "line-links")
         found = links if found is None else found.unionByName(links)
-        undecided = written(undecided.join(leads.unionByName(links.select("form")).distinct(), "form", "left_anti"), "line-undecided")
+        undecided = written(undecided.join(leads.select(F.col("lead").alias("form")).unionByName(links.select("form")).distinct(), "form", "left_anti"), "line-undecided")
     if found is None:
         return crowded.select("form", F.col("form").alias("lead")).limit(0)
     return found.groupBy("form").agg(F.min_by("lead", "lead_rank").alias("lead"))
