@@ -22,6 +22,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import batched, groupby
 from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
@@ -245,8 +246,8 @@ def read_all(blocks: DataFrame, with_payload: bool = True) -> DataFrame:
     return spread.mapInArrow(read, _RECORD)
 
 
-def look_up(urls: DataFrame, blocks: DataFrame) -> DataFrame:
-    """The records captured for ``urls`` (column url), by binary search.
+def index_blocks(urls: DataFrame, blocks: DataFrame) -> DataFrame:
+    """key, file, offset and length of every index block that may hold captures of ``urls`` (column url), by binary search in the directories.
 
     The first keys of the index files are broadcast: one line for each range partition of the index.
     """
@@ -257,35 +258,56 @@ def look_up(urls: DataFrame, blocks: DataFrame) -> DataFrame:
         files, tops, directories = _Files(), given.value, {}
         firsts = [t[0] for t in tops]
 
-        def directory(uri: str) -> list[tuple[str, int, int]]:
+        def directory(uri: str) -> tuple[list[str], list[tuple[int, int]]]:
             if uri not in directories:
                 size = files.size(uri)
                 n = int.from_bytes(files.read(uri, size - _TAIL, _TAIL), "big")
-                lines = zlib.decompress(files.read(uri, size - _TAIL - n, n), 31).decode().split("\n")
-                directories[uri] = [(k, int(a), int(m)) for k, a, m in (line.split(" ") for line in lines)]
+                lines = [line.split(" ") for line in zlib.decompress(files.read(uri, size - _TAIL - n, n), 31).decode().split("\n")]
+                directories[uri] = [k for k, _, _ in lines], [(int(a), int(m)) for _, a, m in lines]
             return directories[uri]
 
-        def captures(key: str) -> Iterator[list[str]]:
+        def places(key: str) -> Iterator[tuple[str, str, int, int]]:
             # A key's captures may begin in the block before the first that starts with it.
             for uri in [t[1] for t in tops[max(0, bisect.bisect_left(firsts, key) - 1):bisect.bisect_right(firsts, key)]]:
-                own = directory(uri)
-                keys = [k for k, _, _ in own]
-                for _, at, n in own[max(0, bisect.bisect_left(keys, key) - 1):bisect.bisect_right(keys, key)]:
-                    lines = _captures(files.read(uri, at, n))
-                    begin = bisect.bisect_left(lines, key, key=lambda c: c[0])
-                    yield from lines[begin:bisect.bisect_right(lines, key, key=lambda c: c[0])]
+                keys, own = directory(uri)
+                for at, n in own[max(0, bisect.bisect_left(keys, key) - 1):bisect.bisect_right(keys, key)]:
+                    yield key, uri, at, n
 
         for batch in batches:
-            for url in batch.column(0).to_pylist():
-                key = _line((surt(url or ""), None, "", 0, 0)).split(" ", 1)[0]
-                found = list(_fetch(files, captures(key)))
-                if found:
-                    yield _batch(found)
+            found = [p for url in batch.column(0).to_pylist() for p in places(_line((surt(url or ""), None, "", 0, 0)).split(" ", 1)[0])]
+            columns = list(zip(*found)) or [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()))], ["key", "file", "offset", "length"])
+
+    return urls.select(F.col("url").cast("string")).distinct().mapInArrow(
+        search, "key string, file string, offset bigint, length bigint").distinct()
+
+
+def look_up(urls: DataFrame, blocks: DataFrame, with_payload: bool = True) -> DataFrame:
+    """The records captured for ``urls`` (column url). Blocks are dealt over tasks, so the captures of one key may be any number."""
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = _Files()
+
+        def records(block: tuple[str, int, int], keys: list[str]) -> Iterator[pa.RecordBatch]:
+            lines, wanted = _captures(files.read(*block)), []
+            for key in keys:
+                begin = bisect.bisect_left(lines, key, key=lambda c: c[0])
+                wanted += lines[begin:bisect.bisect_right(lines, key, key=lambda c: c[0])]
+            # Records of a block lie in many archives; in their order a file is opened once.
+            for part in batched(_fetch(files, sorted(wanted, key=lambda c: (c[2], int(c[3])))), 64):
+                yield _batch([f if with_payload else {**f, "payload": None} for f in part])
+
+        rows = (r for batch in batches for r in zip(*(batch.column(i).to_pylist() for i in range(4))))
+        for block, own in groupby(rows, key=lambda r: r[1:]):
+            yield from records(block, [r[0] for r in own])
 
-    return urls.select(F.col("url").cast("string")).distinct().mapInArrow(search, _RECORD)
+    spread = index_blocks(urls, blocks).repartition(
+        max(2, blocks.sparkSession.sparkContext.defaultParallelism), "file", "offset").sortWithinPartitions("file", "offset", "key")
+    return spread.mapInArrow(fetch, _RECORD)
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{app_dir(spark)}/warc-{uuid.uuid4().hex}"
-    blocks = indexed(archived(table(spark, sf_dir, "pages"), folder), folder)
-    return read_all(blocks, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    pages = table(spark, sf_dir, "pages")
+    blocks = indexed(archived(pages, folder), folder)
+    return look_up(pages.select("url"), blocks, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
