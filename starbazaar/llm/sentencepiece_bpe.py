@@ -11,7 +11,8 @@ elsewhere. Both give what the library gives. Overlapping places merge from the l
 
 Words begin at white space when no piece has white space after another character, as is checked; then no merge
 crosses words. A run of white space that has pieces for every length up to some most, all ranked last, is cut by
-arithmetic, so a long run takes no rounds. Words are remembered up to a fixed number.
+arithmetic, so a long run takes no rounds. A word is cut where no piece has two characters side by side, and in a part that is long even so
+(Chinese, encoded data) the places are kept by rank, so that a round costs what it changes. Words are remembered up to a fixed number.
 
 Defined results: null is the empty text; empty texts have the begin and end ids only; unknown characters become their
 UTF-8 bytes; repeated rows are encoded alike; an empty table gives an empty result.
@@ -20,6 +21,7 @@ UTF-8 bytes; repeated rows are encoded alike; an empty table gives an empty resu
 from __future__ import annotations
 
 import codecs
+import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,6 +36,8 @@ from starbazaar.llm.common import slices, table
 SPACE = "▁"
 #: Words remembered by a task, and the longest that is.
 REMEMBERED, LONGEST = 400_000, 64
+#: Symbols of a part of a word from which on rounds look only at the places that a merge can touch.
+LONG_PART = 2048
 _NONE = np.iinfo(np.int32).max
 
 
@@ -62,6 +66,7 @@ class Vocabulary:
     chars: np.ndarray = field(init=False)        # by code point
     space_run: int = field(init=False)           # longest run of white space that arithmetic may cut; 0: none
     splits_at_space: bool = field(init=False)
+    side_by_side: np.ndarray = field(init=False)  # sorted: pairs of code points that some piece has
 
     def _hash(self, keys: np.ndarray, ranks: np.ndarray, ids: np.ndarray) -> None:
         self.bits = max(4, int(len(keys) * 4).bit_length())
@@ -113,6 +118,7 @@ class Vocabulary:
         for p, i in by_text.items():
             if len(p) == 1:
                 self.chars[ord(p)] = i
+        self.side_by_side = np.unique(np.array([(ord(a) << 32) | ord(b) for p in by_text for a, b in zip(p, p[1:])] or [-1], np.int64))
         self.splits_at_space = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in by_text)
         runs = {len(p): i for p, i in by_text.items() if set(p) == {SPACE}}
         others = [ranks[i] for p, i in by_text.items() if len(p) > 1 and set(p) != {SPACE}]
@@ -197,6 +203,68 @@ def merge_rounds(symbols: np.ndarray, word: np.ndarray, voc: Vocabulary) -> tupl
     return symbols[order], word[order]
 
 
+def merge_long(symbols: np.ndarray, voc: Vocabulary) -> np.ndarray:
+    """The same for the symbols of one long word, in time about proportional to their number: places are kept by the rank of their pair, and a
+    round looks at those of the best rank and their neighbours only.
+
+    All places of a rank merge at once, from the left, up to the first one whose merge makes a pair of an equal or better rank.
+    """
+    n = len(symbols)
+    symbols, after, before = symbols.copy(), np.arange(1, n + 1), np.arange(-1, n - 1)
+    alive = np.ones(n, bool)
+    rank, piece = _pairs(symbols, np.append(symbols[1:], -1), voc)
+    waiting: dict[int, list[np.ndarray]] = {}
+    order: list[int] = []
+
+    def put(at: np.ndarray) -> None:
+        at = at[rank[at] < _NONE]
+        at = at[np.argsort(rank[at], kind="stable")]
+        for part in np.split(at, np.flatnonzero(np.diff(rank[at])) + 1) if len(at) else ():
+            r = int(rank[part[0]])
+            if r not in waiting:
+                waiting[r] = []
+                heapq.heappush(order, r)
+            waiting[r].append(part)
+
+    def right_of(at: np.ndarray) -> np.ndarray:
+        """The symbols behind places, or one that pairs with nothing."""
+        return np.where(after[at] < n, symbols[np.minimum(after[at], n - 1)], -1)
+
+    put(np.arange(n))
+    while order:
+        best = heapq.heappop(order)
+        at = np.unique(np.concatenate(waiting.pop(best)))
+        at = at[alive[at] & (rank[at] == best)]
+        if not len(at):
+            continue
+        # Of places one after another only every other one can merge, from the left.
+        starts = np.append(True, after[at[:-1]] != at[1:])
+        chosen = at[(np.arange(len(at)) - np.flatnonzero(starts)[np.cumsum(starts) - 1]) % 2 == 0]
+        made = piece[chosen]
+        if voc.alone[made].any():
+            # What each merge meets: on its left the merges before it are done, on its right nothing is yet.
+            left = np.where(before[chosen] >= 0, symbols[np.maximum(before[chosen], 0)], -1)
+            beside = np.append(False, after[after[chosen[:-1]]] == chosen[1:])
+            left[beside] = made[:-1][beside[1:]]
+            worse = (_pairs(made, right_of(after[chosen]), voc)[0] > best) & (_pairs(left, made, voc)[0] > best)
+            if not worse.all():
+                last = int(np.argmin(worse)) + 1
+                put(at[at > chosen[last - 1]])
+                chosen, made = chosen[:last], made[:last]
+        gone = after[chosen]
+        symbols[chosen] = made
+        alive[gone] = False
+        rank[gone] = _NONE
+        after[chosen] = after[gone]
+        inner = chosen[after[chosen] < n]
+        before[after[inner]] = inner
+        near = np.concatenate([chosen, before[chosen][before[chosen] >= 0]])
+        near = np.unique(near)
+        rank[near], piece[near] = _pairs(symbols[near], right_of(near), voc)
+        put(near)
+    return symbols[alive]
+
+
 class Encoder:
     """Encodes texts of a task; remembers words. A word is kept without the white space that it begins with, or
     with one less where there are several."""
@@ -232,8 +300,8 @@ class Encoder:
         cores = [w[runs.get(w, 0):] for w in words] if runs else words
         lengths = np.fromiter(map(len, cores), np.int64, len(cores)) + 1
         text = SPACE + SPACE.join(cores)
-        symbols = voc.chars[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
-        symbols, word = merge_rounds(symbols, np.repeat(np.arange(len(words), dtype=np.int32), lengths), voc)
+        codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+        symbols, word = self._merged(voc.chars[codes], codes, np.repeat(np.arange(len(words), dtype=np.int32), lengths))
         left = np.bincount(word, minlength=len(words))
         ends = np.cumsum(left)
         begins = ends - left
@@ -247,6 +315,26 @@ class Encoder:
             found[words[i]] = (self._as_bytes(ids) if (ids < 0).any() else ids).astype("<u4").tobytes()
         return found
 
+    def _merged(self, symbols: np.ndarray, codes: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols left of every word. Words are cut where no piece has both characters side by side: nothing merges over that."""
+        voc = self.voc
+        pairs = (codes[:-1].astype(np.int64) << 32) | codes[1:]
+        apart = voc.side_by_side[np.minimum(np.searchsorted(voc.side_by_side, pairs), len(voc.side_by_side) - 1)] != pairs
+        begins = np.flatnonzero(np.append(True, apart | (word[1:] != word[:-1])))
+        lengths = np.diff(np.append(begins, len(symbols)))
+        part = np.repeat(np.arange(len(begins), dtype=np.int32), lengths)
+        of, long = word[begins], np.flatnonzero(lengths > LONG_PART)
+        if not len(long):
+            symbols, part = merge_rounds(symbols, part, voc)
+            return symbols, of[part]
+        merged = [merge_long(symbols[begins[i]:begins[i] + lengths[i]], voc) for i in long.tolist()]
+        short = ~np.isin(part, long)
+        rest, rest_part = merge_rounds(symbols[short], part[short], voc)
+        symbols = np.concatenate([rest, *merged])
+        part = np.concatenate([rest_part, np.repeat(long.astype(np.int32), [len(m) for m in merged])])
+        order = np.argsort(part, kind="stable")
+        return symbols[order], of[part[order]]
+
     def _lead(self, ids: np.ndarray, run: int) -> np.ndarray:
         """``run`` more pieces of white space before a word; its own first one belongs to them if it joined nothing."""
         if not run:
