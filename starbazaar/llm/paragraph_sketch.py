@@ -31,7 +31,8 @@ THIRD, ATTEMPTS, LOAD = 8, (5, 10, 20), 6
 _COUNT = 32
 _ONE = 1 << _COUNT
 _PIECE = rf"(?:[^\x20\x09-\x0D]{{1,{LONG}}}+[\x20\x09]*+){{1,{WORDS}}}+"
-_LAST = -(1 << 63)
+#: The least id, and the bits over which rows without one spread above it.
+_LAST, _SPREAD = -(1 << 63), 40
 #: Ranges of documents for each shuffle partition, and the bounds among them that are quantiles; as with any range partitioning
 #: these are on the driver. Between two such bounds ranges are equally wide.
 RANGES, BOUNDS = 4, 4096
@@ -162,14 +163,22 @@ def fingerprint(text: Column, own: Column, cells: Column) -> Column:
     return F.lower(F.concat_ws(";", F.hex(F.size(own)), F.hex(F.xxhash64(text)), F.array_join(parts, ",")))
 
 
+def _with_order(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and id and tie, by which the documents go, largest first. Rows without doc_id spread over numbers below all others, in the
+    order of their tie, so that no range gets them all."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    own = docs.select("doc_id", text.alias("text")).withColumn("tie", F.bitwise_not(F.xxhash64("text")))
+    spread = F.lit(_LAST + (1 << (_SPREAD - 1))) + F.shiftright("tie", 64 - _SPREAD)
+    given = F.greatest(F.col("doc_id").cast("bigint"), F.lit(_LAST + (1 << _SPREAD)))
+    return own.select("doc_id", "text", F.when(F.col("doc_id").isNull(), spread).otherwise(given).alias("id"), "tie")
+
+
 def with_next(docs: DataFrame, ranges: int | None = None, bounds: int = BOUNDS) -> DataFrame:
     """doc_id, text and the next document's text, by descending doc_id, the first after the last.
 
     Ranges of ids are brought together, and the first document of each goes to the range above as well, so each text moves once.
     """
-    own = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).select(
-        F.col("doc_id"), "text", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("id"),
-        F.bitwise_not(F.xxhash64("text")).alias("tie"))
+    own = _with_order(docs)
     n = ranges or RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     coarse = min(n, bounds)
     cuts = [i / coarse for i in range(1, coarse)] or [0.5]
@@ -185,7 +194,7 @@ def with_next(docs: DataFrame, ranges: int | None = None, bounds: int = BOUNDS)
     copies = moved.select("doc_id", "text", "id", "tie", F.explode(F.when(F.col("to").isNull(), F.array(
         F.struct("range", F.lit(False).alias("lent")))).otherwise(F.array(
             F.struct("range", F.lit(False).alias("lent")), F.struct(F.col("to").alias("range"), F.lit(True).alias("lent"))))).alias("at"))
-    line = Window.partitionBy("at.range").orderBy("at.lent", F.desc("id"), F.desc("tie"))
+    line = Window.partitionBy("at.range").orderBy("at.lent", F.desc("id"), F.desc_nulls_last("doc_id"), F.desc("tie"))
     return copies.withColumn("next", F.lead("text").over(line)).where("NOT at.lent").select("doc_id", "text", "next")
 
 
