@@ -106,9 +106,10 @@ def _joined(crowded: DataFrame) -> DataFrame:
         links = written(both.where(differing * SLACK <= F.col("n")).select("form", "lead", "lead_rank"), "line-links")
         found = links if found is None else found.unionByName(links)
         undecided = written(undecided.join(leads.select(F.col("lead").alias("form")).unionByName(links.select("form")).distinct(), "form", "left_anti"), "line-undecided")
-        # Only places that still hold an undecided form go on.
+        # Only places that still hold an undecided form go on, and the words of the forms there.
         held = buckets.join(undecided.select("form"), "form", "left_semi").select("place").distinct()
         buckets = written(buckets.join(held, "place", "left_semi"), "line-buckets")
+        words = written(words.join(buckets.select("form").distinct(), "form", "left_semi"), "line-words")
     if found is None:
         return crowded.select("form", F.col("form").alias("lead")).limit(0)
     return found.groupBy("form").agg(F.min_by("lead", "lead_rank").alias("lead"))
