@@ -3,9 +3,10 @@
 Six high-recall patterns propose spans that may overlap: the four plain ones without their checks, phone numbers without a plus, and
 addresses that spell out the at sign. Every candidate gets features of its format and its surroundings, taken from a form in which spelled
 addresses look like plain ones and phone numbers have no plus; which pattern proposed it, and whether it passes the plain check, are no features. Boosted trees learn
-from a bounded sample (``SAMPLE`` candidates, by hash): positive are the candidates inside a plain span of their kind, negative those with evidence against them (inside
+from one half of all candidates (by hash): positive are the candidates inside a plain span of their kind, negative those with evidence against them (inside
 a span of another kind, an octet too large, too few or too many digits, a date, a word such as "version" or "page" before them). All others say
-nothing of their sort and are not learned from. A threshold calibrated on the other half of the sample then selects among all candidates, scored by the trees as
+nothing of their sort and are not learned from. Candidates of equal features are one row with their number as its weight. A threshold calibrated on
+all of the other half then selects among all candidates, scored by the trees as
 plain column expressions. The plain spans always stay; a selected candidate joins them if it meets no plain span and no better selected one. So spelled
 addresses, phone numbers without a plus and numbers written like a card's that fail the card's check digit are added where they look like the plain ones.
 
@@ -13,11 +14,12 @@ Positions come from the pieces between matches: their lengths are summed along t
 costs in proportion. Patterns never look at a place twice: they begin only where a run begins and don't go back.
 
 Defined results: null is the empty text and has no spans; repeated rows get equal results, row by row; with no candidates of
-one sort, positive or negative, in the sample nothing is added; positions count code points; an empty table gives an empty result.
+one sort, positive or negative, nothing is added; positions count code points; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from functools import reduce
 
@@ -29,7 +31,11 @@ from pyspark.sql import functions as F
 from starbazaar.llm.common import table, written
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE, TREES, DEPTH, SEED = 20_000, 10, 4, 42
+TREES, DEPTH, SEED = 10, 4, 42
+#: Rows of different features that a task of the training takes.
+TASK_ROWS = 100_000
+#: Rows that Spark ML looks at for the cuts of a feature, or the square of the number of bins, if that is more.
+LOOKED_AT, LEAST_BINS = 10_000, 32
 PRECISION, BINS = 0.99, 200
 CONTEXT = 24
 _BEFORE = "(?<![A-Za-z0-9._%+-])"
@@ -165,23 +171,28 @@ def _tree(lines: list[str], names: list[str]) -> Column:
 
 
 def learn(rated: DataFrame, names: list[str]) -> tuple[Column, float] | None:
-    """The score as an expression over the feature columns, and the threshold; None if the sample has one sort only.
+    """The score as an expression over the feature columns, and the threshold; None if there is one sort only.
 
-    ``rated`` holds at most ``SAMPLE`` rows: the features, ``label`` and ``half``.
+    ``rated`` holds a row for each combination of features, ``label`` and ``half``, and its ``weight``, the number of candidates.
     """
     sorts = {(r["label"], r["half"]): r["n"] for r in rated.groupBy("label", "half").agg(F.count("*").alias("n")).collect()}
     if not all(sorts.get((label, 0)) for label in (0, 1)):
         return None
-    # One feature of more values than bins could be cut differently in a rerun; the sample is written and ordered, so cuts are the same.
-    trainer = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED, stepSize=0.3)
-    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(rated.where("half = 0")).coalesce(1)
-    model = trainer.fit(vectors.select("features", "label"))
+    rows = sorts[0, 0] + sorts[1, 0]
+    # So many bins that cuts are taken from all rows.
+    bins = LEAST_BINS if rows <= LOOKED_AT else max(LEAST_BINS, math.isqrt(rows) + 1)
+    trainer = GBTClassifier(
+        featuresCol="features", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, maxBins=bins, seed=SEED, stepSize=0.3)
+    # In order, so that sums come out the same in a rerun.
+    ordered = rated.where("half = 0").repartitionByRange(1 + rows // TASK_ROWS, *names, "label").sortWithinPartitions(*names, "label")
+    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(ordered)
+    model = trainer.fit(vectors.select("features", "label", F.col("weight").cast("double").alias("weight")))
     sums = [float(w) * _tree([line for line in tree.toDebugString.split("\n")[1:] if line.strip()], names)
             for w, tree in zip(model.treeWeights, model.trees)]
     score = 1 / (1 + F.exp(-2 * reduce(Column.__add__, sums)))
-    bins = rated.where("half = 1").withColumn("score", score).groupBy(F.floor(F.col("score") * BINS).alias("bin")).agg(
-        F.sum("label").alias("good"), F.count("*").alias("n")).collect()
-    return score, _calibrated({r["bin"]: (r["good"], r["n"]) for r in bins})
+    counted = rated.where("half = 1").withColumn("score", score).groupBy(F.floor(F.col("score") * BINS).alias("bin")).agg(
+        F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n")).collect()
+    return score, _calibrated({r["bin"]: (r["good"], r["n"]) for r in counted})
 
 
 def _calibrated(bins: dict[int, tuple[int, int]]) -> float:
@@ -215,10 +226,9 @@ def spans(matches: DataFrame) -> DataFrame:
         "inside": F.coalesce(F.max(ends).over(of_kind) >= F.col("end"), F.lit(False))})
     label = F.when(F.col("inside"), 1).when(F.col("meets") | _spoken_against(), 0)
     known = written(placed.withColumn("label", label).drop("inside"), "pii-known")
-    order = F.xxhash64(F.lit("pii"), "row", "by", "start")
-    sample = written(known.where("label IS NOT NULL").withColumn("draw", order).orderBy("draw", "row", "by", "start").limit(SAMPLE).withColumn(
-        "half", (F.pmod(F.col("draw"), F.lit(2))).cast("int")).select("label", "half", *names), "pii-sample")
-    model = learn(sample, names)
+    half = F.pmod(F.xxhash64(F.lit("pii"), "row", "by", "start"), F.lit(2)).cast("int").alias("half")
+    learned = written(known.where("label IS NOT NULL").groupBy("label", half, *names).agg(F.count("*").alias("weight")), "pii-learned")
+    model = learn(learned, names)
     plain = plain.withColumn("plain", F.lit(True))
     if model is None:
         return plain

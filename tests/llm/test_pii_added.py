@@ -55,6 +55,16 @@ def test_without_evidence_against_anything_nothing_is_added(spark):
     assert all([s.plain for s in r.spans] == [True] for r in pii_boosting.found_in(docs).collect())
 
 
+def test_every_labelled_candidate_is_learned_from(spark, monkeypatch):
+    given, own = [], pii_boosting.learn
+    monkeypatch.setattr(pii_boosting, "learn", lambda rated, names: given.append(rated) or own(rated, names))
+    text = " ".join([f"jane{'x' * i}@example.com" for i in range(20)] + ["in version 1.2.3.999 of"] * 5)
+    pii_boosting.found_in(spark.createDataFrame([(i, text) for i in range(1_000)], "doc_id bigint, text string")).collect()
+    seen = {r.label: r.n for r in given[0].selectExpr("label", "weight").groupBy("label").sum("weight").toDF("label", "n").collect()}
+    assert seen[1] == 20_000 and seen[0] >= 5_000
+    assert given[0].count() < 1_000  # equal candidates are one row
+
+
 @pytest.mark.parametrize("match, kind, expected", [
     ("joe [at] example (dot) com", 0, "joe@example.com"), ("+1 (200) 555", 3, "1 (200) 555"), ("4111 1111", 2, "4111 1111")])
 def test_spelled_forms_look_like_plain_ones(spark, match, kind, expected):
