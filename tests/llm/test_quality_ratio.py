@@ -83,3 +83,50 @@ def test_ratios_scores_threshold_and_verdict(spark, seed):
         assert r.base_failed == failed
         if abs(score(text) - cut) > 1e-9:
             assert r.kept == (not failed and score(text) >= cut)
+
+
+def cut_of(judged):
+    """The threshold by plain counting over all judged (score, quality)."""
+    good, bad = (sorted(s for s, q in judged if q == k) for k in (1, 0))
+    cuts = sorted({s for s, _ in judged})
+    rates = [sum(g >= c for g in good) * len(bad) + sum(b < c for b in bad) * len(good) for c in cuts]
+    best = max(range(len(cuts)), key=lambda k: (rates[k], -k))
+    return min((cuts[best] + cuts[best - 1]) / 2 if best else cuts[best], good[int(quality.GOOD_LOST * len(good))])
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_the_cut_comes_from_every_judged_row(spark, seed):
+    draw = random.Random(seed)
+    judged = [(draw.choice([draw.gauss(q, 1), round(draw.gauss(q, 1), 1)]), q) for q in (0, 1) for _ in range(400)]
+    assert quality.threshold(spark.createDataFrame(judged, "score double, quality int")) == cut_of(judged)
+
+
+def test_no_labelled_document_is_left_out(spark):
+    draw = random.Random(5)
+    words = "alpha beta gamma delta epsilon zeta eta theta".split()
+    docs = [(i, " ".join(draw.choice(words if i % 2 else words[3:] + ["spam"]) for _ in range(52)) + f" {'x' * (i % 7)}") for i in range(9_000)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    marks = spark.createDataFrame([(i, int(i % 20 == 1)) for i, _ in docs], "doc_id bigint, quality int")
+    ratios, cut = quality.learn(frame, marks)
+    halves = {r.id: (r.quality, r.half) for r in quality._own(marks).collect()}
+    scored = {r.doc_id: r for r in quality.rated(frame, ratios).withColumn("failed", quality._failed()).collect()}
+    judged = [(scored[i].score, q) for i, (q, half) in halves.items() if not (q and half) and not scored[i].failed]
+    assert sum(not q for _, q in judged) > 4_000
+    rows = quality.judged_scores(quality._scored(frame, ratios), frame, marks, ratios).collect()
+    assert sorted((r.score, r.quality) for r in rows) == sorted(judged)
+    assert cut == quality.threshold(spark.createDataFrame(judged, "score double, quality int"))
+
+
+def test_of_unlike_texts_of_one_id_the_smallest_is_judged(spark):
+    docs, labels = corpus(1)
+    docs += [(3, docs[4][1]), (1, docs[1][1])]
+    frame, marks = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, quality int")
+    ratios = quality.log_ratios(frame, marks)
+    rows = quality.judged_scores(quality._scored(frame, ratios), frame, marks, ratios).collect()
+    halves = {r.id: (r.quality, r.half) for r in quality._own(marks).collect()}
+    smallest = {}
+    for i, text in docs:
+        if halves.get(i, (1, True)) != (1, True) and text is not None:
+            smallest[i] = min(smallest.get(i, text), text)
+    scored = quality.rated(spark.createDataFrame(list(smallest.items()), "doc_id bigint, text string"), ratios).where(~quality._failed()).collect()
+    assert sorted((r.score, r.quality) for r in rows) == sorted((r.score, halves[r.doc_id][0]) for r in scored)
