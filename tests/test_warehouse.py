@@ -276,3 +276,30 @@ def test_versions_in_use_are_not_deleted(spark, published, tmp_path):
     assert len(warehouse.drop_superseded(spark, base, keep=1)) == 1
     assert warehouse._names(spark, f"{base}/_leases") == []
     spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def _counted(spark, df, column):
+    """``df``, and an accumulator of how often a value of ``column`` was made."""
+    from pyspark.sql import functions as F
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(value):
+        seen.add(1)
+        return value
+
+    return df.withColumn(column, F.udf(look, df.schema[column].dataType)(column)), seen
+
+
+def test_broken_rules_are_counted_by_the_write_itself(spark, sound, tmp_path):
+    items, seen = _counted(spark, sound["order_items"].withColumn("price", -sound["order_items"]["price"]), "price")
+    writer = warehouse.StarWriter(spark, str(tmp_path), own_keys=True)
+    transform(spark, sound | {"order_items": items}, writer)
+    assert ("fact_orders", "price_not_negative", "price", 4) in writer.violations()
+    assert 0 < seen.value <= sound["order_items"].count()
+
+
+def test_orders_are_put_together_once_for_days_and_headers(spark, sound, tmp_path):
+    orders, seen = _counted(spark, sound["orders"], "order_delivered_customer_date")
+    transform(spark, sound | {"orders": orders}, warehouse.StarWriter(spark, str(tmp_path), own_keys=True))
+    assert 0 < seen.value <= sound["orders"].count()
