@@ -175,8 +175,8 @@ def judged_scores(scored: DataFrame, docs: DataFrame, labels: DataFrame, ratios:
     rates = F.struct("score", "base_failed")
     by_id = written(scored.withColumnRenamed("doc_id", "id").join(marks, "id").groupBy("id", "quality").agg(
         F.min(rates).alias("rate"), F.max(rates).alias("other")), "quality-judged")
-    # Rows of one id whose texts differ are told apart by the texts; usually there are none.
-    unlike = by_id.where("rate <> other").select("id", "quality")
+    # Rows of one id whose texts differ are told apart by the texts; usually there are none, which a written table shows the planner.
+    unlike = written(by_id.where("rate <> other").select("id", "quality"), "quality-unlike")
     texts = _texts(docs).join(unlike, "id").groupBy("id", "quality").agg(F.min("text").alias("text"))
     again = rated(texts.withColumn("doc_id", F.col("quality")), ratios).where(~_failed()).select("score", F.col("doc_id").cast("int").alias("quality"))
     return by_id.where("rate = other AND NOT rate.base_failed").select("rate.score", "quality").unionByName(again)
