@@ -149,6 +149,24 @@ def test_stray_quotes_do_not_move_records(spark, tmp_path, small_ranges):
         f"s{i}": ('5" pipe', f'a "b" {i}') if i % 3 else ("1", f"line\nbreak, {i}") for i in range(100)}
 
 
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_records_over_stretches_of_a_range_equal_the_whole_file_read(spark, tmp_path, monkeypatch, bits):
+    monkeypatch.setattr(csv_records, "STRETCH", bits)
+    text, rows = spoiled_lines(3, 120)
+    path = write(tmp_path / "x_sellers_dataset.csv", HEADER + text)
+    got = sorted(tuple(r)[:4] for r in read_with_problems(spark, path, "sellers").collect())
+    assert got == sorted(tuple(v or None for v in r) for r in rows)
+
+
+def test_no_condition_parses_records_again(spark, tmp_path):
+    path = write(tmp_path / "x_sellers_dataset.csv", HEADER + 's1,1,"ci\nty",SP\ns2,2\n')
+    found = problems({"sellers": read_with_problems(spark, path, "sellers")})
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_csv" in plan
+    assert not [line for line in plan.splitlines() if "Filter" in line and "from_csv" in line]
+    assert [(r["problem"], r["n"]) for r in found.collect()] == [("wrong_width", 1)]
+
+
 def _tasks(df):
     return df.rdd.getNumPartitions()
 
