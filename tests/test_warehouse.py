@@ -3,8 +3,10 @@ import logging
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import star_table
+from starbazaar.plans.fact import order_spans, order_totals
 from starbazaar.plans.pipeline import main, run_pipeline
 from starbazaar.plans.star import transform
 from starbazaar.session import app_dir, shared_dir
@@ -303,3 +305,40 @@ def test_orders_are_put_together_once_for_days_and_headers(spark, sound, tmp_pat
     orders, seen = _counted(spark, sound["orders"], "order_delivered_customer_date")
     transform(spark, sound | {"orders": orders}, warehouse.StarWriter(spark, str(tmp_path), own_keys=True))
     assert 0 < seen.value <= sound["orders"].count()
+
+
+def test_totals_of_orders_in_one_month_and_in_several(spark, published, tmp_path, monkeypatch):
+    hints = []
+    monkeypatch.setattr(warehouse.StarWriter, "publish", lambda self: hints.append(self.path))
+    star = warehouse.open_star(spark, published)
+    fact = star["fact_orders"].drop("purchase_month")
+    again = fact.where("order_id IN ('o1', 'o2')").withColumn("date_key", F.lit(20180301))
+    unknown = fact.where("order_id = 'o3'").withColumn("date_key", F.lit(None).cast("int"))
+    nameless = again.withColumn("order_id", F.lit(None).cast("string"))
+    rows = fact.unionByName(again).unionByName(unknown).unionByName(nameless).unionByName(nameless.withColumn("date_key", F.lit(20180401)))
+    warehouse.load_star(spark, {"fact_orders": rows}, str(tmp_path))
+    stored = warehouse.read_tables(spark, hints[0], ["fact_orders"])["order_totals"].select("order_id", "order_total", "purchase_month")
+    assert sorted(stored.collect(), key=str) == sorted(order_totals(rows).collect(), key=str)
+    spans = order_spans(fact)._jdf.queryExecution().executedPlan().toString()
+    assert spans.count("Exchange") == 1
+
+
+def test_a_ready_made_fact_in_small_files_is_not_moved(spark, published, tmp_path, monkeypatch):
+    moved, hint = [], type(spark.range(1)).hint
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda self, name, *rest: moved.append(name) or hint(self, name, *rest))
+    star = {k: v for k, v in warehouse.open_star(spark, published).items() if k.startswith(("dim_", "fact_orders"))}
+    copy = warehouse.load_star(spark, star, str(tmp_path / "small"), max_records_per_file=2)
+    assert "rebalance" not in moved
+    assert sorted(copy["fact_orders"].collect()) == sorted(star["fact_orders"].collect())
+    warehouse.load_star(spark, star, str(tmp_path / "large"))
+    assert "rebalance" in moved
+
+
+def test_keys_of_rejected_items_come_from_their_dimensions(spark, published):
+    path = warehouse._current(spark, published)[0]
+    stored = warehouse._stored_items(spark, path).where("reject_reason <> 'none'")
+    assert stored.where("product_key IS NOT NULL AND product_id IS NOT NULL").isEmpty()
+    assert not stored.where("product_key IS NOT NULL").isEmpty()
+    rejects = warehouse.open_rejects(spark, published).where("source_table = 'order_items' AND reason <> 'missing_key'")
+    assert {(r["reason"], r["product_id"], r["seller_id"]) for r in rejects.collect()} >= {
+        ("no_purchase_time", "p1", "s1"), ("unknown_product", "p9", "s1"), ("unknown_seller", "p1", "s9")}
