@@ -84,31 +84,30 @@ def _places() -> Column:
 
 
 def _joined(crowded: DataFrame) -> DataFrame:
-    """form and lead of every form that joins another one's template."""
-    placed = crowded.select("form", F.explode(_places()).alias("place"))
+    """form and lead of every form that joins another one's template; a lead of a template has itself, unless it is alone in all its places."""
+    placed = crowded.select("form", "rank", F.explode(_places()).alias("place"))
     shared = placed.groupBy("place").agg(F.count("*").alias("n")).where("n > 1").select("place")
-    buckets = written(placed.join(shared, "place", "left_semi"), "line-buckets")
-    words = crowded.select("form", "n", "rank", "rest")
     # Of a form alone in all its places nothing is to be decided.
-    undecided = written(crowded.join(buckets.select("form").distinct(), "form", "left_semi").select("form", "rank"), "line-undecided")
+    buckets = written(placed.join(shared, "place", "left_semi").withColumn("undecided", F.lit(True)), "line-buckets")
+    words = crowded.select("form", "n", "rest")
     found = None
-    while not undecided.isEmpty():
-        open_buckets = buckets.join(undecided, "form")
-        firsts = open_buckets.groupBy("place").agg(F.min("rank").alias("first"))
-        leads = written(open_buckets.join(firsts, "place").groupBy("form", "rank").agg(
-            F.min(F.col("rank") == F.col("first")).alias("lead")).where("lead").select(F.col("form").alias("lead"), F.col("rank").alias("lead_rank")), "line-leads")
-        # At most one lead a place: the first one there.
-        at = buckets.join(leads, F.col("form") == F.col("lead")).select("place", "lead", "lead_rank")
-        pairs = buckets.join(at, "place").where("form <> lead").select("form", "lead", "lead_rank").distinct()
-        both = pairs.join(words, "form").where(F.col("rank") > F.col("lead_rank")).join(
-            words.select(F.col("form").alias("lead"), F.col("rest").alias("lead_rest")), "lead")
+    while not buckets.isEmpty():
+        undecided = buckets.where("undecided")
+        firsts = undecided.groupBy("place").agg(F.min("rank").alias("first"))
+        leads = undecided.join(firsts, "place").groupBy("form", "rank").agg(
+            F.min(F.col("rank") == F.col("first")).alias("lead")).where("lead").select(F.col("form").alias("lead"), F.col("rank").alias("lead_rank"))
+        # At most one lead a place: the first one there. It meets itself, so that one table tells all that is decided.
+        at = undecided.join(leads, F.col("form") == F.col("lead")).select("place", "lead", "lead_rank")
+        pairs = buckets.join(at, "place").where(F.col("rank") >= F.col("lead_rank")).select("form", "lead", "lead_rank").distinct()
+        both = pairs.join(words, "form").join(words.select(F.col("form").alias("lead"), F.col("rest").alias("lead_rest")), "lead")
         differing = F.size(F.filter(F.zip_with("rest", "lead_rest", lambda a, b: a != b), lambda x: x))
         links = written(both.where(differing * SLACK <= F.col("n")).select("form", "lead", "lead_rank"), "line-links")
         found = links if found is None else found.unionByName(links)
-        undecided = written(undecided.join(leads.select(F.col("lead").alias("form")).unionByName(links.select("form")).distinct(), "form", "left_anti"), "line-undecided")
+        decided = links.select("form", F.lit(True).alias("decided")).distinct()
         # Only places that still hold an undecided form go on, and the words of the forms there.
-        held = buckets.join(undecided.select("form"), "form", "left_semi").select("place").distinct()
-        buckets = written(buckets.join(held, "place", "left_semi"), "line-buckets")
+        held = undecided.join(decided, "form", "left_anti").select("place").distinct()
+        buckets = written(buckets.join(held, "place", "left_semi").join(decided, "form", "left").select(
+            "place", "form", "rank", (F.col("undecided") & F.col("decided").isNull()).alias("undecided")), "line-buckets")
         words = written(words.join(buckets.select("form").distinct(), "form", "left_semi"), "line-words")
     if found is None:
         return crowded.select("form", F.col("form").alias("lead")).limit(0)

@@ -88,3 +88,14 @@ def test_many_unlike_forms_of_one_leaf(spark):
     docs = [(i, f"this is the {a} {b} {c}") for i, (a, b, c) in enumerate(
         (a, b, c) for a in ("red", "green") for b in "abcdef" for c in "uvwxyz")]
     check(spark, docs)
+
+
+def test_a_round_writes_three_tables(spark, monkeypatch):
+    labels, own = [], line_templates.written
+    monkeypatch.setattr(line_templates, "written", lambda df, label: labels.append(label) or own(df, label))
+    check(spark, [(i, f"the same opening words then alpha beta gamma delta {'abcd'[i]}") for i in range(4)])
+    seen = collections.Counter(labels)
+    rounds = seen["line-links"]
+    assert rounds and {k: n for k, n in seen.items() if n != 1} == {k: n for k, n in {
+        "line-links": rounds, "line-buckets": rounds + 1, "line-words": rounds}.items() if n != 1}
+    assert not {"line-leads", "line-undecided"} & set(labels)
