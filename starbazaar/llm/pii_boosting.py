@@ -211,9 +211,8 @@ def spans(matches: DataFrame) -> DataFrame:
     kind = F.get(F.array(*(F.lit(KINDS.index(k)) for _, k, _, _ in GENERATORS)), F.col("generator"))
     given = {f"x_{n}": c for n, c in features().items()}
     names = list(given)
-    found = written(candidates(matches).withColumn("kind", kind).select(
-        "row", F.col("generator").alias("by"), "kind", "start", "end", "plain", *(c.alias(n) for n, c in given.items())), "pii-candidates")
-    plain = found.where("plain").select("row", "kind", "start", "end")
+    found = candidates(matches).withColumn("kind", kind).select(
+        "row", F.col("generator").alias("by"), "kind", "start", "end", "plain", *(c.alias(n) for n, c in given.items()))
     # Where plain spans that began up to here end, and where the next one begins: no pairs of spans are made. A candidate
     # inside a plain span of its kind is a good one, whatever proposed it.
     place = Window.partitionBy("row").orderBy("start")
@@ -225,7 +224,9 @@ def spans(matches: DataFrame) -> DataFrame:
             F.min(F.when(F.col("plain"), F.col("start"))).over(later) < F.col("end")), F.lit(False)),
         "inside": F.coalesce(F.max(ends).over(of_kind) >= F.col("end"), F.lit(False))})
     label = F.when(F.col("inside"), 1).when(F.col("meets") | _spoken_against(), 0)
+    # The only table of candidates; plain spans and what is learned from are read from it.
     known = written(placed.withColumn("label", label).drop("inside"), "pii-known")
+    plain = known.where("plain").select("row", "kind", "start", "end")
     half = F.pmod(F.xxhash64(F.lit("pii"), "row", "by", "start"), F.lit(2)).cast("int").alias("half")
     learned = written(known.where("label IS NOT NULL").groupBy("label", half, *names).agg(F.count("*").alias("weight")), "pii-learned")
     model = learn(learned, names)

@@ -70,3 +70,11 @@ def test_every_labelled_candidate_is_learned_from(spark, monkeypatch):
 def test_spelled_forms_look_like_plain_ones(spark, match, kind, expected):
     row = spark.createDataFrame([(match, kind)], "match string, kind int").select(pii_boosting._canonical().alias("c")).first()
     assert row.c == expected
+
+
+def test_candidates_are_written_once(spark, monkeypatch):
+    labels, own = [], pii_boosting.written
+    monkeypatch.setattr(pii_boosting, "written", lambda df, label: labels.append(label) or own(df, label))
+    docs = spark.createDataFrame([(1, "write to jane@example.com in version 1.2.3.999"), (2, None)], "doc_id bigint, text string")
+    assert {r.doc_id: len(r.spans) for r in pii_boosting.found_in(docs).collect()} == {1: 1, 2: 0}
+    assert sorted(labels) == ["pii-known", "pii-learned", "pii-matches"]
