@@ -6,10 +6,12 @@ one word of ``SLACK`` from the lead of a template joins that template, what diff
 are several); any other form leads a template of its own. A template in two documents or more recurs: the document with the smallest id
 keeps its lines, all others lose them.
 
-No leaf is gone through form by form. Two forms with few differing words agree in a place that can be looked up: in a short line with one word
+No large leaf is gone through form by form. Two forms with few differing words agree in a place that can be looked up: in a short line with one word
 left out, in a longer one in one of as many runs of words as may differ, and one more. Forms that share such a place and nothing else are
 in one bucket. In each round the forms that come first in all their buckets are leads, and the forms of these buckets are compared with
 them, word by word; the rest goes on. Pairs of forms are never made, and a family of very many forms needs one lead and one round.
+Many unlike forms with a common place would need a round each, so what a round leaves of a leaf is gone through at once if that is little
+(``WALK``).
 
 Forms are counted before anything is compared, so a line of a third of all rows is one row by then.
 
@@ -24,11 +26,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starbazaar.llm.common import WORD, own_column, table, written
+from starbazaar.llm.common import WORD, likely, own_column, table, written
 from starbazaar.operators.numbering import with_position
 
 #: Of so many words one may differ.
 DEPTH, LEAST, SLACK = 3, 4, 5
+#: Forms of a leaf times all their words, up to which what is left of it is gone through in one task.
+WALK = 1 << 26
 _LAST = (1 << 63) - 1
 #: A word with a digit or an at sign; looked for at the begin of a word only.
 _FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
@@ -59,11 +63,15 @@ def _crowded(docs: DataFrame, forms: DataFrame) -> DataFrame:
     # A dense number for the order, which is cheaper to compare than what it stands for.
     own = written(with_position(forms.join(full, "leaf", "left_semi").select(
         "form", "n", (-F.col("docs")).alias("seldom"), "at.*"), ["seldom", "doc", "pos", "form"], "rank", "form-order").drop("seldom"), "crowded-forms")
-    # The words come from the texts again, from the line that stands for the form.
-    texts = docs.select(_document().alias("doc"), F.xxhash64("text").alias("tag"), "text").join(
-        own.select("doc", "tag").distinct(), ["doc", "tag"], "left_semi")
-    lines = texts.select("doc", "tag", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return written(lines.join(own, ["doc", "tag", "pos"]).withColumn("words", _parsed(F.col("line"))).select(
+    # The words come from the texts again, from the line that stands for the form: the text meets all its forms at once, and no others go along.
+    asked = own.groupBy("doc", "tag").agg(F.collect_list(F.struct("pos", "form", "n", "rank")).alias("asked"))
+    texts = likely(docs.select(_document().alias("doc"), F.xxhash64("text").alias("tag"), "text"), F.xxhash64("doc", "tag"),
+                   own.select(F.xxhash64("doc", "tag").alias("text_hash"))).where("likely")
+    # A text is split once for all its forms.
+    picked = F.transform(F.array(F.split("text", "\n")), lambda parts: F.transform("asked", lambda x: F.struct(
+        x["form"].alias("form"), x["n"].alias("n"), x["rank"].alias("rank"), F.get(parts, x["pos"]).alias("line"))))
+    lines = texts.join(asked, ["doc", "tag"]).select(F.explode(F.flatten(picked)).alias("own")).select("own.*", _parsed(F.col("own.line")).alias("words"))
+    return written(lines.select(
         "form", "n", "rank", F.transform(F.slice("words", F.lit(DEPTH + 1), F.size("words")), lambda w: F.xxhash64(w)).alias("rest"),
         F.xxhash64("n", F.slice("words", 1, DEPTH)).alias("leaf")).dropDuplicates(["form"]), "crowded-words")  # repeated rows have equal lines
 
@@ -83,13 +91,37 @@ def _places() -> Column:
     return F.when(slack == 1, without).otherwise(runs)
 
 
+def _differing(one: Column, other: Column) -> Column:
+    return F.size(F.filter(F.zip_with(one, other, lambda a, b: a != b), lambda x: x))
+
+
+def _walked(words: DataFrame) -> DataFrame:
+    """form, lead and lead_rank from going through each leaf in order; of a decided form only whether one of these leads would come before its own."""
+    leads = "array<struct<form:bigint,rank:bigint,rest:array<bigint>>>"
+    links = "array<struct<form:bigint,lead:bigint,lead_rank:bigint>>"
+
+    def step(so_far: Column, x: Column) -> Column:
+        met = F.get(F.filter(so_far["leads"], lambda lead: _differing(x["rest"], lead["rest"]) * SLACK <= x["n"]), F.lit(0))
+        own = F.struct(x["form"].alias("form"), x["rank"].alias("rank"), x["rest"].alias("rest"))
+        new = met.isNull() & x["undecided"]
+        of = F.when(new, own).otherwise(met)
+        link = F.struct(x["form"].alias("form"), of["form"].alias("lead"), of["rank"].alias("lead_rank"))
+        return F.struct(
+            F.when(new, F.concat(so_far["leads"], F.array(own))).otherwise(so_far["leads"]).cast(leads).alias("leads"),
+            F.when(of.isNull(), so_far["links"]).otherwise(F.concat(so_far["links"], F.array(link))).cast(links).alias("links"))
+
+    ordered = words.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("rank", "form", "n", "undecided", "rest"))).alias("forms"))
+    none = F.struct(F.array().cast(leads).alias("leads"), F.array().cast(links).alias("links"))
+    return ordered.select(F.explode(F.aggregate("forms", none, step, lambda so_far: so_far["links"])).alias("link")).select("link.*")
+
+
 def _joined(crowded: DataFrame) -> DataFrame:
     """form and lead of every form that joins another one's template; a lead of a template has itself, unless it is alone in all its places."""
     placed = crowded.select("form", "rank", F.explode(_places()).alias("place"))
     shared = placed.groupBy("place").agg(F.count("*").alias("n")).where("n > 1").select("place")
     # Of a form alone in all its places nothing is to be decided.
     buckets = written(placed.join(shared, "place", "left_semi").withColumn("undecided", F.lit(True)), "line-buckets")
-    words = crowded.select("form", "n", "rest")
+    words = crowded.select("form", "n", "leaf", "rest")
     found = None
     while not buckets.isEmpty():
         undecided = buckets.where("undecided")
@@ -99,16 +131,24 @@ def _joined(crowded: DataFrame) -> DataFrame:
         # At most one lead a place: the first one there. It meets itself, so that one table tells all that is decided.
         at = undecided.join(leads, F.col("form") == F.col("lead")).select("place", "lead", "lead_rank")
         pairs = buckets.join(at, "place").where(F.col("rank") >= F.col("lead_rank")).select("form", "lead", "lead_rank").distinct()
-        both = pairs.join(words, "form").join(words.select(F.col("form").alias("lead"), F.col("rest").alias("lead_rest")), "lead")
-        differing = F.size(F.filter(F.zip_with("rest", "lead_rest", lambda a, b: a != b), lambda x: x))
-        links = written(both.where(differing * SLACK <= F.col("n")).select("form", "lead", "lead_rank"), "line-links")
+        both = pairs.join(words.select("form", "n", "rest"), "form").join(words.select(F.col("form").alias("lead"), F.col("rest").alias("lead_rest")), "lead")
+        links = written(both.where(_differing(F.col("rest"), F.col("lead_rest")) * SLACK <= F.col("n")).select("form", "lead", "lead_rank"), "line-links")
         found = links if found is None else found.unionByName(links)
         decided = links.select("form", F.lit(True).alias("decided")).distinct()
         # Only places that still hold an undecided form go on, and the words of the forms there.
         held = undecided.join(decided, "form", "left_anti").select("place").distinct()
         buckets = written(buckets.join(held, "place", "left_semi").join(decided, "form", "left").select(
             "place", "form", "rank", (F.col("undecided") & F.col("decided").isNull()).alias("undecided")), "line-buckets")
-        words = written(words.join(buckets.select("form").distinct(), "form", "left_semi"), "line-words")
+        forms = buckets.select("form", "rank", "undecided").distinct()
+        words = written(words.drop("rank", "undecided").join(forms, "form"), "line-words")
+        if words.isEmpty():
+            break
+        # Forms of one leaf can agree only with each other, and those that can all share a place that is still held.
+        large = F.count("*") * F.sum(F.size("rest").cast("bigint")) > WALK
+        leaves = words.groupBy("leaf").agg(large.alias("large"))
+        found = found.unionByName(written(_walked(words.join(leaves.where("not large"), "leaf", "left_semi")), "line-walks"))
+        words = words.join(leaves.where("large"), "leaf", "left_semi")
+        buckets = buckets.join(words.select("form"), "form", "left_semi")
     if found is None:
         return crowded.select("form", F.col("form").alias("lead")).limit(0)
     return found.groupBy("form").agg(F.min_by("lead", "lead_rank").alias("lead"))
@@ -137,7 +177,11 @@ def without_recurring(docs: DataFrame) -> DataFrame:
     gone = lines.join(kept, "form").where("doc <> keeper").groupBy("doc", "tag").agg(F.collect_set("pos").alias("gone"))
     doc, tag, drop, parts, before, after = (own_column(docs, c) for c in ("line_doc", "line_tag", "line_gone", "line_parts", "n_lines", "n_dropped"))
     gone = gone.select(F.col("doc").alias(doc), F.col("tag").alias(tag), F.col("gone").alias(drop))
-    marked = docs.join(gone, (_document() == F.col(doc)) & (F.xxhash64("text") == F.col(tag)), "left")
+    # Texts that lose nothing stay where they are.
+    split = likely(docs, F.xxhash64(_document(), F.xxhash64("text")), gone.select(F.xxhash64(doc, tag).alias("text_hash")))
+    may = split.columns[-1]
+    whole, cut = (split.where(rows).drop(may) for rows in (~F.col(may), F.col(may)))
+    marked = cut.join(gone, (_document() == F.col(doc)) & (F.xxhash64("text") == F.col(tag)), "left").unionByName(whole, allowMissingColumns=True)
     size = F.coalesce(F.size(parts), F.lit(0))
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(drop))
     text = F.when(F.col(drop).isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(F.col(parts), i)), "\n"))

@@ -5,8 +5,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from starbazaar.llm import line_templates
+from starbazaar.llm import common, line_templates
 
 SLACK = 5
 
@@ -99,3 +100,44 @@ def test_a_round_writes_three_tables(spark, monkeypatch):
     assert rounds and {k: n for k, n in seen.items() if n != 1} == {k: n for k, n in {
         "line-links": rounds, "line-buckets": rounds + 1, "line-words": rounds}.items() if n != 1}
     assert not {"line-leads", "line-undecided"} & set(labels)
+
+
+def unlike(n):
+    """Lines that agree in one run of words and in nothing else."""
+    return [(i, " ".join(["the", "same", "opening", "common", "run", "here", *(f"w{'abcdefghijklmnopqrstuvwxyz'[i]}{c}" for c in "abcdef")])) for i in range(n)]
+
+
+def test_unlike_forms_with_a_common_place_need_one_round(spark, monkeypatch):
+    labels, own = [], line_templates.written
+    monkeypatch.setattr(line_templates, "written", lambda df, label: labels.append(label) or own(df, label))
+    check(spark, unlike(9) + [(20 + i, f"{line} more".replace("wax", "way")) for i, line in unlike(9)] + [(40, unlike(9)[8][1].replace("wif", "other"))])
+    assert labels.count("line-links") == 1
+
+
+@pytest.mark.parametrize("walk", [0, 1 << 11])
+def test_large_leaves_go_on_in_rounds(spark, monkeypatch, walk):
+    monkeypatch.setattr(line_templates, "WALK", walk)
+    draw, docs = random.Random(walk), []
+    for doc in range(40):
+        words = ["one", "and", ("same", "other")[doc % 3 == 0], *draw.choice([list("abcdefg"), list("abcxyzw"), list("pqrsefg")])]
+        for _ in range(draw.choice([0, 1, 2, 3])):
+            words[draw.randrange(3, 10)] = draw.choice("abcdefgpqrs")
+        docs.append((doc, " ".join(words)))
+    check(spark, docs)
+
+
+def test_texts_that_lose_nothing_are_not_shuffled(spark):
+    docs = [(i, f"line {'abcdefghij'[i]} of its own stands here") for i in range(10)] + [(20, "these very words come twice"), (21, "these very words come twice"), (22, None), (None, "")]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = {r.doc_id: (r.text, r.n_dropped) for r in line_templates.without_recurring(table).collect()}
+    assert found == {i: (t, 0) for i, t in docs} | {21: ("", 1)}
+    keys = table.where("doc_id = 21").selectExpr("xxhash64(doc_id) AS h")
+    assert [r.doc_id for r in common.likely(table, F.xxhash64("doc_id"), keys).where("likely").collect()] == [21]
+
+
+def test_likely_holds_every_key(spark):
+    rows = spark.range(100_000).withColumn("h", F.xxhash64("id"))
+    found = common.likely(rows, F.col("h"), rows.where("id % 7 = 0").select("h")).groupBy((F.col("id") % 7 == 0).alias("key")).agg(
+        F.count("*").alias("n"), F.sum(F.col("likely").cast("int")).alias("likely"))
+    found = {r.key: (r.n, r.likely) for r in found.collect()}
+    assert found[True] == (14286, 14286) and found[False][1] < 200
